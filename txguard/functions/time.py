@@ -21,8 +21,10 @@ def event_time(unix_time="unix_time") -> Column:
 
 
 def seconds_of(ts: str) -> Column:
-    """Epoch second of a TIMESTAMP_NTZ column read as UTC."""
-    return F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts})")
+    """Epoch second of a TIMESTAMP_NTZ column read as UTC, whatever the session time zone."""
+    t = F.col(ts)
+    days = F.date_diff(t.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * DAY + F.hour(t) * HOUR + F.minute(t) * 60 + F.second(t)
 
 
 def calendar_parts(ts: str) -> dict[str, Column]:

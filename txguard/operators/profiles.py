@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from txguard.constants import HEAVY_ROWS, LAST_N
 from txguard.functions import time as T
-from txguard.operators.skew import heavy_keys, mark_heavy
+from txguard.operators.skew import own_group, split_heavy
 
 
 def card_profile(history: DataFrame) -> DataFrame:
@@ -51,66 +51,60 @@ def asof_profile(df: DataFrame, min_rows: int = HEAVY_ROWS) -> DataFrame:
     * heavy cards: aggregated to one row per second, running sums inside each day plus the
       total of earlier days, joined back. No window group holds more than 86,400 rows.
     """
-    rows = df.withColumn("_sec", T.epoch_seconds())
-    rows = rows.withColumn("_known", F.col("cc_num").isNotNull() & F.col("_sec").isNotNull())
+    rows = df.withColumn("_sec", T.epoch_seconds()).withColumn(
+        "_card", F.when(F.col("_sec").isNotNull(), F.col("cc_num"))
+    )
     amt = F.col("amt")
     parts = {
         "_n": F.count(amt),
-        "_s": F.sum(amt.cast("decimal(28,2)")),
+        "_s": F.sum(amt.cast("decimal(18,2)")),
         "_q": F.sum((amt * amt).cast("decimal(28,4)")),
     }
     names = list(parts)
+    to_here = (Window.unboundedPreceding, -1)
+    ordinary, heavy = split_heavy(rows, "_card", min_rows)
 
-    marked = mark_heavy(rows, "cc_num", heavy_keys(rows.where("_known"), "cc_num", min_rows))
-    ordinary = marked.where(F.col("_known") & F.col("heavy_rows").isNull())
-    heavy = marked.where(F.col("_known") & F.col("heavy_rows").isNotNull())
-    unknown = marked.where(~F.col("_known"))
-
-    earlier = Window.partitionBy("cc_num").orderBy("_sec").rangeBetween(
-        Window.unboundedPreceding, -1
-    )
-    ordinary = ordinary.withColumns({name: part.over(earlier) for name, part in parts.items()})
+    # Rows of no card are a group each, so they are spread and have nothing before them.
+    ordinary = ordinary.withColumn("_group", F.when(F.col("_card").isNull(), own_group()))
+    earlier = Window.partitionBy("_card", "_group").orderBy("_sec").rangeBetween(*to_here)
+    ordinary = ordinary.withColumns(
+        {name: part.over(earlier) for name, part in parts.items()}
+    ).drop("_group")
 
-    per_second = heavy.groupBy("cc_num", "_sec").agg(
+    per_second = heavy.groupBy("_card", "_sec").agg(
         *[part.alias(name) for name, part in parts.items()]
     ).withColumn("_day", F.floor(F.col("_sec") / T.DAY))
-    before_today = Window.partitionBy("cc_num").orderBy("_day").rangeBetween(
-        Window.unboundedPreceding, -1
-    )
-    # The per-second frame is aggregated again, not the raw rows: at most one row per day and card.
+    before_today = Window.partitionBy("_card").orderBy("_day").rangeBetween(*to_here)
     per_day = (
-        per_second.groupBy("cc_num", "_day")
+        per_second.groupBy("_card", "_day")
         .agg(*[F.sum(n).alias(n) for n in names])
-        .select("cc_num", "_day", *[F.sum(n).over(before_today).alias(f"{n}_days") for n in names])
-    )
-    today = Window.partitionBy("cc_num", "_day").orderBy("_sec").rangeBetween(
-        Window.unboundedPreceding, -1
+        .select("_card", "_day", *[F.sum(n).over(before_today).alias(f"{n}_days") for n in names])
     )
+    today = Window.partitionBy("_card", "_day").orderBy("_sec").rangeBetween(*to_here)
+    zero = F.lit(0)
     running = (
         per_second.withColumns({f"{n}_today": F.sum(n).over(today) for n in names})
-        .join(per_day, ["cc_num", "_day"])
+        .join(per_day, ["_card", "_day"])
         .select(
-            "cc_num", "_sec",
+            "_card", "_sec",
             *[
-                F.when(
-                    F.col(f"{n}_today").isNotNull() | F.col(f"{n}_days").isNotNull(),
-                    F.coalesce(F.col(f"{n}_today"), F.lit(0)) + F.coalesce(F.col(f"{n}_days"), F.lit(0)),
-                ).alias(n)
+                (F.coalesce(f"{n}_today", zero) + F.coalesce(f"{n}_days", zero)).alias(n)
                 for n in names
             ],
         )
     )
-    heavy = heavy.join(running, ["cc_num", "_sec"], "left")
-    unknown = unknown.withColumns({n: F.lit(None).cast("decimal(38,4)") for n in names})
-
-    joined = ordinary.unionByName(heavy).unionByName(unknown)
-    n, s, q = (F.col(c).cast("double") for c in names)
-    # (q - s^2/n) on exact decimals, so equal amounts give exactly zero.
-    spread = (F.col("_q") * F.col("_n") - F.col("_s") * F.col("_s")).cast("double")
+    joined = ordinary.unionByName(heavy.join(running, ["_card", "_sec"]))
+
+    # A window frame over a null time holds the row itself, so rows of no card are masked.
+    known = F.col("_card").isNotNull()
+    count = F.when(known, F.col("_n").cast("bigint"))
+    n, s = F.col("_n").cast("double"), F.col("_s").cast("double")
+    # n*q - s*s on exact decimals, so equal amounts give exactly zero.
+    spread = (F.col("_n") * F.col("_q") - F.col("_s") * F.col("_s")).cast("double")
     return joined.withColumns(
         {
-            "prior_count": F.coalesce(F.col("_n").cast("bigint"), F.lit(0).cast("bigint")),
-            "prior_avg": F.try_divide(s, n),
-            "prior_std": F.sqrt(F.try_divide(spread, n * (n - 1))),
+            "prior_count": F.coalesce(count, F.lit(0).cast("bigint")),
+            "prior_avg": F.when(known, F.try_divide(s, n)),
+            "prior_std": F.when(known, F.sqrt(F.try_divide(spread, n * (n - 1)))),
         }
-    ).drop("_known", "_sec", "heavy_rows", *names)
+    ).drop("_card", "_sec", *names)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from txguard.constants import BROADCAST_ROWS, HEAVY_ROWS, ROWS_PER_SLICE
 
 # Rows with a null key can match nothing, so they may go anywhere; spread them this wide.
-NULL_SLICES = 4096
+NULL_SLICES = 65536
 
 
 def heavy_keys(df: DataFrame, key: str, min_rows: int = HEAVY_ROWS) -> DataFrame:
@@ -22,9 +22,19 @@ def heavy_keys(df: DataFrame, key: str, min_rows: int = HEAVY_ROWS) -> DataFrame
     )
 
 
-def mark_heavy(df: DataFrame, key: str, heavy: DataFrame) -> DataFrame:
-    """Adds `heavy_rows`, null for ordinary keys. The list is broadcast: its length is bounded."""
-    return df.join(F.broadcast(heavy), key, "left")
+def split_heavy(df: DataFrame, key: str, min_rows: int = HEAVY_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(rows of ordinary keys and of no key, rows of heavy keys).
+
+    The heavy-key list is broadcast, its length being bounded. Where it turns out empty adaptive
+    execution drops the heavy branch before it reads anything.
+    """
+    heavy = F.broadcast(heavy_keys(df, key, min_rows).select(key))
+    return df.join(heavy, key, "left_anti"), df.join(heavy, key, "left_semi")
+
+
+def own_group():
+    """A value of its own for every row: spreads rows that have no key, even if wholly null."""
+    return F.monotonically_increasing_id()
 
 
 def lookup_join(
@@ -51,15 +61,15 @@ def lookup_join(
         return facts.join(dim, key, how)
 
     slices = F.ceil(F.col("heavy_rows") / rows_per_slice).cast("int")
-    hashed = F.xxhash64(F.col(spread))
-    salted_facts = mark_heavy(facts, key, heavy).withColumn(
+    heavy = F.broadcast(heavy)
+    salted_facts = facts.join(heavy, key, "left").withColumn(
         "_slice",
-        F.when(F.col(key).isNull(), F.pmod(hashed, F.lit(NULL_SLICES)).cast("int"))
-        .when(slices.isNotNull(), F.pmod(hashed, slices).cast("int"))
+        F.when(F.col(key).isNull(), F.pmod(own_group(), F.lit(NULL_SLICES)).cast("int"))
+        .when(slices.isNotNull(), F.pmod(F.xxhash64(F.col(spread)), slices).cast("int"))
         .otherwise(0),
     ).drop("heavy_rows")
     salted_dim = (
-        mark_heavy(dim, key, heavy)
+        dim.join(heavy, key, "left")
         .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce(slices, F.lit(1)) - 1)))
         .drop("heavy_rows")
     )
@@ -72,13 +82,21 @@ def lookup_plan(
     key: str,
     min_rows: int = HEAVY_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
+    count_facts: bool = False,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """(`dim`, `heavy`) to hand to `lookup_join`, decided by the counted size of a stored `dim`.
+    """(`dim`, `heavy`) to hand to `lookup_join`, decided by counted sizes.
+
+    * A stored `dim` of up to `broadcast_rows` rows is broadcast; the facts are not shuffled.
+    * With `count_facts` (a persisted micro-batch) few facts cut a large `dim` down to their own
+      keys, by a scan of `dim` without a shuffle; what is left has no more rows than the facts
+      and is broadcast.
+    * Otherwise the join shuffles, with the heavy keys of `facts` cut into slices.
 
-    Up to `broadcast_rows` rows the dimension is broadcast and the facts are not shuffled at
-    all. Beyond that the join shuffles, with the heavy keys of `facts` cut into slices.
     The count of a Parquet table reads file footers only.
     """
     if dim.count() <= broadcast_rows:
         return F.broadcast(dim), None
+    if count_facts and facts.count() <= broadcast_rows:
+        own = facts.select(key).distinct()
+        return F.broadcast(dim.join(F.broadcast(own), key, "left_semi")), None
     return dim, heavy_keys(facts, key, min_rows)

@@ -5,58 +5,94 @@ from pyspark.sql import functions as F
 
 from txguard.constants import HEAVY_ROWS
 from txguard.functions import time as T
-from txguard.operators.skew import heavy_keys, mark_heavy
+from txguard.operators.skew import own_group, split_heavy
 
 ROLLING = {"1h": T.HOUR, "24h": T.DAY}
 
 
 def with_velocity(df: DataFrame, min_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Adds, per transaction in the order (second, trans_num) of its card:
+    """Adds, per transaction in the order (second, trans_num, amt) of its card:
 
     * `secs_since_prev`, `amt_ratio_prev`: against the card's previous transaction;
-    * `tx_count_1h`, `amt_sum_1h`, `tx_count_24h`, `amt_sum_24h`: the seconds up to and
-      including this one, back to exactly that long ago.
+    * `tx_count_1h`, `amt_sum_1h`, `tx_count_24h`, `amt_sum_24h`: number and known amounts of the
+      seconds up to and including this one, back to exactly that long ago.
 
-    Rows without card or time get nulls and take part in no shuffle. Cards with `min_rows` rows
-    or more go another way with the same result, see `_heavy`.
+    Rows without card or time get nulls. Cards with `min_rows` rows or more go another way with
+    the same result, see `_heavy`. All columns of `df` are shuffled once; select those needed first.
     """
-    rows = df.withColumn("_sec", T.epoch_seconds())
-    rows = rows.withColumn("_known", F.col("cc_num").isNotNull() & F.col("_sec").isNotNull())
-    marked = mark_heavy(rows, "cc_num", heavy_keys(rows.where("_known"), "cc_num", min_rows))
-    ordinary = marked.where(F.col("_known") & F.col("heavy_rows").isNull())
-    heavy = marked.where(F.col("_known") & F.col("heavy_rows").isNotNull())
-    unknown = marked.where(~F.col("_known")).withColumns(
+    card = F.col("cc_num")
+    rows = df.withColumn("_sec", T.epoch_seconds()).withColumn(
+        "_card", F.when(F.col("_sec").isNotNull(), card)
+    )
+    ordinary, heavy = split_heavy(rows, "_card", min_rows)
+    joined = _ordinary(ordinary).unionByName(_heavy(heavy))
+    known = F.col("_card").isNotNull()
+    made = ["secs_since_prev", *[f"{t}_{k}" for k in ROLLING for t in ("tx_count", "amt_sum")]]
+    return joined.withColumns(
         {
-            "secs_since_prev": F.lit(None).cast("bigint"),
-            "_prev_amt": F.lit(None).cast("decimal(9,2)"),
-            **{f"tx_count_{k}": F.lit(None).cast("bigint") for k in ROLLING},
-            **{f"amt_sum_{k}": F.lit(None).cast("double") for k in ROLLING},
+            "amt_ratio_prev": F.try_divide(
+                F.col("amt").cast("double"), F.col("_prev_amt").cast("double")
+            ),
+            **{c: F.when(known, F.col(c)) for c in made},
         }
+    ).drop("_card", "_sec", "_prev_amt")
+
+
+def _rolling(rows: DataFrame, group: list[str], n, amount) -> DataFrame:
+    """Adds the rolling totals of `n` and `amount` within `group`.
+
+    Every row enters at its second and leaves each span one second after the span's end; a
+    running total over these events is the rolling total. This is linear in the rows. A sliding
+    window frame would add up all rows of the span again for each row, which is quadratic for
+    cards used very often. Leaving events carry no row, so they are small; amounts are decimals,
+    so adding and taking away is exact.
+    """
+    kept = [c for c in rows.columns if c not in group]
+    row = F.struct(*kept)
+    zero = amount * 0
+
+    def event(at, into, sign, payload):
+        deltas = []
+        for k in ROLLING:
+            deltas.append((n * sign if k in into else n * 0).alias(f"_n_{k}"))
+            deltas.append((amount * sign if k in into else zero).alias(f"_s_{k}"))
+        return F.struct(at.alias("_at"), *deltas, payload.alias("_row"))
+
+    events = [event(F.col("_sec"), ROLLING, 1, row)]
+    nothing = F.when(F.lit(False), row)
+    for k, width in ROLLING.items():
+        events.append(event(F.col("_sec") + width + 1, (k,), -1, nothing))
+    so_far = (
+        Window.partitionBy(*group).orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
+    )
+    totals = {}
+    for k in ROLLING:
+        totals[f"tx_count_{k}"] = F.sum(f"_n_{k}").over(so_far)
+        totals[f"amt_sum_{k}"] = F.sum(f"_s_{k}").over(so_far).cast("double")
+    return (
+        rows.select(*group, F.explode(F.array(*events)).alias("_event"))
+        .select(*group, "_event.*")
+        .withColumns(totals)
+        .where(F.col("_row").isNotNull())
+        .select(*group, "_row.*", *totals)
     )
-    joined = _ordinary(ordinary).unionByName(_heavy(heavy)).unionByName(unknown)
-    return joined.withColumn(
-        "amt_ratio_prev",
-        F.try_divide(F.col("amt").cast("double"), F.col("_prev_amt").cast("double")),
-    ).drop("_known", "_sec", "_prev_amt", "heavy_rows")
 
 
 def _ordinary(rows: DataFrame) -> DataFrame:
-    in_order = Window.partitionBy("cc_num").orderBy("_sec", "trans_num")
+    # Rows of no card are a group each, so they are spread and find no previous row.
+    rows = rows.withColumn("_group", F.when(F.col("_card").isNull(), own_group()))
+    in_order = Window.partitionBy("_card", "_group").orderBy("_sec", "trans_num", "amt")
     rows = rows.withColumns(
         {
             "secs_since_prev": F.col("_sec") - F.lag("_sec").over(in_order),
             "_prev_amt": F.lag("amt").over(in_order),
         }
     )
-    for name, width in ROLLING.items():
-        back = Window.partitionBy("cc_num").orderBy("_sec").rangeBetween(-width, 0)
-        rows = rows.withColumns(
-            {
-                f"tx_count_{name}": F.count(F.lit(1)).over(back),
-                f"amt_sum_{name}": F.sum("amt").over(back).cast("double"),
-            }
-        )
-    return rows
+    return _rolling(rows, ["_card", "_group"], F.lit(1).cast("bigint"), _amount()).drop("_group")
+
+
+def _amount():
+    return F.coalesce(F.col("amt").cast("decimal(18,2)"), F.lit(0).cast("decimal(18,2)"))
 
 
 def _heavy(rows: DataFrame) -> DataFrame:
@@ -68,45 +104,43 @@ def _heavy(rows: DataFrame) -> DataFrame:
     taken from a frame with one row per card and day.
     """
     widest = max(ROLLING.values())
+    # max_by skips null keys; a null id sorts first in the windows, and so does empty text here.
+    latest = F.struct(F.coalesce("trans_num", F.lit("")), "amt")
     per_second = (
-        rows.groupBy("cc_num", "_sec")
+        rows.groupBy("_card", "_sec")
         .agg(
             F.count(F.lit(1)).alias("_n"),
-            F.sum("amt").alias("_s"),
-            F.max_by(F.struct("amt"), "trans_num").alias("_last"),
+            F.sum(_amount()).alias("_s"),
+            F.max_by(F.struct("amt"), latest).alias("_last"),
         )
         .withColumn("_block", F.floor(F.col("_sec") / widest))
     )
-    last_of_day = per_second.groupBy("cc_num", "_block").agg(
+    last_of_day = per_second.groupBy("_card", "_block").agg(
         F.max_by(F.struct("_sec", "_last"), "_sec").alias("_end")
     )
-    days = Window.partitionBy("cc_num").orderBy("_block")
-    carried = last_of_day.select("cc_num", "_block", F.lag("_end").over(days).alias("_carried"))
+    days = Window.partitionBy("_card").orderBy("_block")
+    carried = last_of_day.select("_card", "_block", F.lag("_end").over(days).alias("_carried"))
 
     blocks = per_second.withColumn("_own", F.col("_block")).withColumn(
         "_block", F.explode(F.array(F.col("_own"), F.col("_own") + 1))
     )
-    in_block = Window.partitionBy("cc_num", "_block").orderBy("_sec")
-    totals = {"_before": F.lag(F.struct("_sec", "_last")).over(in_block)}
-    for name, width in ROLLING.items():
-        back = in_block.rangeBetween(-width, 0)
-        totals[f"tx_count_{name}"] = F.sum("_n").over(back)
-        totals[f"amt_sum_{name}"] = F.sum("_s").over(back).cast("double")
+    in_block = Window.partitionBy("_card", "_block").orderBy("_sec")
+    blocks = blocks.withColumn("_before", F.lag(F.struct("_sec", "_last")).over(in_block))
     seconds = (
-        blocks.withColumns(totals)
+        _rolling(blocks, ["_card", "_block"], F.col("_n"), F.col("_s"))
         .where(F.col("_block") == F.col("_own"))
-        .join(carried, ["cc_num", "_block"])
+        .join(carried, ["_card", "_block"])
         .select(
-            "cc_num", "_sec",
+            "_card", "_sec",
             F.coalesce("_before", "_carried").alias("_before"),
             *[f"{kind}_{k}" for k in ROLLING for kind in ("tx_count", "amt_sum")],
         )
     )
-    in_second = Window.partitionBy("cc_num", "_sec").orderBy("trans_num")
+    in_second = Window.partitionBy("_card", "_sec").orderBy("trans_num", "amt")
     first = F.col("_same").isNull()
     return (
         rows.withColumn("_same", F.lag(F.struct("amt")).over(in_second))
-        .join(seconds, ["cc_num", "_sec"])
+        .join(seconds, ["_card", "_sec"])
         .withColumns(
             {
                 "secs_since_prev": F.when(first, F.col("_sec") - F.col("_before._sec")).otherwise(

@@ -110,7 +110,7 @@ HISTORY_COLUMNS = (
     "trans_num, cc_num, state, unix_time, category, "
     + ", ".join(dbl(c) for c in ("zip", "lat", "long", "amt", "is_fraud", "merch_lat", "merch_long"))
 )
-FLAG_COLUMNS = f"trans_num, cc_num, {dbl('distance', 3)}, {dbl('avg_transaction_amt', 4)}"
+FLAG_COLUMNS = f"trans_num, cc_num, {dbl('distance', 3)}, {dbl('avg_transaction_amt', 8)}"
 AND_STATUS = (
     "CASE WHEN distance > 1500 AND CAST(amt AS DOUBLE) > avg_transaction_amt + 500"
     " THEN 'fraud' ELSE 'genuine' END AS status"
@@ -143,7 +143,7 @@ daily AS (
 REPORT = """
 SELECT {by}, count(*) AS n, count(*) FILTER (final_fraud_status = 'FRAUD') AS frauds,
   round(CAST(coalesce(sum(amt) FILTER (final_fraud_status = 'FRAUD'), 0) AS DOUBLE), 2) AS fraud_amount,
-  round(count(*) FILTER (final_fraud_status = 'FRAUD') / CAST(count(*) AS DOUBLE), 6) AS fraud_rate
+  round(count(*) FILTER (final_fraud_status = 'FRAUD') / CAST(count(*) AS DOUBLE), 8) AS fraud_rate
 FROM off GROUP BY {by}
 """
 TOP = """
@@ -244,7 +244,7 @@ ORACLE: dict[str, str] = {
     "behavior_features": with_(
         TX, PROFILE, BEHAVIOUR,
         select=f"""
-        SELECT trans_num, cc_num, {dbl('avg_amount', 4)}, {dbl('std_amount', 4)}, total_transactions,
+        SELECT trans_num, cc_num, {dbl('avg_amount', 8)}, {dbl('std_amount', 4)}, total_transactions,
           {dbl('max_amount')}, {dbl('min_amount')}, {dbl('avg_distance', 4)}, {dbl('amount_deviation', 4)},
           coalesce(abs(amount_deviation) > 2, false) AS is_unusual_amount FROM behaviour
         """,
@@ -261,7 +261,7 @@ ORACLE: dict[str, str] = {
     "velocity_features": tx(
         """
         SELECT trans_num, sec - lag(sec) OVER o AS secs_since_prev,
-          round(CAST(amt AS DOUBLE) / NULLIF(CAST(lag(amt) OVER o AS DOUBLE), 0), 4) AS amt_ratio_prev,
+          round(CAST(amt AS DOUBLE) / NULLIF(CAST(lag(amt) OVER o AS DOUBLE), 0), 8) AS amt_ratio_prev,
           count(*) OVER h1 AS tx_count_1h, round(CAST(sum(amt) OVER h1 AS DOUBLE), 2) AS amt_sum_1h,
           count(*) OVER h24 AS tx_count_24h, round(CAST(sum(amt) OVER h24 AS DOUBLE), 2) AS amt_sum_24h
         FROM tx
@@ -281,7 +281,7 @@ ORACLE: dict[str, str] = {
     "card_profile": with_(
         TX, PROFILE,
         select=f"""
-        SELECT cc_num, {dbl('avg_amount', 4)}, {dbl('std_amount', 4)}, total_transactions,
+        SELECT cc_num, {dbl('avg_amount', 8)}, {dbl('std_amount', 4)}, total_transactions,
           {dbl('max_amount')}, {dbl('min_amount')}, {dbl('avg_distance', 4)} FROM profile
         """,
     ),
@@ -289,11 +289,11 @@ ORACLE: dict[str, str] = {
         TX, LAST,
         select=f"SELECT cc_num, trans_num, {dbl('amt')}, CAST(rn AS INT) AS row_num FROM ranked WHERE rn <= 10",
     ),
-    "last10_avg": with_(TX, LAST, select=f"SELECT cc_num, {dbl('avg_transaction_amt', 4)} FROM averages"),
+    "last10_avg": with_(TX, LAST, select=f"SELECT cc_num, {dbl('avg_transaction_amt', 8)} FROM averages"),
     "asof_profile": tx(
         """
         SELECT trans_num, count(*) OVER w AS prior_count,
-          round(avg(CAST(amt AS DOUBLE)) OVER w, 6) AS prior_avg,
+          round(avg(CAST(amt AS DOUBLE)) OVER w, 8) AS prior_avg,
           round(stddev_samp(CAST(amt AS DOUBLE)) OVER w, 4) AS prior_std
         FROM tx
         WINDOW w AS (PARTITION BY cc_num ORDER BY sec RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
@@ -313,9 +313,9 @@ ORACLE: dict[str, str] = {
         g AS (SELECT count(*) AS duplicate_transactions, CAST(sum(c - 1) AS BIGINT) AS surplus_copies
           FROM (SELECT trans_num, count(*) AS c FROM bad GROUP BY trans_num HAVING count(*) > 1))
         SELECT k.*, g.*, round((total_records - null_ssn_count - null_cc_num_count - null_amount_count
-            - invalid_amount_count - duplicate_transactions) / CAST(total_records AS DOUBLE) * 100, 6)
+            - invalid_amount_count - duplicate_transactions) / CAST(total_records AS DOUBLE) * 100, 8)
             AS data_quality_score,
-          round((total_records - failed_rows) / CAST(total_records AS DOUBLE) * 100, 6) AS valid_row_pct
+          round((total_records - failed_rows) / CAST(total_records AS DOUBLE) * 100, 8) AS valid_row_pct
         FROM k, g
         """
     ),
@@ -358,10 +358,10 @@ ORACLE: dict[str, str] = {
     "classification_metrics": with_(
         TX, CONFUSION,
         select=f""", m AS (SELECT {COUNTS} FROM c)
-        SELECT *, round((tp + tn) / CAST(n AS DOUBLE), 6) AS accuracy,
-          round(tp / CAST(NULLIF(tp + fp, 0) AS DOUBLE), 6) AS precision,
-          round(tp / CAST(NULLIF(tp + fn, 0) AS DOUBLE), 6) AS detection_rate,
-          round(fp / CAST(NULLIF(fp + tn, 0) AS DOUBLE), 6) AS false_positive_rate FROM m
+        SELECT *, round((tp + tn) / CAST(n AS DOUBLE), 8) AS accuracy,
+          round(tp / CAST(NULLIF(tp + fp, 0) AS DOUBLE), 8) AS precision,
+          round(tp / CAST(NULLIF(tp + fn, 0) AS DOUBLE), 8) AS detection_rate,
+          round(fp / CAST(NULLIF(fp + tn, 0) AS DOUBLE), 8) AS false_positive_rate FROM m
         """,
     ),
     "confusion_matrix": with_(
@@ -376,17 +376,17 @@ ORACLE: dict[str, str] = {
         s AS (SELECT *, CASE WHEN distance > (CASE WHEN arm = 'B' THEN 1000 ELSE 1500 END) AND amt > 500
             THEN 1 ELSE 0 END AS p FROM a),
         m AS (SELECT arm, {COUNTS} FROM s GROUP BY arm)
-        SELECT *, round(tp / CAST(NULLIF(tp + fn, 0) AS DOUBLE), 6) AS detection_rate,
-          round(fp / CAST(NULLIF(fp + tn, 0) AS DOUBLE), 6) AS false_positive_rate FROM m
+        SELECT *, round(tp / CAST(NULLIF(tp + fn, 0) AS DOUBLE), 8) AS detection_rate,
+          round(fp / CAST(NULLIF(fp + tn, 0) AS DOUBLE), 8) AS false_positive_rate FROM m
         """
     ),
     "fraud_rate_windows": with_(
-        TX, DAILY, select="SELECT * REPLACE (round(fraud_rate, 6) AS fraud_rate) FROM daily"
+        TX, DAILY, select="SELECT * REPLACE (round(fraud_rate, 8) AS fraud_rate) FROM daily"
     ),
     "stream_rate_windows": with_(
         TX, DAILY,
         select="""
-        SELECT * REPLACE (round(fraud_rate, 6) AS fraud_rate) FROM daily
+        SELECT * REPLACE (round(fraud_rate, 8) AS fraud_rate) FROM daily
         WHERE window_end <= (SELECT max(sec) FROM tx) - 7200
         """,
     ),
@@ -396,8 +396,8 @@ ORACLE: dict[str, str] = {
         , p AS (SELECT a.window_start, a.fraud_rate, b.fraud_rate AS previous_rate,
             (a.fraud_rate - b.fraud_rate) / NULLIF(b.fraud_rate, 0) AS increase
           FROM daily a LEFT JOIN daily b ON b.window_end = a.window_start)
-        SELECT window_start, round(fraud_rate, 6) AS fraud_rate, round(previous_rate, 6) AS previous_rate,
-          round(increase, 4) AS increase, coalesce(increase > 0.10, false) AS is_spike FROM p
+        SELECT window_start, round(fraud_rate, 8) AS fraud_rate, round(previous_rate, 8) AS previous_rate,
+          round(increase, 8) AS increase, coalesce(increase > 0.10, false) AS is_spike FROM p
         """,
     ),
     "error_rate_windows": tx(
@@ -405,7 +405,7 @@ ORACLE: dict[str, str] = {
         , e AS (SELECT sec // 86400 * 86400 AS window_start, count(*) AS n,
             count(*) FILTER (n % 97 < 5) AS errors FROM tx GROUP BY 1)
         SELECT window_start, window_start + 86400 AS window_end, n, errors,
-          round(errors / CAST(n AS DOUBLE), 6) AS error_rate, errors / CAST(n AS DOUBLE) > 0.05 AS over_limit
+          round(errors / CAST(n AS DOUBLE), 8) AS error_rate, errors / CAST(n AS DOUBLE) > 0.05 AS over_limit
         FROM e
         """
     ),

@@ -34,11 +34,18 @@ def score_batch(
 
 
 def features_of(
-    tx: DataFrame, profile: DataFrame, config: FraudConfig = FraudConfig(), ts: str = "event_time"
+    tx: DataFrame,
+    profile: DataFrame,
+    config: FraudConfig = FraudConfig(),
+    ts: str = "event_time",
+    count_rows: bool = False,
 ) -> DataFrame:
+    """`count_rows` is for persisted micro-batches, see `operators.skew.lookup_plan`."""
     if ts not in tx.columns:
         tx = with_event_time(tx, out=ts)
-    profile, heavy = lookup_plan(tx, profile, "cc_num", config.heavy_rows, config.broadcast_rows)
+    profile, heavy = lookup_plan(
+        tx, profile, "cc_num", config.heavy_rows, config.broadcast_rows, count_rows
+    )
     return score_features(tx, profile, heavy, ts)
 
 
@@ -77,12 +84,10 @@ def start_scored_stream(
     """
     customers = customers or {"fmt": fmt, "path": f"{tables}/customers"}
 
+    current = profiles.CurrentProfile(spark, profile_root)
+
     def score_one(batch: DataFrame) -> DataFrame:
-        profile = profiles.current_profile(spark, profile_root)
-        if "event_time" not in batch.columns:
-            batch = with_event_time(batch)
-        # No heavy keys here: the source bounds the batch.
-        return score(score_features(batch, profile), models(), config)
+        return score(features_of(batch, current(), config, count_rows=True), models(), config)
 
     sinks = [
         partial(write_scored, path=f"{tables}/scored", fmt=fmt),
@@ -110,10 +115,14 @@ def start_flagged_stream(
     customers of all rows with their label to `tables`/customers. With `how="inner"` rows of cards
     that have no mean are not flagged at all."""
 
+    current = profiles.CurrentProfile(spark, averages_root)
+
     def flag_one(batch: DataFrame) -> DataFrame:
-        averages = profiles.current_profile(spark, averages_root)
+        averages, heavy = lookup_plan(
+            batch, current(), "cc_num", config.heavy_rows, config.broadcast_rows, count_facts=True
+        )
         return rules.relative_rule(
-            batch, averages, "left", combine, config.distance_km, config.amount
+            batch, averages, "left", combine, config.distance_km, config.amount, heavy
         )
 
     def write_flagged(batch: DataFrame, epoch_id: int) -> None:

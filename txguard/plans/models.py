@@ -59,6 +59,21 @@ def with_inputs(df: DataFrame, columns) -> DataFrame:
     return model_inputs(df, columns, INPUT)
 
 
+def training_rows(df: DataFrame, *more, columns) -> DataFrame:
+    """Only label and inputs, evenly spread, kept for the many passes of a training.
+
+    One shuffle of narrow rows; without it the largest input partition would be the straggler of
+    every pass. The number of partitions is the session's shuffle setting or its cores.
+    """
+    spark = df.sparkSession
+    parts = max(
+        spark.sparkContext.defaultParallelism,
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+    )
+    rows = with_inputs(df, columns).select(*more, *[INPUT + c for c in columns])
+    return rows.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def split_holdout(df: DataFrame, percent: int = HOLDOUT_PERCENT) -> tuple[DataFrame, DataFrame]:
     """(training, hold-out) by a hash of the transaction id: the same rows every time."""
     held = F.coalesce(bucket_of("trans_num") < percent, F.lit(False))
@@ -66,7 +81,7 @@ def split_holdout(df: DataFrame, percent: int = HOLDOUT_PERCENT) -> tuple[DataFr
 
 
 def fit_classifier(features: DataFrame) -> PipelineModel:
-    """Random forest on scaled inputs. Only label and inputs are kept while the trees are grown."""
+    """Random forest on scaled inputs."""
     forest = RandomForestClassifier(
         labelCol="label",
         featuresCol="scaled_features",
@@ -75,11 +90,8 @@ def fit_classifier(features: DataFrame) -> PipelineModel:
         seed=C.SEED,
         maxMemoryInMB=1024,
     )
-    rows = with_inputs(labelled(features), C.CLASSIFIER_FEATURES).select(
-        F.col("is_fraud").cast("double").alias("label"),
-        *[INPUT + c for c in C.CLASSIFIER_FEATURES],
-    )
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    label = F.col("is_fraud").cast("double").alias("label")
+    rows = training_rows(labelled(features), label, columns=C.CLASSIFIER_FEATURES)
     try:
         return scaled_pipeline(C.CLASSIFIER_FEATURES, "scaled_features", forest).fit(rows)
     finally:
@@ -94,10 +106,7 @@ def fit_clusters(features: DataFrame) -> ClusterModel:
         featuresCol="scaled_clustering",
         predictionCol="cluster",
     )
-    rows = with_inputs(features, C.CLUSTER_FEATURES).select(
-        *[INPUT + c for c in C.CLUSTER_FEATURES]
-    )
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = training_rows(features, columns=C.CLUSTER_FEATURES)
     try:
         fitted = scaled_pipeline(C.CLUSTER_FEATURES, "scaled_clustering", kmeans).fit(rows)
         _, scaler, clusters = fitted.stages

@@ -1,11 +1,14 @@
 """Stored, versioned card profiles: computed by a job, read by every batch."""
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txguard.operators.features import with_distance
 from txguard.operators.profiles import card_profile, last_average
 
+REGISTRY = "version bigint"
+
 
 def build_profile(history: DataFrame) -> DataFrame:
     return card_profile(with_distance(history))
@@ -16,8 +19,10 @@ def build_averages(history: DataFrame) -> DataFrame:
 
 
 def publish_profile(profile: DataFrame, root: str, version: int) -> None:
-    """Writes one version. Readers see it once it is whole, and keep the old one until then."""
+    """Writes one version, then lists it: readers keep the old one until the new one is whole."""
     profile.write.mode("overwrite").parquet(f"{root}/version={version}")
+    line = profile.sparkSession.createDataFrame([(version,)], REGISTRY).coalesce(1)
+    line.write.mode("append").parquet(f"{root}/registry")
 
 
 def read_profile(spark: SparkSession, root: str, version: int) -> DataFrame:
@@ -26,9 +31,31 @@ def read_profile(spark: SparkSession, root: str, version: int) -> DataFrame:
 
 
 def newest_version(spark: SparkSession, root: str) -> int:
-    """Highest version found; reads folder names and row counts only."""
-    return spark.read.parquet(root).agg(F.max("version")).first()[0]
-
-
-def current_profile(spark: SparkSession, root: str) -> DataFrame:
-    return read_profile(spark, root, newest_version(spark, root))
+    return spark.read.schema(REGISTRY).parquet(f"{root}/registry").agg(F.max("version")).first()[0]
+
+
+class CurrentProfile:
+    """The newest version, kept on the executors until a newer one is published.
+
+    For a running stream: it looks up the version in every micro-batch, but reads the files
+    once per version. Lost executors cost a re-read of their part.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+        self.version, self.frame = None, None
+
+    def __call__(self) -> DataFrame:
+        version = newest_version(self.spark, self.root)
+        if version != self.version:
+            self.release()
+            self.version = version
+            self.frame = read_profile(self.spark, self.root, version).persist(
+                StorageLevel.MEMORY_AND_DISK
+            )
+        return self.frame
+
+    def release(self) -> None:
+        if self.frame is not None:
+            self.frame.unpersist()
+            self.version, self.frame = None, None

@@ -189,7 +189,7 @@ def behavior_features(spark, sf_dir):
     heavy = heavy_keys(tx, "cc_num")
     joined = features.with_behaviour(tx, inline_profile(spark, sf_dir), heavy=heavy)
     return joined.select(
-        "trans_num", "cc_num", num("avg_amount", 4), num("std_amount", 4), "total_transactions",
+        "trans_num", "cc_num", num("avg_amount", 8), num("std_amount", 4), "total_transactions",
         num("max_amount"), num("min_amount"), num("avg_distance", 4),
         num("amount_deviation", 4), "is_unusual_amount",
     )
@@ -207,9 +207,10 @@ def prepare_features(spark, sf_dir):
 
 @query
 def velocity_features(spark, sf_dir):
-    rows = velocity.with_velocity(fx.transactions(spark, sf_dir))
+    tx = fx.transactions(spark, sf_dir).select("cc_num", "trans_num", "unix_time", "amt")
+    rows = velocity.with_velocity(tx)
     return rows.select(
-        "trans_num", "secs_since_prev", num("amt_ratio_prev", 4),
+        "trans_num", "secs_since_prev", num("amt_ratio_prev", 8),
         "tx_count_1h", num("amt_sum_1h", 2), "tx_count_24h", num("amt_sum_24h", 2),
     )
 
@@ -231,7 +232,7 @@ def customer_enrichment(spark, sf_dir):
 @query
 def card_profile(spark, sf_dir):
     return inline_profile(spark, sf_dir).select(
-        "cc_num", num("avg_amount", 4), num("std_amount", 4), "total_transactions",
+        "cc_num", num("avg_amount", 8), num("std_amount", 4), "total_transactions",
         num("max_amount"), num("min_amount"), num("avg_distance", 4),
     )
 
@@ -245,14 +246,15 @@ def last_n_transactions(spark, sf_dir):
 @query
 def last10_avg(spark, sf_dir):
     return profiles.last_average(fx.history(spark, sf_dir)).select(
-        "cc_num", num("avg_transaction_amt", 4)
+        "cc_num", num("avg_transaction_amt", 8)
     )
 
 
 @query
 def asof_profile(spark, sf_dir):
-    return profiles.asof_profile(fx.transactions(spark, sf_dir)).select(
-        "trans_num", "prior_count", num("prior_avg", 6), num("prior_std", 4)
+    tx = fx.transactions(spark, sf_dir).select("cc_num", "trans_num", "unix_time", "amt")
+    return profiles.asof_profile(tx).select(
+        "trans_num", "prior_count", num("prior_avg", 8), num("prior_std", 4)
     )
 
 
@@ -263,7 +265,7 @@ def asof_profile(spark, sf_dir):
 def quality_report(spark, sf_dir):
     report = quality.quality_report(fx.with_defects(fx.transactions(spark, sf_dir)))
     return report.withColumns(
-        {c: F.round(c, 6) for c in ("data_quality_score", "valid_row_pct")}
+        {c: F.round(c, 8) for c in ("data_quality_score", "valid_row_pct")}
     )
 
 
@@ -277,7 +279,7 @@ def duplicate_transactions(spark, sf_dir):
 
 def _flags(df):
     return df.select(
-        "trans_num", "cc_num", num("distance", 3), num("avg_transaction_amt", 4), "status"
+        "trans_num", "cc_num", num("distance", 3), num("avg_transaction_amt", 8), "status"
     )
 
 
@@ -356,7 +358,7 @@ def classification_metrics(spark, sf_dir):
     scores = metrics.classification_metrics(rows, "is_fraud", "predicted_fraud")
     return scores.select(
         "n", "tp", "fp", "fn", "tn",
-        *[num(c, 6) for c in ("accuracy", "precision", "detection_rate", "false_positive_rate")],
+        *[num(c, 8) for c in ("accuracy", "precision", "detection_rate", "false_positive_rate")],
     )
 
 
@@ -376,7 +378,7 @@ def ab_rule_metrics(spark, sf_dir):
     ).withColumn("flag", (F.col("final_fraud_status") == "FRAUD").cast("int"))
     per_arm = metrics.classification_metrics(scored, "is_fraud", "flag", ("arm",))
     return per_arm.select(
-        "arm", "n", "tp", "fp", "fn", "tn", num("detection_rate", 6), num("false_positive_rate", 6)
+        "arm", "n", "tp", "fp", "fn", "tn", num("detection_rate", 8), num("false_positive_rate", 8)
     )
 
 
@@ -390,14 +392,14 @@ def _daily_rates(spark, sf_dir):
 
 @query
 def fraud_rate_windows(spark, sf_dir):
-    return _daily_rates(spark, sf_dir).withColumn("fraud_rate", F.round("fraud_rate", 6))
+    return _daily_rates(spark, sf_dir).withColumn("fraud_rate", F.round("fraud_rate", 8))
 
 
 @query
 def fraud_spikes(spark, sf_dir):
     spikes = monitor.fraud_spikes(_daily_rates(spark, sf_dir))
     return spikes.select(
-        "window_start", num("fraud_rate", 6), num("previous_rate", 6), num("increase", 4), "is_spike"
+        "window_start", num("fraud_rate", 8), num("previous_rate", 8), num("increase", 8), "is_spike"
     )
 
 
@@ -415,7 +417,7 @@ def error_rate_windows(spark, sf_dir):
     )
     decoded = payload.decode(messages, keep=("event_ts",))
     return monitor.error_rate_windows(decoded, payload.is_corrupt()).withColumn(
-        "error_rate", F.round("error_rate", 6)
+        "error_rate", F.round("error_rate", 8)
     )
 
 
@@ -426,7 +428,7 @@ def stream_rate_windows(spark, sf_dir):
     tx = monitor.with_event_ts(fx.as_transactions(fx.event_stream(spark, sf_dir)))
     rates = monitor.fraud_rate_windows(tx, F.col("is_fraud") == 1, late="2 hours")
     runner.start_copy(rates, out, "stream_rate_windows", checkpoint, trigger=None).awaitTermination()
-    return spark.read.parquet(out).withColumn("fraud_rate", F.round("fraud_rate", 6))
+    return spark.read.parquet(out).withColumn("fraud_rate", F.round("fraud_rate", 8))
 
 
 @query
@@ -600,7 +602,7 @@ def schema_merge_read(spark, sf_dir):
 
 def _report(df):
     return df.withColumns(
-        {"fraud_rate": F.round("fraud_rate", 6), "fraud_amount": F.round("fraud_amount", 2)}
+        {"fraud_rate": F.round("fraud_rate", 8), "fraud_amount": F.round("fraud_amount", 2)}
     )
 
 
