@@ -92,7 +92,7 @@ def test_new_profile_takes_effect_between_batches(spark, sf, arrived, folder):
     history = fx.history(spark, sf)
     root = folder("p")
     profiles.publish_profile(profiles.build_profile(history), root, 1)
-    current = profiles.CurrentProfile(spark, root)
+    current = profiles.CurrentProfile(spark, root, max_age=0)
     first = current()
     assert current() is first
     profiles.publish_profile(profiles.build_profile(history.where("cc_num = '1'")), root, 2)
@@ -140,9 +140,9 @@ def in_files(spark, path, files):
 
 def test_repeats_are_dropped_across_batches(spark, folder):
     files = [
-        [(0, "a", 0), (0, "a", 0), (10, "b", 0)],
-        [(20, "a", 0), (30, "c", 0)],
-        [(40, "b", 0), (50, "d", 0), (50, "d", 0)],
+        [(9000, "a", 0), (9000, "a", 0), (9010, "b", 0)],
+        [(9020, "a", 0), (9030, "c", 0)],
+        [(9040, "b", 0), (9050, "d", 0), (9050, "d", 0)],
     ]
     once = dedup.drop_repeats(in_files(spark, folder("in"), files))
     runner.start_copy(once, folder("o"), "dedup_test", folder("cp"), trigger=None).awaitTermination()
@@ -150,6 +150,17 @@ def test_repeats_are_dropped_across_batches(spark, folder):
     assert got == ["a", "b", "c", "d"]
 
 
+def test_rows_without_id_or_time_stay(spark, folder):
+    files = [
+        [(7200, None, 0), (7200, None, 0), (None, "x", 0), (7205, "a", 0)],
+        [(7201, None, 0), (7206, "a", 0), (None, None, 0)],
+    ]
+    once = dedup.drop_repeats(in_files(spark, folder("in"), files))
+    runner.start_copy(once, folder("o"), "null_ids", folder("cp"), trigger=None).awaitTermination()
+    got = sorted(str(r.trans_num) for r in spark.read.parquet(folder("o")).collect())
+    assert got == ["None", "None", "None", "None", "a", "x"]
+
+
 def test_windows_close_after_the_lateness_and_drop_later_rows(spark, folder):
     day = 86400
     files = [

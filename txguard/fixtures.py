@@ -55,7 +55,7 @@ def as_transactions(events: DataFrame) -> DataFrame:
         "merch_lat": -60 + away * 5 + (event % 100).cast("double") / 100,
         "merch_long": -170 + away * 14 + (event % 37).cast("double") / 100,
     }
-    types = {f.name: f.dataType for f in schemas.struct(schemas.TRANSACTION)}
+    types = schemas.field_types(schemas.TRANSACTION)
     return events.select(
         *[columns[name].cast(kind).alias(name) for name, kind in types.items()],
         F.col("ts").alias("event_time"),

@@ -83,18 +83,19 @@ def lookup_plan(
     min_rows: int = HEAVY_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
     count_facts: bool = False,
+    dim_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """(`dim`, `heavy`) to hand to `lookup_join`, decided by counted sizes.
 
     * A stored `dim` of up to `broadcast_rows` rows is broadcast; the facts are not shuffled.
-    * With `count_facts` (a persisted micro-batch) few facts cut a large `dim` down to their own
+    * With `count_facts` (a micro-batch) few facts cut a large `dim` down to their own
       keys, by a scan of `dim` without a shuffle; what is left has no more rows than the facts
       and is broadcast.
     * Otherwise the join shuffles, with the heavy keys of `facts` cut into slices.
 
-    The count of a Parquet table reads file footers only.
+    The count of a Parquet table reads file footers only; `dim_rows` saves it where it is known.
     """
-    if dim.count() <= broadcast_rows:
+    if (dim.count() if dim_rows is None else dim_rows) <= broadcast_rows:
         return F.broadcast(dim), None
     if count_facts and facts.count() <= broadcast_rows:
         own = facts.select(key).distinct()

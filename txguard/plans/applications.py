@@ -39,12 +39,13 @@ def features_of(
     config: FraudConfig = FraudConfig(),
     ts: str = "event_time",
     count_rows: bool = False,
+    profile_rows: int | None = None,
 ) -> DataFrame:
-    """`count_rows` is for persisted micro-batches, see `operators.skew.lookup_plan`."""
+    """`count_rows` and `profile_rows` are for micro-batches, see `operators.skew.lookup_plan`."""
     if ts not in tx.columns:
         tx = with_event_time(tx, out=ts)
     profile, heavy = lookup_plan(
-        tx, profile, "cc_num", config.heavy_rows, config.broadcast_rows, count_rows
+        tx, profile, "cc_num", config.heavy_rows, config.broadcast_rows, count_rows, profile_rows
     )
     return score_features(tx, profile, heavy, ts)
 
@@ -79,15 +80,17 @@ def start_scored_stream(
     """Scored transactions to `tables`/scored, alerts to `tables`/alerts and customers to
     `customers` (arguments of `write_customers`; files under `tables`/customers by default).
 
-    Profile and models are looked up in every micro-batch, so new versions take effect in the
-    running query.
+    New versions of the profile take effect in the running query, and so do new models if
+    `models` looks them up; it is called in every micro-batch.
     """
     customers = customers or {"fmt": fmt, "path": f"{tables}/customers"}
 
     current = profiles.CurrentProfile(spark, profile_root)
 
     def score_one(batch: DataFrame) -> DataFrame:
-        return score(features_of(batch, current(), config, count_rows=True), models(), config)
+        profile = current()
+        rows = features_of(batch, profile, config, count_rows=True, profile_rows=current.rows)
+        return score(rows, models(), config)
 
     sinks = [
         partial(write_scored, path=f"{tables}/scored", fmt=fmt),
@@ -119,7 +122,8 @@ def start_flagged_stream(
 
     def flag_one(batch: DataFrame) -> DataFrame:
         averages, heavy = lookup_plan(
-            batch, current(), "cc_num", config.heavy_rows, config.broadcast_rows, count_facts=True
+            batch, current(), "cc_num", config.heavy_rows, config.broadcast_rows,
+            count_facts=True, dim_rows=current.rows,
         )
         return rules.relative_rule(
             batch, averages, "left", combine, config.distance_km, config.amount, heavy

@@ -1,5 +1,7 @@
 """Stored, versioned card profiles: computed by a job, read by every batch."""
 
+import time
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,25 +39,28 @@ def newest_version(spark: SparkSession, root: str) -> int:
 class CurrentProfile:
     """The newest version, kept on the executors until a newer one is published.
 
-    For a running stream: it looks up the version in every micro-batch, but reads the files
-    once per version. Lost executors cost a re-read of their part.
+    For a running stream, which asks in every micro-batch: the registry is read again once the
+    last look is `max_age` seconds old, the files once per version. Lost executors cost a
+    re-read of their part. `rows` is the size of the current version.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
-        self.version, self.frame = None, None
+    def __init__(self, spark: SparkSession, root: str, max_age: float = 60.0):
+        self.spark, self.root, self.max_age = spark, root, max_age
+        self.version, self.frame, self.rows, self.looked = None, None, None, None
 
     def __call__(self) -> DataFrame:
-        version = newest_version(self.spark, self.root)
-        if version != self.version:
-            self.release()
-            self.version = version
-            self.frame = read_profile(self.spark, self.root, version).persist(
-                StorageLevel.MEMORY_AND_DISK
-            )
+        now = time.monotonic()
+        if self.looked is None or now - self.looked >= self.max_age:
+            version = newest_version(self.spark, self.root)
+            if version != self.version:
+                self.release()
+                frame = read_profile(self.spark, self.root, version)
+                self.frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
+                self.version, self.rows = version, self.frame.count()
+            self.looked = now
         return self.frame
 
     def release(self) -> None:
         if self.frame is not None:
             self.frame.unpersist()
-            self.version, self.frame = None, None
+        self.version, self.frame, self.rows, self.looked = None, None, None, None

@@ -1,5 +1,7 @@
 """Record layouts, as DDL strings so that importing this module needs no session."""
 
+from functools import cache
+
 from pyspark.sql.types import StructType
 
 # Field names, order and types of the transaction record.
@@ -23,9 +25,15 @@ CUSTOMER = """
 CORRUPT_COLUMN = "_corrupt_record"
 
 
+@cache
 def struct(ddl: str) -> StructType:
     return StructType.fromDDL(ddl)
 
 
 def field_names(ddl: str) -> list[str]:
     return struct(ddl).fieldNames()
+
+
+def field_types(ddl: str) -> dict[str, str]:
+    """Type of each field, as text."""
+    return {f.name: f.dataType.simpleString() for f in struct(ddl)}

@@ -2,7 +2,6 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from txguard import schemas
 
@@ -27,14 +26,14 @@ def typed(df: DataFrame, ddl: str = schemas.TRANSACTION) -> DataFrame:
     `cast_failures` counts the fields of the row that were lost that way. Absent fields are null.
     """
     columns, lost = [], F.lit(0)
-    for field in schemas.struct(ddl):
-        if field.name not in df.columns:
-            columns.append(F.lit(None).cast(field.dataType).alias(field.name))
+    for name, kind in schemas.field_types(ddl).items():
+        if name not in df.columns:
+            columns.append(F.lit(None).cast(kind).alias(name))
             continue
-        value = F.col(field.name).try_cast(field.dataType)
-        columns.append(value.alias(field.name))
-        if not isinstance(field.dataType, StringType):
-            lost = lost + (F.col(field.name).isNotNull() & value.isNull()).cast("int")
+        value = F.col(name).try_cast(kind)
+        columns.append(value.alias(name))
+        if kind != "string":
+            lost = lost + (F.col(name).isNotNull() & value.isNull()).cast("int")
     return df.select(*columns, lost.alias("cast_failures"))
 
 

@@ -1,10 +1,13 @@
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def drop_repeats(stream: DataFrame, key: str = "trans_num", late: str = "1 hour") -> DataFrame:
     """Keeps the first row of each key; repeats must come within `late` of event time.
 
-    State holds one entry per key of that span only. The frame needs `event_ts`. For large
-    spans set the RocksDB state store in the session.
+    Rows without a key are no repeats of each other and all stay. State holds one entry per row
+    kept in that span, whatever the number of copies. The frame needs `event_ts`. For large spans
+    set the RocksDB state store in the session.
     """
-    return stream.withWatermark("event_ts", late).dropDuplicatesWithinWatermark([key])
+    identified = stream.withColumn("_id", F.coalesce(F.col(key).cast("string"), F.uuid()))
+    return identified.withWatermark("event_ts", late).dropDuplicatesWithinWatermark(["_id"]).drop("_id")

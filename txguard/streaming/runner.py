@@ -22,21 +22,19 @@ def start_scoring(
     """Starts the query. `trigger=None` handles what is there and stops.
 
     `score` runs inside each micro-batch, so tables it reads (profile, models) may be replaced
-    between batches. The batch is kept while it is worked on: the source is read once, rows are
-    scored once, and every sink gets the same rows. A failing sink fails the batch, which is then
+    between batches. The scored rows are kept while the sinks write: rows are scored once and
+    every sink gets the same. A failing sink fails the batch, which is then
     repeated; sinks must accept an epoch twice. Name and checkpoint are required, a restart with
     both goes on where it stopped.
     """
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         scored = score(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for sink in sinks:
                 sink(scored, epoch_id)
         finally:
             scored.unpersist()
-            batch.unpersist()
 
     writer = (
         stream.writeStream.foreachBatch(handle)
