@@ -222,3 +222,31 @@ def test_final_status(spark):
     ).withColumn("amt", F.col("amt").cast("decimal(9,2)"))
     got = by(rules.final_status(df), "id", "final_fraud_status")
     assert {k for k, v in got.items() if v == "FRAUD"} == {"ml", "anomaly", "rule", "null_or_true"}
+
+
+def test_state_adds_up(spark, crowd):
+    """Any split of the rows gives the profile of all rows."""
+    rows = crowd.withColumn("distance", F.col("amt").cast("double") / 7).withColumn(
+        "n", F.monotonically_increasing_id() % 3
+    )
+    whole = by(profiles.card_profile(rows), "cc_num", *profiles.card_profile(rows).columns[1:])
+    parts = [profiles.profile_state(rows.where(F.col("n") == i)) for i in range(3)]
+    merged = profiles.merge_states(profiles.merge_states(parts[0], parts[1]), parts[2])
+    assert merged.dtypes == parts[0].dtypes
+    got = by(profiles.profile_of_state(merged), "cc_num", *profiles.card_profile(rows).columns[1:])
+    assert got.keys() == whole.keys()
+    for card_number, values in whole.items():
+        assert [float(v) if v is not None else None for v in got[card_number]] == pytest.approx(
+            [float(v) if v is not None else None for v in values]
+        )
+
+
+def test_newest_rows_add_up(spark, crowd):
+    rows = crowd.where("cc_num is not null and trans_num is not null").withColumn(
+        "n", F.monotonically_increasing_id() % 2
+    )
+    old = profiles.last_transactions(rows.where("n = 0")).drop("row_num")
+    same_rows(
+        profiles.last_transactions(old.unionByName(rows.where("n = 1"))).drop("n"),
+        profiles.last_transactions(rows).drop("n"),
+    )

@@ -77,7 +77,7 @@ ERROR_RATE_LIMIT = 0.05
 # N / HEAVY_ROWS such keys, which is what bounds the broadcast of the heavy-key list
 # (5e11 rows, i.e. about 100 TB, give at most 250,000 keys).
 HEAVY_ROWS = 2_000_000
-ROWS_PER_SLICE = 1_000_000
+ROWS_PER_SLICE = 500_000
 
 # A dimension is broadcast by hint only after it was counted and has at most this many rows.
 BROADCAST_ROWS = 1_000_000

@@ -21,12 +21,70 @@ def card_profile(history: DataFrame) -> DataFrame:
     )
 
 
+def profile_state(history: DataFrame) -> DataFrame:
+    """What `card_profile` is made of, in a form that adds up: one row per card.
+
+    With a stored state a refresh reads only the new transactions (`merge_states`), never the
+    whole history again. Money is summed as exact decimals.
+    """
+    amt = F.col("amt")
+    return history.groupBy("cc_num").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(amt).alias("amounts"),
+        F.sum(amt.cast("decimal(18,2)")).cast("decimal(38,2)").alias("sum_amount"),
+        F.sum((amt * amt).cast("decimal(28,4)")).cast("decimal(38,4)").alias("sum_square"),
+        F.max(amt).alias("max_amount"),
+        F.min(amt).alias("min_amount"),
+        F.count("distance").alias("distances"),
+        F.sum("distance").alias("sum_distance"),
+    )
+
+
+def merge_states(old: DataFrame, new: DataFrame) -> DataFrame:
+    """State of both parts together. The parts must not share transactions."""
+    kinds = dict(old.dtypes)
+    pick = {"max_amount": F.max, "min_amount": F.min}
+    return (
+        old.unionByName(new)
+        .groupBy("cc_num")
+        .agg(
+            *[
+                pick.get(c, F.sum)(c).cast(kinds[c]).alias(c)
+                for c in old.columns
+                if c != "cc_num"
+            ]
+        )
+    )
+
+
+def profile_of_state(state: DataFrame) -> DataFrame:
+    """The six statistics of `card_profile` from a state."""
+    return state.select(
+        "cc_num",
+        F.try_divide(F.col("sum_amount").cast("double"), F.col("amounts")).alias("avg_amount"),
+        _deviation("amounts", "sum_amount", "sum_square").alias("std_amount"),
+        F.col("rows").alias("total_transactions"),
+        "max_amount",
+        "min_amount",
+        F.try_divide(F.col("sum_distance"), F.col("distances")).alias("avg_distance"),
+    )
+
+
+def _deviation(n: str, s: str, q: str):
+    """Sample deviation from count, sum and sum of squares. n*q - s*s is taken on exact
+    decimals, so equal amounts give exactly zero."""
+    count = F.col(n).cast("double")
+    spread = (F.col(n) * F.col(q) - F.col(s) * F.col(s)).cast("double")
+    return F.sqrt(F.try_divide(spread, count * (count - 1)))
+
+
 def last_transactions(history: DataFrame, n: int = LAST_N) -> DataFrame:
     """The newest `n` rows per card, newest first in `row_num`.
 
     Recency compares times as numbers, then transaction ids. Spark cuts each card to `n` rows
     per input partition before the shuffle (WindowGroupLimit), so a hot card costs no more
-    than n rows per map task.
+    than n rows per map task. The newest n of (stored newest n and new rows) are the newest n of
+    all, so a refresh needs no old history.
     """
     newest = Window.partitionBy("cc_num").orderBy(
         T.epoch_seconds().desc_nulls_last(), F.col("trans_num").desc_nulls_last()
@@ -98,13 +156,11 @@ def asof_profile(df: DataFrame, min_rows: int = HEAVY_ROWS) -> DataFrame:
     # A window frame over a null time holds the row itself, so rows of no card are masked.
     known = F.col("_card").isNotNull()
     count = F.when(known, F.col("_n").cast("bigint"))
-    n, s = F.col("_n").cast("double"), F.col("_s").cast("double")
-    # n*q - s*s on exact decimals, so equal amounts give exactly zero.
-    spread = (F.col("_n") * F.col("_q") - F.col("_s") * F.col("_s")).cast("double")
+    mean = F.try_divide(F.col("_s").cast("double"), F.col("_n").cast("double"))
     return joined.withColumns(
         {
             "prior_count": F.coalesce(count, F.lit(0).cast("bigint")),
-            "prior_avg": F.when(known, F.try_divide(s, n)),
-            "prior_std": F.when(known, F.sqrt(F.try_divide(spread, n * (n - 1)))),
+            "prior_avg": F.when(known, mean),
+            "prior_std": F.when(known, _deviation("_n", "_s", "_q")),
         }
     ).drop("_card", "_sec", *names)

@@ -491,3 +491,7 @@ ORACLE: dict[str, str] = {
         """,
     ),
 }
+
+# Refreshing from stored parts must give what the whole history gives.
+ORACLE["card_profile_refreshed"] = ORACLE["card_profile"]
+ORACLE["last10_avg_refreshed"] = ORACLE["last10_avg"]

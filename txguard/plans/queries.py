@@ -250,6 +250,37 @@ def last10_avg(spark, sf_dir):
     )
 
 
+def _history_parts(spark, sf_dir):
+    """The history as it would arrive: what was there before, and what came since."""
+    past = fx.history(spark, sf_dir)
+    cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    return past.where(F.col("event_time") < cut), past.where(F.col("event_time") >= cut)
+
+
+@query
+def card_profile_refreshed(spark, sf_dir):
+    """The profile from a stored state and the new part only."""
+    old, new = (
+        profiles.profile_state(features.with_distance(part)) for part in _history_parts(spark, sf_dir)
+    )
+    merged = profiles.merge_states(stored(old, "profile-state"), new)
+    return profiles.profile_of_state(merged).select(
+        "cc_num", num("avg_amount", 8), num("std_amount", 4), "total_transactions",
+        num("max_amount"), num("min_amount"), num("avg_distance", 4),
+    )
+
+
+@query
+def last10_avg_refreshed(spark, sf_dir):
+    """The last amounts from the stored newest rows and the new part only."""
+    columns = ("cc_num", "trans_num", "unix_time", "amt")
+    old, new = (part.select(*columns) for part in _history_parts(spark, sf_dir))
+    newest = stored(profiles.last_transactions(old).select(*columns), "newest")
+    return profiles.last_average(newest.unionByName(new)).select(
+        "cc_num", num("avg_transaction_amt", 8)
+    )
+
+
 @query
 def asof_profile(spark, sf_dir):
     tx = fx.transactions(spark, sf_dir).select("cc_num", "trans_num", "unix_time", "amt")
