@@ -4,7 +4,6 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
@@ -20,6 +19,7 @@ from txguard.functions.hashing import bucket_of
 from txguard.operators import anomaly, rules
 from txguard.operators.features import labelled, model_inputs
 from txguard.operators.metrics import classification_metrics
+from txguard.plans.workspace import stored
 
 log = logging.getLogger(__name__)
 
@@ -60,18 +60,18 @@ def with_inputs(df: DataFrame, columns) -> DataFrame:
 
 
 def training_rows(df: DataFrame, *more, columns) -> DataFrame:
-    """Only label and inputs, evenly spread, kept for the many passes of a training.
+    """Only label and inputs, as a table of even files in the shared folder.
 
-    One shuffle of narrow rows; without it the largest input partition would be the straggler of
-    every pass. The number of partitions is the session's shuffle setting or its cores.
+    The features are computed once, whatever happens to executors during training, and MLlib's
+    few passes before its own caching read narrow columns. REBALANCE lets adaptive execution
+    size the files by the data; otherwise the largest input partition would be the straggler
+    of every pass. Rows that fill fewer partitions than there are cores, and so are few, are
+    spread over all cores.
     """
-    spark = df.sparkSession
-    parts = max(
-        spark.sparkContext.defaultParallelism,
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-    )
     rows = with_inputs(df, columns).select(*more, *[INPUT + c for c in columns])
-    return rows.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    table = stored(rows.hint("rebalance"), "training")
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
 
 
 def split_holdout(df: DataFrame, percent: int = HOLDOUT_PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -92,10 +92,7 @@ def fit_classifier(features: DataFrame) -> PipelineModel:
     )
     label = F.col("is_fraud").cast("double").alias("label")
     rows = training_rows(labelled(features), label, columns=C.CLASSIFIER_FEATURES)
-    try:
-        return scaled_pipeline(C.CLASSIFIER_FEATURES, "scaled_features", forest).fit(rows)
-    finally:
-        rows.unpersist()
+    return scaled_pipeline(C.CLASSIFIER_FEATURES, "scaled_features", forest).fit(rows)
 
 
 def fit_clusters(features: DataFrame) -> ClusterModel:
@@ -107,18 +104,15 @@ def fit_clusters(features: DataFrame) -> ClusterModel:
         predictionCol="cluster",
     )
     rows = training_rows(features, columns=C.CLUSTER_FEATURES)
-    try:
-        fitted = scaled_pipeline(C.CLUSTER_FEATURES, "scaled_clustering", kmeans).fit(rows)
-        _, scaler, clusters = fitted.stages
-        summary = clusters.summary
-        return ClusterModel(
-            columns=C.CLUSTER_FEATURES,
-            scale=tuple(float(x) for x in scaler.std),
-            centres=tuple(tuple(float(x) for x in c) for c in clusters.clusterCenters()),
-            typical=(summary.trainingCost / sum(summary.clusterSizes)) ** 0.5,
-        )
-    finally:
-        rows.unpersist()
+    fitted = scaled_pipeline(C.CLUSTER_FEATURES, "scaled_clustering", kmeans).fit(rows)
+    _, scaler, clusters = fitted.stages
+    summary = clusters.summary
+    return ClusterModel(
+        columns=C.CLUSTER_FEATURES,
+        scale=tuple(float(x) for x in scaler.std),
+        centres=tuple(tuple(float(x) for x in c) for c in clusters.clusterCenters()),
+        typical=(summary.trainingCost / sum(summary.clusterSizes)) ** 0.5,
+    )
 
 
 def train_or_fall_back(features: DataFrame, config: FraudConfig = FraudConfig()) -> FraudModels:
