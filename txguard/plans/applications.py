@@ -13,7 +13,7 @@ from txguard.operators.features import score_features, with_event_time
 from txguard.operators.profiles import last_average
 from txguard.operators.skew import heavy_keys, lookup_plan
 from txguard.plans import profiles
-from txguard.plans.models import FraudModels, score, train_or_fall_back
+from txguard.plans.models import FraudModels, score, split_holdout, train_or_fall_back
 from txguard.sinks.customers import write_customers
 from txguard.sinks.tables import write_alerts, write_deidentified, write_scored
 from txguard.streaming.runner import start_scoring
@@ -59,9 +59,14 @@ def flag_batch(
 
 
 def train(history: DataFrame, profile: DataFrame, config: FraudConfig = FraudConfig()) -> FraudModels:
-    """Models from history, through the same features as scoring. The profile contains the
-    training rows themselves; `operators.profiles.asof_profile` gives statistics without them."""
-    return train_or_fall_back(features_of(history, profile, config), config)
+    """Models from the training split of the history, through the same features as scoring, so
+    that the hold-out split (`plans.models.split_holdout`) stays fair for measuring and comparing.
+
+    The profile contains the training rows themselves; `operators.profiles.asof_profile` gives
+    statistics without them.
+    """
+    training, _ = split_holdout(features_of(history, profile, config))
+    return train_or_fall_back(training, config)
 
 
 def start_scored_stream(

@@ -249,7 +249,8 @@ def compare_classifiers(
 def retrain(
     features: DataFrame, current: PipelineModel, days: int, ts: str = "event_time"
 ) -> tuple[PipelineModel, DataFrame]:
-    """Fits a candidate on the last `days` of the training rows and compares it on all hold-out rows.
+    """Fits a candidate on the last `days` of the training rows and compares it on all hold-out rows,
+    which `current` must not have been fitted on either (`plans.applications.train` sees to that).
 
     The result frame marks the model to use: the candidate only if it finds at least as much
     fraud with no more false alarms.

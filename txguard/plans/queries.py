@@ -714,11 +714,11 @@ def rf_score(spark, sf_dir):
 
 @query
 def rf_holdout_metrics(spark, sf_dir):
-    """Quality on rows the model has not seen: it is fitted on the training split only."""
-    _, profile = _trained(spark, sf_dir)
+    """Quality on the hold-out split of the history, which training does not see."""
+    fitted, profile = _trained(spark, sf_dir)
     rows = applications.features_of(fx.history(spark, sf_dir), profile)
-    training, holdout = models.split_holdout(rows)
-    return models.evaluate(models.classify(holdout, models.fit_classifier(training)))
+    _, holdout = models.split_holdout(rows)
+    return models.evaluate(models.classify(holdout, fitted.classifier))
 
 
 @query
