@@ -4,8 +4,9 @@ import pytest
 from compare import differences
 
 import __spark_entry__ as entry_point
+from txguard.oracle import ORACLE as SQL
+from txguard.plans.queries import QUERIES
 
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
 WITHOUT_SQL = {
     "rf_score", "rf_holdout_metrics", "kmeans_assign", "final_status_models_on",
     "model_roundtrip", "retrain_compare", "ab_metrics",
@@ -22,6 +23,11 @@ def test_equal_to_sql(spark, duck, sf, name):
     assert differences(QUERIES[name](spark, sf), duck, SQL[name]) == ""
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(SQL) <= set(entry_point.oracle_sql())
+
+
 def test_entry(spark):
     df = entry_point.entry(spark)
     assert df.count() == 178 and "final_fraud_status" in df.columns
