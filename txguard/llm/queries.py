@@ -3,13 +3,19 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txguard.llm import decontam, language, minhash, secrets
+from txguard.llm import decontam, language, minhash, packing, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -26,6 +32,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(_table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(_table(spark, sf_dir, "documents"))
 
@@ -34,6 +44,7 @@ QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_decontamination": op2_decontamination,
     "op5_secrets": op5_secrets,
+    "op8_packing": op8_packing,
     "op9_language": op9_language,
 }
 
