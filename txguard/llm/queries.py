@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txguard.llm import decontam, language, minhash, packing, secrets
+from txguard.llm import decontam, language, minhash, packing, secrets, wavelet
+from txguard.plans.workspace import new_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,12 +41,19 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(_table(spark, sf_dir, "documents"))
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_dir(spark, "token-shards")
+    wavelet.write_shards(_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), path)
+    return wavelet.read_documents(spark, path)
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_decontamination": op2_decontamination,
     "op5_secrets": op5_secrets,
     "op8_packing": op8_packing,
     "op9_language": op9_language,
+    "op10_token_files": op10_token_files,
 }
 
 _WORDS = (
