@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txguard.llm import decontam, language, minhash, packing, secrets, wavelet
+from txguard.llm import decontam, language, minhash, packing, secrets, sentences, wavelet
 from txguard.plans.workspace import new_dir
 
 
@@ -33,6 +33,15 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(_table(spark, sf_dir, "documents"))
 
 
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sentences.repeats(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_sentences", F.size("removed").cast("long").alias("n_removed"),
+        F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"),
+        (F.size("removed") > 0).alias("repeats"),
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
@@ -51,6 +60,7 @@ QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_decontamination": op2_decontamination,
     "op5_secrets": op5_secrets,
+    "op6_repeated_passages": op6_repeated_passages,
     "op8_packing": op8_packing,
     "op9_language": op9_language,
     "op10_token_files": op10_token_files,
