@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txguard.llm import decontam, language, minhash, packing, secrets, sentences, wavelet
+from txguard.llm import decontam, language, minhash, packing, secrets, sentences, vectors, wavelet
 from txguard.plans.workspace import new_dir
 
 
@@ -29,6 +29,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(_table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_decontamination": op2_decontamination,
+    "op4_near_vectors": op4_near_vectors,
     "op5_secrets": op5_secrets,
     "op6_repeated_passages": op6_repeated_passages,
     "op8_packing": op8_packing,
