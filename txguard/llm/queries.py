@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txguard.llm import decontam, language, minhash, packing, secrets, sentences, vectors, wavelet
+from txguard.llm import decontam, language, licenses, minhash, packing, secrets, sentences, urls, vectors, wavelet
 from txguard.plans.workspace import new_dir
 
 
@@ -29,6 +29,17 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a repository per source: 32 to a directory, 32 directories to one; every 32nd is a LICENSE."""
+    n = F.col("doc_id")
+    upper = F.concat(F.coalesce("source", F.lit("none")), F.lit("/a"), F.floor(n / 1024))
+    lower = F.concat(upper, F.lit("/b"), F.floor(n / 32))
+    path = F.when(n % 1024 == 0, F.concat(upper, F.lit("/LICENSE"))).when(n % 32 == 0, F.concat(lower, F.lit("/LICENSE")))
+    path = path.otherwise(F.concat(lower, F.lit("/"), n, F.lit(".txt")))
+    files = _table(spark, sf_dir, "documents").select(n.alias("id"), path.alias("path"), "text")
+    return licenses.licenses_of_files(files).withColumnRenamed("id", "doc_id")
+
+
 def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -46,6 +57,11 @@ def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = urls.judged(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
+    return found.select("page_id", "host", "path", "rule", "verdict", "mined")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
@@ -63,9 +79,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_decontamination": op2_decontamination,
+    "op3_license_scan": op3_license_scan,
     "op4_near_vectors": op4_near_vectors,
     "op5_secrets": op5_secrets,
     "op6_repeated_passages": op6_repeated_passages,
+    "op7_url_filter": op7_url_filter,
     "op8_packing": op8_packing,
     "op9_language": op9_language,
     "op10_token_files": op10_token_files,
