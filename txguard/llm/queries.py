@@ -94,7 +94,64 @@ _WORDS = (
     "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 )
 
+_TERMS = f"regexp_extract_all(lower({{}}), '{licenses.TERM}')"
+_NOTICES = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(licenses.TEMPLATES))
+
 ORACLE = {
+    "op3_license_scan": f"""
+        WITH notices AS (SELECT * FROM (VALUES {_NOTICES}) AS v(template, license, body)),
+        template_terms AS (
+            SELECT template, license, term, count(*) AS c
+            FROM (SELECT template, license, unnest({_TERMS.format('body')}) AS term FROM notices) GROUP BY ALL),
+        n AS (SELECT count(*) AS n FROM documents),
+        df AS (
+            SELECT term, count(*) AS df
+            FROM (SELECT unnest(list_distinct({_TERMS.format('text')})) AS term FROM documents) GROUP BY term),
+        idf AS (
+            SELECT DISTINCT term, 1 + ln((n + 1.0) / (coalesce(df, 0) + 1)) AS idf
+            FROM template_terms CROSS JOIN n LEFT JOIN df USING (term)),
+        vectors AS (SELECT template, license, term, c * idf AS v FROM template_terms JOIN idf USING (term)),
+        template_sizes AS (SELECT template, sqrt(sum(v * v)) AS size FROM vectors GROUP BY template),
+        passages AS (
+            SELECT doc_id, unnest(list_distinct(list_concat(string_split(text, chr(10)), string_split(
+                regexp_replace(text, '([.!?])[ \\t\\r\\n]+', '\\1' || chr(1), 'g'), chr(1))))) AS passage
+            FROM documents),
+        counts AS (
+            SELECT passage, term, count(*) AS c
+            FROM (SELECT passage, unnest({_TERMS.format('passage')}) AS term FROM (SELECT DISTINCT passage FROM passages))
+            GROUP BY ALL),
+        sizes AS (
+            SELECT passage, sqrt(sum(pow(c * coalesce(idf, 1 + ln(n + 1.0)), 2))) AS size
+            FROM counts CROSS JOIN n LEFT JOIN idf USING (term) GROUP BY passage),
+        dots AS (
+            SELECT passage, template, license, sum(c * idf * v) AS dot
+            FROM counts JOIN idf USING (term) JOIN vectors USING (term) GROUP BY ALL),
+        scores AS (
+            SELECT passage, license, round(dot / (sizes.size * template_sizes.size), 6) AS score
+            FROM dots JOIN sizes USING (passage) JOIN template_sizes USING (template)),
+        ranked AS (
+            SELECT doc_id, license, score, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license) AS r
+            FROM passages JOIN scores USING (passage) WHERE score >= 0.8),
+        files AS (
+            SELECT doc_id, license, score,
+                coalesce(source, 'none') || '/a' || doc_id // 1024 || CASE
+                    WHEN doc_id % 1024 = 0 THEN '/LICENSE' WHEN doc_id % 32 = 0 THEN '/b' || doc_id // 32 || '/LICENSE'
+                    ELSE '/b' || doc_id // 32 || '/' || doc_id || '.txt' END AS path
+            FROM documents LEFT JOIN (SELECT doc_id, license, score FROM ranked WHERE r = 1) USING (doc_id)),
+        placed AS (SELECT *, regexp_replace(path, '/[^/]*$', '') AS dir FROM files),
+        given AS (
+            SELECT * FROM (
+                SELECT dir, license, score, path, row_number() OVER (PARTITION BY dir ORDER BY score DESC, license, path) AS r
+                FROM placed WHERE license IS NOT NULL AND path LIKE '%/LICENSE') WHERE r = 1),
+        handed AS (
+            SELECT p.doc_id, g.license, g.score, g.path,
+                row_number() OVER (PARTITION BY p.doc_id ORDER BY length(g.dir) DESC) AS r
+            FROM placed p JOIN given g ON p.dir = g.dir OR starts_with(p.dir, g.dir || '/'))
+        SELECT p.doc_id, p.path, coalesce(p.license, h.license) AS license, coalesce(p.score, h.score) AS score,
+            CASE WHEN p.license IS NOT NULL THEN 'own' WHEN h.license IS NOT NULL THEN 'inherited' END AS origin,
+            CASE WHEN p.license IS NOT NULL THEN p.path ELSE h.path END AS origin_path
+        FROM placed p LEFT JOIN (SELECT * FROM handed WHERE r = 1) h USING (doc_id)
+    """,
     "op2_decontamination": f"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
