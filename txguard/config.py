@@ -15,6 +15,5 @@ class FraudConfig:
     cluster_score: str = "distance"  # or "label": constant per cluster id
     classifier_score: str = "fraud"  # or "confidence": probability of the predicted class
     trigger: str = C.TRIGGER
-    max_offsets_per_trigger: int = C.MAX_OFFSETS_PER_TRIGGER
     heavy_rows: int = C.HEAVY_ROWS
     broadcast_rows: int = C.BROADCAST_ROWS

@@ -2,6 +2,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txguard import constants as C
+from txguard import schemas
 from txguard.functions import hashing
 
 
@@ -11,7 +12,8 @@ def customer_rows(df: DataFrame, status: str) -> DataFrame:
 
 
 def deidentified(df: DataFrame) -> DataFrame:
-    return df.drop(*C.DROPPED_PII)
+    """Without the personal columns, and without the raw text of messages that could not be decoded."""
+    return df.drop(*C.DROPPED_PII, schemas.CORRUPT_COLUMN)
 
 
 def masked(df: DataFrame, salt: str) -> DataFrame:

@@ -81,13 +81,13 @@ def _deviation(n: str, s: str, q: str):
 def last_transactions(history: DataFrame, n: int = LAST_N) -> DataFrame:
     """The newest `n` rows per card, newest first in `row_num`.
 
-    Recency compares times as numbers, then transaction ids. Spark cuts each card to `n` rows
+    Recency compares times as numbers, then transaction ids, then amounts. Spark cuts each card to `n` rows
     per input partition before the shuffle (WindowGroupLimit), so a hot card costs no more
     than n rows per map task. The newest n of (stored newest n and new rows) are the newest n of
     all, so a refresh needs no old history.
     """
     newest = Window.partitionBy("cc_num").orderBy(
-        T.epoch_seconds().desc_nulls_last(), F.col("trans_num").desc_nulls_last()
+        T.epoch_seconds().desc_nulls_last(), F.col("trans_num").desc_nulls_last(), F.col("amt").desc_nulls_last()
     )
     return history.withColumn("row_num", F.row_number().over(newest)).where(F.col("row_num") <= n)
 

@@ -9,13 +9,18 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from txguard.config import FraudConfig
 from txguard.operators import rules
+from txguard.operators.enrichment import with_customer
 from txguard.operators.features import score_features, with_event_time
 from txguard.operators.profiles import last_average
 from txguard.operators.skew import heavy_keys, lookup_plan
 from txguard.plans import profiles
 from txguard.plans.models import FraudModels, score, split_holdout, train_or_fall_back
+from txguard.schemas import CORRUPT_COLUMN
 from txguard.sinks.customers import write_customers
-from txguard.sinks.tables import write_alerts, write_deidentified, write_scored
+from txguard.sinks.tables import (
+    write_alerts, write_bad_messages, write_deidentified, write_quality, write_scored,
+)
+from txguard.sources.payload import is_corrupt
 from txguard.streaming.runner import start_scoring
 
 
@@ -81,9 +86,13 @@ def start_scored_stream(
     fmt: str = "parquet",
     customers: dict | None = None,
     available_now: bool = False,
+    enrich: Callable[[], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Scored transactions to `tables`/scored, alerts to `tables`/alerts and customers to
     `customers` (arguments of `write_customers`; files under `tables`/customers by default).
+    A quality report per micro-batch goes to `tables`/quality. Of a stream from `payload.decode`, messages that
+    could not be decoded go to `tables`/bad_messages and are not scored. With `enrich`, looked up in every micro-batch,
+    scored rows carry the columns of their customer, prefixed `customer_`.
 
     New versions of the profile take effect in the running query, and so do new models if
     `models` looks them up; it is called in every micro-batch.
@@ -92,10 +101,22 @@ def start_scored_stream(
 
     current = profiles.CurrentProfile(spark, profile_root)
 
+    decoded = CORRUPT_COLUMN in stream.columns
+
+    def good(batch: DataFrame) -> DataFrame:
+        return batch.where(~is_corrupt()).drop(CORRUPT_COLUMN) if decoded else batch
+
     def score_one(batch: DataFrame) -> DataFrame:
+        batch = good(batch)
         profile = current()
         rows = features_of(batch, profile, config, count_rows=True, profile_rows=current.rows)
-        return score(rows, models(), config)
+        scored = score(rows, models(), config)
+        return with_customer(scored, enrich()) if enrich else scored
+
+    def check(batch: DataFrame, epoch_id: int) -> None:
+        write_quality(good(batch), epoch_id, f"{tables}/quality", fmt)
+        if decoded:
+            write_bad_messages(batch, epoch_id, f"{tables}/bad_messages", fmt)
 
     sinks = [
         partial(write_scored, path=f"{tables}/scored", fmt=fmt),
@@ -103,7 +124,7 @@ def start_scored_stream(
         partial(write_customers, **customers),
     ]
     trigger = None if available_now else config.trigger
-    return start_scoring(stream, score_one, sinks, name, checkpoint, trigger)
+    return start_scoring(stream, score_one, sinks, name, checkpoint, trigger, [check])
 
 
 def start_flagged_stream(

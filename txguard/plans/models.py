@@ -24,6 +24,7 @@ from txguard.plans.workspace import stored
 log = logging.getLogger(__name__)
 
 HOLDOUT_PERCENT = 20
+TRAINING_PARTITIONS = 8
 INPUT = "in_"
 
 
@@ -59,19 +60,32 @@ def with_inputs(df: DataFrame, columns) -> DataFrame:
     return model_inputs(df, columns, INPUT)
 
 
-def training_rows(df: DataFrame, *more, columns) -> DataFrame:
-    """Only label and inputs, as a table of even files in the shared folder.
+def training_table(features: DataFrame, path: str | None = None) -> DataFrame:
+    """Id, time, label and model inputs of feature rows, stored once for all fits and comparisons.
 
-    The features are computed once, whatever happens to executors during training, and MLlib's
-    few passes before its own caching read narrow columns. REBALANCE lets adaptive execution
-    size the files by the data; otherwise the largest input partition would be the straggler
-    of every pass. Rows that fill fewer partitions than there are cores, and so are few, are
-    spread over all cores.
+    Without `path` the table goes to the session's shared folder.
     """
-    rows = with_inputs(df, columns).select(*more, *[INPUT + c for c in columns])
-    table = stored(rows.hint("rebalance"), "training")
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    columns = tuple(dict.fromkeys((*C.CLASSIFIER_FEATURES, *C.CLUSTER_FEATURES)))
+    time = [F.col("event_time")] if "event_time" in features.columns else []
+    narrow = with_inputs(features, columns).select(
+        "trans_num", *time, F.col("is_fraud").cast("double").alias("label"), "is_fraud",
+        *[INPUT + c for c in columns],
+    )
+    if path is None:
+        return stored(narrow, "training")
+    narrow.write.mode("overwrite").parquet(path)
+    return features.sparkSession.read.parquet(path)
+
+
+def laid_out(table: DataFrame) -> DataFrame:
+    """The rows of a training table in partitions and an order that follow from the rows alone.
+
+    Bootstrap samples and the start of k-means depend on partitions and order, so a layout that followed
+    files or cores would give each machine another model. Partitions hold about
+    ROWS_PER_TRAINING_PARTITION rows.
+    """
+    n = max(TRAINING_PARTITIONS, -(-table.count() // C.ROWS_PER_TRAINING_PARTITION))
+    return table.repartition(n, F.xxhash64("trans_num")).sortWithinPartitions(*table.columns)
 
 
 def split_holdout(df: DataFrame, percent: int = HOLDOUT_PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -80,8 +94,8 @@ def split_holdout(df: DataFrame, percent: int = HOLDOUT_PERCENT) -> tuple[DataFr
     return df.where(~held), df.where(held)
 
 
-def fit_classifier(features: DataFrame) -> PipelineModel:
-    """Random forest on scaled inputs."""
+def fit_classifier(table: DataFrame) -> PipelineModel:
+    """Random forest on scaled inputs of a training table."""
     forest = RandomForestClassifier(
         labelCol="label",
         featuresCol="scaled_features",
@@ -90,12 +104,12 @@ def fit_classifier(features: DataFrame) -> PipelineModel:
         seed=C.SEED,
         maxMemoryInMB=1024,
     )
-    label = F.col("is_fraud").cast("double").alias("label")
-    rows = training_rows(labelled(features), label, columns=C.CLASSIFIER_FEATURES)
+    inputs = [INPUT + c for c in C.CLASSIFIER_FEATURES]
+    rows = laid_out(labelled(table).select("trans_num", "label", *inputs))
     return scaled_pipeline(C.CLASSIFIER_FEATURES, "scaled_features", forest).fit(rows)
 
 
-def fit_clusters(features: DataFrame) -> ClusterModel:
+def fit_clusters(table: DataFrame) -> ClusterModel:
     kmeans = KMeans(
         k=C.CLUSTERS,
         seed=C.SEED,
@@ -103,7 +117,7 @@ def fit_clusters(features: DataFrame) -> ClusterModel:
         featuresCol="scaled_clustering",
         predictionCol="cluster",
     )
-    rows = training_rows(features, columns=C.CLUSTER_FEATURES)
+    rows = laid_out(table.select("trans_num", *[INPUT + c for c in C.CLUSTER_FEATURES]))
     fitted = scaled_pipeline(C.CLUSTER_FEATURES, "scaled_clustering", kmeans).fit(rows)
     _, scaler, clusters = fitted.stages
     summary = clusters.summary
@@ -116,24 +130,19 @@ def fit_clusters(features: DataFrame) -> ClusterModel:
 
 
 def train_or_fall_back(features: DataFrame, config: FraudConfig = FraudConfig()) -> FraudModels:
-    """Models from labelled feature rows; those switched off, or without rows to learn from, are
-    None and scoring falls back to rules. A failed training is logged and falls back too."""
-    rows = labelled(features)
-    if not (config.use_classifier or config.use_clusters) or rows.isEmpty():
+    """Models from labelled feature rows. Those switched off, or that cannot be learned from these rows,
+    are None and scoring falls back to rules: no rows, or no two classes 0 and 1 for the classifier.
+    Any other failure is raised."""
+    if not (config.use_classifier or config.use_clusters):
         return FraudModels()
-
-    def attempt(wanted: bool, fit: Callable, what: str):
-        if not wanted:
-            return None
-        try:
-            return fit(rows)
-        except Exception:
-            log.exception("training the %s failed, scoring falls back to rules", what)
-            return None
-
+    table = training_table(labelled(features))
+    labels = [r[0] for r in table.select("label").distinct().limit(3).collect()]
+    two = sorted(x for x in labels if x is not None) == [0.0, 1.0]
+    if config.use_classifier and labels and not two:
+        log.warning("labels %s: no classifier, scoring falls back to rules", labels)
     return FraudModels(
-        attempt(config.use_classifier, fit_classifier, "classifier"),
-        attempt(config.use_clusters, fit_clusters, "clusters"),
+        fit_classifier(table) if config.use_classifier and two else None,
+        fit_clusters(table) if config.use_clusters and labels else None,
     )
 
 
@@ -178,7 +187,9 @@ def accuracy_and_auc(scored: DataFrame) -> dict[str, float]:
 
 # --- Versions ------------------------------------------------------------------------------------
 
-REGISTRY = "version bigint, promoted boolean, detection_rate double, false_positive_rate double"
+REGISTRY = (
+    "version bigint, promoted boolean, detection_rate double, false_positive_rate double, parts array<string>"
+)
 CLUSTERS = "columns array<string>, scale array<double>, centres array<array<double>>, typical double"
 
 
@@ -201,7 +212,8 @@ def save_models(
         spark.createDataFrame([row], CLUSTERS).coalesce(1).write.mode("overwrite").parquet(
             f"{folder}/clusters"
         )
-    line = (version, promoted, detection_rate, false_positive_rate)
+    parts = [p for p in ("classifier", "clusters") if getattr(models, p) is not None]
+    line = (version, promoted, detection_rate, false_positive_rate, parts)
     spark.createDataFrame([line], REGISTRY).coalesce(1).write.mode("append").parquet(
         f"{root}/registry"
     )
@@ -218,18 +230,20 @@ def newest_version(spark: SparkSession, root: str) -> int | None:
 def load_models(
     spark: SparkSession, root: str, version: int | None = None, clusters: bool = True
 ) -> FraudModels:
-    """A stored version, by default the newest promoted one."""
+    """A stored version, by default the newest promoted one, with the parts it was stored with."""
     version = newest_version(spark, root) if version is None else version
     if version is None:
         return FraudModels()
     folder = f"{root}/version={version}"
+    parts = registry(spark, root).where(F.col("version") == version).agg(F.max("parts")).first()[0] or []
+    classifier = PipelineModel.load(f"{folder}/classifier") if "classifier" in parts else None
     found = None
-    if clusters:
+    if clusters and "clusters" in parts:
         row = spark.read.schema(CLUSTERS).parquet(f"{folder}/clusters").first()
         found = ClusterModel(
             tuple(row.columns), tuple(row.scale), tuple(tuple(c) for c in row.centres), row.typical
         )
-    return FraudModels(PipelineModel.load(f"{folder}/classifier"), found)
+    return FraudModels(classifier, found)
 
 
 # --- Retraining and comparison -------------------------------------------------------------------
@@ -238,12 +252,20 @@ def load_models(
 def compare_classifiers(
     holdout: DataFrame, current: PipelineModel, candidate: PipelineModel
 ) -> DataFrame:
-    """Metrics of both models on the same rows, one row per model."""
-    return (
-        classify(holdout, current).withColumn("model", F.lit("current"))
-        .unionByName(classify(holdout, candidate).withColumn("model", F.lit("candidate")))
-        .transform(lambda df: classification_metrics(labelled(df), "is_fraud", "prediction", ("model",)))
-    )
+    """Metrics of both models on the same rows, one row per model; the rows are scored by both in one pass.
+
+    `holdout`: feature rows, or rows of a training table.
+    """
+    ready = holdout if INPUT + C.CLASSIFIER_FEATURES[0] in holdout.columns else with_inputs(holdout, C.CLASSIFIER_FEATURES)
+    scored = labelled(ready)
+    for name, model in (("current", current), ("candidate", candidate)):
+        own = ("scaled_features_raw", "scaled_features", "rawPrediction", "probability", "prediction")
+        scored = model.transform(scored).withColumn(name, F.col("prediction")).drop(*own)
+    both = F.array(*[
+        F.struct(F.lit(name).alias("model"), F.col(name).alias("prediction")) for name in ("current", "candidate")
+    ])
+    rows = scored.select("is_fraud", F.explode(both).alias("p")).select("is_fraud", "p.*")
+    return classification_metrics(rows, "is_fraud", "prediction", ("model",))
 
 
 def retrain(
@@ -252,35 +274,42 @@ def retrain(
     """Fits a candidate on the last `days` of the training rows and compares it on all hold-out rows,
     which `current` must not have been fitted on either (`plans.applications.train` sees to that).
 
-    The result frame marks the model to use: the candidate only if it finds at least as much
-    fraud with no more false alarms.
+    The features are computed once, into a training table. The result frame (two rows, kept in memory) marks the
+    model to use: the candidate only if it finds at least as much fraud with no more false alarms.
     """
-    training, holdout = split_holdout(features)
-    newest = training.agg(F.max(ts)).first()[0]
-    recent = training.where(F.col(ts) > F.lit(newest) - F.expr(f"INTERVAL {int(days)} DAYS"))
+    named = features if ts == "event_time" else features.withColumn("event_time", F.col(ts))
+    training, holdout = split_holdout(training_table(labelled(named)))
+    newest = training.agg(F.max("event_time")).first()[0]
+    recent = training.where(F.col("event_time") > F.lit(newest) - F.expr(f"INTERVAL {int(days)} DAYS"))
     candidate = fit_classifier(recent)
-    compared = compare_classifiers(holdout, current, candidate)
-
-    def of(model, metric):
-        return F.max(F.when(F.col("model") == model, F.coalesce(metric, F.lit(0.0))))
-
-    verdict = compared.agg(
-        (
-            (of("candidate", F.col("detection_rate")) >= of("current", F.col("detection_rate")))
-            & (
-                of("candidate", F.col("false_positive_rate"))
-                <= of("current", F.col("false_positive_rate"))
-            )
-        ).alias("better")
-    ).select(
-        F.explode(
-            F.array(
-                F.struct(F.lit("candidate").alias("model"), F.col("better").alias("promoted")),
-                F.struct(F.lit("current").alias("model"), (~F.col("better")).alias("promoted")),
-            )
-        ).alias("v")
-    ).select("v.*")
-    return candidate, compared.join(verdict, "model")
+    compared = compare_classifiers(holdout, current, candidate).collect()  # two rows
+    rate = {r["model"]: (r["detection_rate"] or 0.0, r["false_positive_rate"] or 0.0) for r in compared}
+    better = rate["candidate"][0] >= rate["current"][0] and rate["candidate"][1] <= rate["current"][1]
+    rows = [(*r, better == (r["model"] == "candidate")) for r in compared]
+    names = [*compared[0].__fields__, "promoted"]
+    kinds = {"model": "string", "promoted": "boolean"}
+    rates = {n for n in names if n.endswith("_rate") or n in ("accuracy", "precision", "f1")}
+    ddl = ", ".join(f"{n} {kinds.get(n) or ('double' if n in rates else 'bigint')}" for n in names)
+    return candidate, features.sparkSession.createDataFrame(rows, ddl)
+
+
+def retrain_and_promote(
+    spark: SparkSession, features: DataFrame, root: str, days: int, ts: str = "event_time"
+) -> int:
+    """Retrains against the newest promoted version under `root`, stores the candidate as the next version and
+    lists it as promoted if it is better. Streams that look models up by `load_models` then use it.
+    Returns the number of the version."""
+    current = load_models(spark, root)
+    if current.classifier is None:
+        raise ValueError(f"no promoted classifier under {root}")
+    candidate, compared = retrain(features, current.classifier, days, ts)
+    row = compared.where("model = 'candidate'").first()
+    version = registry(spark, root).agg(F.max("version")).first()[0] + 1
+    save_models(
+        spark, FraudModels(candidate, current.clusters), root, version, row["promoted"],
+        row["detection_rate"], row["false_positive_rate"],
+    )
+    return version
 
 
 def with_arm(df: DataFrame, share_b: int = 50) -> DataFrame:

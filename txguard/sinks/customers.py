@@ -2,7 +2,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txguard.operators.privacy import customer_rows
-from txguard.sinks.tables import write_epoch
+from txguard.sinks.tables import clear_epoch, write_epoch
 
 
 def write_customers(
@@ -21,6 +21,8 @@ def write_customers(
     `connections` bounds how many tasks write to the database at once.
     """
     if df.isEmpty():
+        if fmt != "jdbc":
+            clear_epoch(df.sparkSession, epoch_id, path, fmt)
         return
     rows = customer_rows(df, status)
     if fmt != "jdbc":

@@ -15,14 +15,12 @@ def messages_from_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(_key_or_uuid(F.get_json_object("value", "$.key")), "value")
 
 
-def messages_from_arrays(spark: SparkSession, path: str, ddl: str | None = None) -> DataFrame:
-    """One message per element of JSON-array files. A file is one task, so keep files modest;
-    JSON lines have no such limit. Without `ddl` the fields are found in a pass of their own."""
-    reader = spark.read.option("multiLine", True).option("primitivesAsString", True)
-    records = (reader.schema(ddl) if ddl else reader).json(path)
-    key = F.col("key") if "key" in records.columns else F.lit(None)
-    value = F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")
-    return records.select(_key_or_uuid(key.cast("string")), value)
+def messages_from_arrays(spark: SparkSession, path: str) -> DataFrame:
+    """One message per element of JSON-array files: the element with its types, nesting and absent fields as they
+    are. A file is read whole by one task, so keep files modest; JSON lines have no such limit."""
+    files = spark.read.text(path, wholetext=True)
+    records = files.select(F.explode(F.from_json("value", "array<string>")).alias("value"))
+    return records.select(_key_or_uuid(F.get_json_object("value", "$.key")), "value")
 
 
 def publish(messages: DataFrame, fmt: str = "kafka", path: str | None = None, **options) -> None:

@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 
 from txguard.constants import SCORED_PARTITIONS
 from txguard.operators.privacy import deidentified
+from txguard.operators.quality import quality_report
 from txguard.operators.rules import alerts_only
+from txguard.schemas import CORRUPT_COLUMN
+from txguard.sources.payload import is_corrupt
 
 
 def write_epoch(
@@ -19,7 +22,8 @@ def write_epoch(
     """Puts the rows of one epoch into a table, once however often it is called.
 
     File formats get a folder per epoch that a replay overwrites, so rows that a replay
-    classifies differently leave nothing behind. The folder name is the column `epoch_id` when
+    classifies differently leave nothing behind. While it does, and after a crash until the retry, readers
+    miss that epoch. The folder name is the column `epoch_id` when
     the root is read. Delta gets its transaction id and version, which make an append idempotent.
 
     Rows are written where they are, without a shuffle by partition column: nearly all of them
@@ -32,9 +36,21 @@ def write_epoch(
         writer.mode("overwrite").save(f"{path}/epoch_id={epoch_id}")
 
 
+def clear_epoch(spark: SparkSession, epoch_id: int, path: str, fmt: str = "parquet") -> None:
+    """Takes back what an earlier try of an epoch has written, if its replay has nothing to write.
+
+    Delta keeps the first try: its transaction id makes the replay a no-op.
+    """
+    if fmt == "delta":
+        return
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/epoch_id={epoch_id}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_scored(df: DataFrame, epoch_id: int, path: str, fmt: str = "parquet") -> None:
     """Scored rows with the time of processing, partitioned for reports. Empty batches write nothing."""
     if df.isEmpty():
+        clear_epoch(df.sparkSession, epoch_id, path, fmt)
         return
     stamped = df.withColumn("processing_timestamp", F.current_timestamp())
     if fmt == "delta":
@@ -43,16 +59,37 @@ def write_scored(df: DataFrame, epoch_id: int, path: str, fmt: str = "parquet")
 
 
 def write_deidentified(df: DataFrame, epoch_id: int, path: str, fmt: str = "parquet") -> None:
-    if not df.isEmpty():
+    if df.isEmpty():
+        clear_epoch(df.sparkSession, epoch_id, path, fmt)
+    else:
         write_epoch(deidentified(df), epoch_id, path, (), fmt, "txguard-deidentified")
 
 
 def write_alerts(df: DataFrame, epoch_id: int, path: str, fmt: str = "parquet") -> None:
     raised = alerts_only(df)
-    if not raised.isEmpty():
+    if raised.isEmpty():
+        clear_epoch(df.sparkSession, epoch_id, path, fmt)
+    else:
         write_epoch(raised, epoch_id, path, (), fmt, "txguard-alerts")
 
 
+def write_bad_messages(df: DataFrame, epoch_id: int, path: str, fmt: str = "parquet") -> None:
+    """Messages that could not be decoded, as they came: a table that holds raw personal data."""
+    bad = df.where(is_corrupt()).select(F.col(CORRUPT_COLUMN).alias("message"))
+    if bad.isEmpty():
+        clear_epoch(df.sparkSession, epoch_id, path, fmt)
+    else:
+        write_epoch(bad, epoch_id, path, (), fmt, "txguard-bad-messages")
+
+
+def write_quality(df: DataFrame, epoch_id: int, path: str, fmt: str = "parquet") -> None:
+    """The quality report of one micro-batch, a row per epoch. Empty batches report nothing."""
+    if df.isEmpty():
+        clear_epoch(df.sparkSession, epoch_id, path, fmt)
+    else:
+        write_epoch(quality_report(df), epoch_id, path, (), fmt, "txguard-quality")
+
+
 def compact(
     spark: SparkSession, source: str, target: str, partitions: tuple[str, ...] = SCORED_PARTITIONS
 ) -> None:

@@ -35,9 +35,11 @@ def read_customers(spark: SparkSession, fmt: str = "jdbc", **options) -> DataFra
 def newest_customers(df: DataFrame, version: str = "epoch_id", key: str = "ssn") -> DataFrame:
     """One row per customer out of an append-only table: that of the highest `version`.
 
-    An aggregate, not a window: rows are reduced before the shuffle. Replayed appends carry the
-    same version and the same values, so either copy may win; other ties go by column values.
+    Decision: a customer with a fraud and genuine transactions in one version is FRAUD, since the version is a
+    micro-batch without order among its rows and a missed fraud costs more than a false one. Other
+    ties go by column values. An aggregate, not a window: rows are reduced before the shuffle.
     """
     rest = [c for c in df.columns if c not in (key, version)]
-    newest = F.max(F.struct(version, *rest)).alias("_newest")
+    fraud = [(F.col("status") == "FRAUD").alias("_fraud")] if "status" in rest else []
+    newest = F.max(F.struct(version, *fraud, *rest)).alias("_newest")
     return df.groupBy(key).agg(newest).select(key, "_newest.*").select(*df.columns)

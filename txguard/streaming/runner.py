@@ -18,9 +18,13 @@ def start_scoring(
     name: str,
     checkpoint: str,
     trigger: str | None = TRIGGER,
+    raw_sinks: Sequence[Sink] = (),
 ) -> StreamingQuery:
     """Starts the query. `trigger=None` handles what is there and stops.
 
+    The batch is kept before anything counts or joins it, so its source is read and decoded once; `raw_sinks` get it as
+    it came.
+
     `score` runs inside each micro-batch, so tables it reads (profile, models) may be replaced
     between batches. The scored rows are kept while the sinks write: rows are scored once and
     every sink gets the same. A failing sink fails the batch, which is then
@@ -29,12 +33,18 @@ def start_scoring(
     """
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        scored = score(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            for sink in sinks:
-                sink(scored, epoch_id)
+            for sink in raw_sinks:
+                sink(batch, epoch_id)
+            scored = score(batch).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                for sink in sinks:
+                    sink(scored, epoch_id)
+            finally:
+                scored.unpersist()
         finally:
-            scored.unpersist()
+            batch.unpersist()
 
     writer = (
         stream.writeStream.foreachBatch(handle)
