@@ -2,7 +2,7 @@
 
 A shingle is five consecutive words (`text.words`), or all words of a shorter text. Its weight is
 count x idf with idf = 1 + ln((N + 1) / (df + 1)) / ln(N + 1), between 1 and 2: N texts with words in
-the whole corpus, df those of them with a shingle in the same one of BUCKETS hash buckets. The table
+the whole corpus, df how often, counted once per text, shingles in the same one of BUCKETS hash buckets occur. The table
 of df has a fixed size, and its error as a share of N is the same for every corpus. Plain idf
 would let the few changed shingles of a copy outweigh the many it shares with a large family.
 
@@ -11,9 +11,11 @@ BANDS x ROWS samples; classes that share a band are compared, first by the share
 then by the weighted Jaccard similarity of their whole texts, and linked from SIMILARITY on.
 In a band bucket not all pairs are made: some members (pivots) meet all that are not yet in their
 component, links are joined to components, and this is repeated with more pivots; at last
-everything outside the largest component of a bucket meets whatever is not in its own component. So no
-link between two components is lost. A pair of similarity 0.8 shares a band with probability
-1 - (1 - 0.8^4)^14 = 0.9994 and fails AGREE with less than 0.00001.
+everything outside the largest component of a bucket meets whatever is not in its own component. From
+the second time on, in buckets of more than FEW members, pairs are left out that cannot link: a text shares with other components no more than
+the weight S of its shingles that occur in one, so weights W, W' allow a similarity of
+min(S, S') / (W + W' - min(S, S')) at most. So no link between two components is lost. A pair of similarity 0.8 shares a band with probability
+1 - (1 - 0.8^4)^13 = 0.9989 and fails AGREE with less than 0.0001.
 
 Null texts and texts without words resemble nothing: each is its own class. Rows that repeat, also those
 with the same id, follow their text. A null id takes part; a class is named by its smallest id.
@@ -34,13 +36,16 @@ from txguard.llm.components import components
 from txguard.plans.workspace import stored
 
 SHINGLE, SIMILARITY = 5, 0.8
-BANDS, ROWS = 14, 4
-AGREE = 30  # of BANDS * ROWS samples; 0.8 gives 44.8 on average, with a deviation of 3
+BANDS, ROWS = 13, 4
+AGREE = 30  # of BANDS * ROWS samples; 0.8 gives 41.6 on average, with a deviation of 2.9
 BUCKETS = 1 << 17
 PIVOTS = (1, 8)
+FEW = 32
 _SAMPLES = BANDS * ROWS
 _HASH_BITS = 44
-_TABLE = 1 << 16
+_TABLE_BITS = 14
+_TABLE = 1 << _TABLE_BITS
+_TOGETHER = 1 << 13
 
 
 def shingles(texts: list, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, text.Words]:
@@ -65,7 +70,7 @@ def _bucket(shingle: np.ndarray) -> np.ndarray:
 
 
 def document_frequencies(docs: DataFrame) -> DataFrame:
-    """(bucket, n): texts with a shingle in each bucket; bucket -1: texts with words."""
+    """(bucket, n): shingles of texts, each once per text, in each bucket; bucket -1: texts with words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(BUCKETS, dtype=np.int64), 0
@@ -73,7 +78,7 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
             texts = batch.column(0).to_pylist()
             for part in text.chunks(texts):
                 doc, own, _, _ = shingles(texts[part])
-                total += np.bincount(np.unique(doc * BUCKETS + _bucket(own)) % BUCKETS, minlength=BUCKETS)
+                total += np.bincount(_bucket(own), minlength=BUCKETS)
                 n += len(np.unique(doc))
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
@@ -94,38 +99,50 @@ def idf_table(docs: DataFrame) -> np.ndarray:
 
 
 def _draws() -> tuple[np.ndarray, ...]:
-    """Draws of the sampling scheme, looked up by hash: 1/r, r, beta and ln c with r, c ~ Gamma(2, 1)."""
+    """Draws of the sampling scheme, looked up by hash: r, beta, r (beta - 1) and ln c with r, c ~ Gamma(2, 1)."""
     u = (text.randoms(11, 5 * _TABLE) >> np.uint64(11)).astype(float).reshape(5, _TABLE)
     u = (u + 0.5) / (1 << 53)
     r = -np.log(u[0] * u[1])
-    return 1 / r, r, u[2], np.log(-np.log(u[3] * u[4]))
+    return tuple(x.astype(np.float32) for x in (r, u[2], r * (u[2] - 1), np.log(-np.log(u[3] * u[4]))))
 
 
-_SEED = text.randoms(12, 2 * _SAMPLES) | np.uint64(1)
+_SEED = (text.randoms(12, 2 * _SAMPLES) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+_DRAWS = _draws()
 
 
 def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Texts that have shingles, and the samples of each: one row of 32-bit numbers per text."""
     have, at = np.unique(doc, return_index=True)
     out = np.zeros((len(have), _SAMPLES), dtype=np.uint32)
-    inverse, r, beta, ln_c = _draws()
-    step = 1 << 15
-    log = np.log(weight)
-    high = np.uint64(0xFFFFFFFF)
-    for j in range(_SAMPLES):
-        best = np.empty(len(shingle), dtype=np.uint64)
-        for a in range(0, len(shingle), step):
-            s = shingle[a : a + step] * _SEED[2 * j]
-            s ^= s >> np.uint64(29)
+    r, beta, shift, ln_c = _DRAWS
+    short = (shingle >> np.uint64(32)).astype(np.uint32)
+    log = np.log(weight).astype(np.float32)
+    ends = np.append(at[1:], len(shingle))
+    d = 0
+    while d < len(have):  # texts that fit the processor's cache together
+        e = max(d + 1, int(np.searchsorted(ends, at[d] + _TOGETHER, side="right")))
+        own, ln_w, begin = short[at[d] : ends[e - 1]], log[at[d] : ends[e - 1]], at[d:e] - at[d]
+        both = np.empty((len(own), 2), dtype=np.uint32)  # name and rank, read as one little-endian number
+        one = both.view("<u8").ravel()
+        for j in range(_SAMPLES):
+            s = own * _SEED[2 * j]
+            s ^= s >> np.uint32(15)
             s *= _SEED[2 * j + 1]
-            u = (s >> np.uint64(48)).astype(np.intp)
-            c = ((s >> np.uint64(32)) & np.uint64(_TABLE - 1)).astype(np.intp)
-            t = np.floor(log[a : a + step] * inverse[u] + beta[u])
-            ln_a = ln_c[c] - r[u] * (t - beta[u] + 1)
-            rank = (ln_a + 1000).astype(np.float32).view(np.uint32).astype(np.uint64)
-            name = (s ^ (t.astype(np.int64).view(np.uint64) * _SEED[0])) & high
-            best[a : a + step] = (rank << np.uint64(32)) | name
-        out[:, j] = (np.minimum.reduceat(best, at) & high).astype(np.uint32)
+            s ^= s >> np.uint32(16)
+            u = (s >> np.uint32(32 - _TABLE_BITS)).astype(np.intp)
+            c = ((s >> np.uint32(2)) & np.uint32(_TABLE - 1)).astype(np.intp)
+            scale = r.take(u, mode="clip")
+            t = ln_w / scale
+            t += beta.take(u, mode="clip")
+            np.floor(t, out=t)
+            scale *= t  # ln a = ln c - r (t - beta + 1)
+            np.subtract(shift.take(u, mode="clip"), scale, out=scale)
+            scale += ln_c.take(c, mode="clip")
+            scale += np.float32(64)
+            both[:, 1] = scale.view(np.uint32)
+            np.bitwise_xor(s, t.astype(np.int32).view(np.uint32) * _SEED[0], out=both[:, 0])
+            out[d:e, j] = np.minimum.reduceat(one, begin).astype(np.uint32)
+        d = e
     return have, out
 
 
@@ -254,7 +271,10 @@ def _judged(docs: DataFrame, least: float) -> DataFrame:
 
     links, found = None, None
     for most in (*PIVOTS, None):
-        pairs = _pairs(live, found, most)
+        named = _open(live, found)
+        if found is not None:
+            named = stored(_linkable(named, texts, table, least), "minhash-open")
+        pairs = _pairs(named, most, least)
         a = members.select(F.col("key").alias("a"), F.col("samples").alias("x"))
         b = members.select(F.col("key").alias("b"), F.col("samples").alias("y"))
         alike = F.aggregate(F.zip_with("x", "y", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
@@ -279,20 +299,59 @@ def _judged(docs: DataFrame, least: float) -> DataFrame:
     )
 
 
-def _pairs(live: DataFrame, found: DataFrame | None, most: int | None) -> DataFrame:
+def _open(live: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Members of the buckets that hold more than one component, with their component."""
+    if found is None:
+        return live.withColumn("component", F.col("key"))
+    named = live.join(found.toDF("key", "component"), "key", "left").withColumn(
+        "component", F.coalesce("component", "key")
+    )
+    ends = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    return named.join(ends.where("lo <> hi").select("bucket"), "bucket")
+
+
+def _linkable(named: DataFrame, texts: DataFrame, table, least: float) -> DataFrame:
+    """Members with their total weight and that of shingles which occur in another component (both 0 in buckets of
+    FEW, where all pairs are few), without members whose share of the latter is too small for a link."""
+    sizes = named.groupBy("bucket").agg(F.count("*").alias("size"))
+    named = stored(named.join(sizes, "bucket"), "minhash-named")
+    large = named.where(F.col("size") > FEW)
+    bounds = _bounds(large, texts, table).where(F.col("shared") >= least * F.col("total"))
+    few = named.where(F.col("size") <= FEW).select("bucket", "key", "component", F.lit(0.0).alias("total"), F.lit(0.0).alias("shared"))
+    large = large.join(bounds.withColumnRenamed("name", "_name"), F.xxhash64("key") == F.col("_name"))
+    return few.union(large.select("bucket", "key", "component", "total", "shared"))
+
+
+def _bounds(named: DataFrame, texts: DataFrame, table) -> DataFrame:
+    """name (64-bit hash of the key), total weight, and weight of the shingles in another component of the members."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, components_ = batch.column(0), batch.column(1)
+            texts = batch.column(2).to_pylist()
+            for part in text.chunks(texts, text.CHUNK_BYTES // 8):
+                doc, own, count, _ = shingles(texts[part])
+                at = pa.array(doc + part.start)
+                weight = (count * table.value[_bucket(own)]).astype(np.float32)
+                yield pa.RecordBatch.from_arrays(
+                    [names.take(at), components_.take(at), pa.array(own.view(np.int64)), pa.array(weight)],
+                    ["name", "component", "shingle", "weight"])
+
+    members = named.select("key", F.xxhash64("component").alias("component")).distinct().join(texts, "key")
+    members = members.select(F.xxhash64("key").alias("name"), "component", "text")
+    every = members.mapInArrow(run, "name long, component long, shingle long, weight float")
+    ends = every.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    common = ends.where("lo <> hi").select("shingle", F.lit(True).alias("common"))
+    shared = F.sum(F.when(F.col("common"), F.col("weight")).otherwise(0.0)) * (1 + 1e-6) + 1e-6  # above rounding
+    return every.join(common, "shingle", "left").groupBy("name").agg(F.sum("weight").alias("total"), shared.alias("shared"))
+
+
+def _pairs(named: DataFrame, most: int | None, least: float) -> DataFrame:
     """Pairs (a < b) of classes to be compared in this round, each once.
 
     `most` pivots of each bucket, chosen by hash, meet the members outside their component; None: all
     members outside the largest component of the bucket do.
     """
-    if found is None:
-        named = live.withColumn("component", F.col("key"))
-    else:
-        named = live.join(found.toDF("key", "component"), "key", "left").withColumn(
-            "component", F.coalesce("component", "key")
-        )
-    open_ = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    named = named.join(open_.where("lo <> hi").select("bucket"), "bucket")
     if most:
         by = W.partitionBy("bucket").orderBy(F.xxhash64("bucket", "key"), "key")
         pivots = named.withColumn("place", F.row_number().over(by)).where(F.col("place") <= most)
@@ -300,8 +359,15 @@ def _pairs(live: DataFrame, found: DataFrame | None, most: int | None) -> DataFr
         sizes = named.groupBy("bucket", "component").count()
         largest = sizes.groupBy("bucket").agg(F.max(F.struct("count", "component"))["component"].alias("largest"))
         pivots = named.join(largest, "bucket").where("component <> largest")
-    pivots = pivots.select("bucket", F.col("key").alias("p"), F.col("component").alias("pc"))
-    met = named.join(pivots, "bucket").where("component <> pc")
+    bounded = "total" in named.columns
+    pivots = pivots.select(
+        "bucket", F.col("key").alias("p"), F.col("component").alias("pc"),
+        *([F.col("total").alias("pt"), F.col("shared").alias("ps")] if bounded else []),
+    )
+    met = F.col("component") != F.col("pc")
+    if bounded:  # the bound on the similarity, solved for the shared weight
+        met &= F.least("shared", "ps") * (1 + 1 / least) * (1 + 1e-6) + 1e-6 >= F.col("total") + F.col("pt")
+    met = named.join(pivots, "bucket").where(met)
     return met.select(F.least("key", "p").alias("a"), F.greatest("key", "p").alias("b")).distinct()
 
 
