@@ -106,7 +106,7 @@ def licenses_of_files(files: DataFrame, templates: list | None = None, least: fl
     n, df = frequencies(files, vocabulary)
     idf = {t: 1 + math.log((n + 1) / (df.get(t, 0) + 1)) for t in vocabulary}
     vectors = template_vectors(templates, idf)
-    anchor = "|".join(re.escape(t) for t in sorted(needed_terms(vectors, least)))
+    needed = F.array(*[F.lit(t) for t in sorted(needed_terms(vectors, least))])
     weights = spark.createDataFrame(
         [(t, idf[t], i, name, v[t]) for i, (name, v) in enumerate(vectors) for t in v],
         "term string, idf double, template int, license string, weight double",
@@ -114,8 +114,9 @@ def licenses_of_files(files: DataFrame, templates: list | None = None, least: fl
     known = spark.createDataFrame([(t, idf[t]) for t in vocabulary], "term string, idf double")
 
     files = files.select("id", "path", "text").withColumn("_key", F.xxhash64("text"))
-    near = files.where(F.lower("text").rlike(anchor)).select("id", "path", "_key", F.explode(passages_of(F.col("text"))).alias("passage"))
-    near = stored(near.where(F.lower("passage").rlike(anchor)), "license-passages")
+    near = files.where(F.arrays_overlap(terms_of(F.col("text")), needed))
+    near = near.select("id", "path", "_key", F.explode(passages_of(F.col("text"))).alias("passage"))
+    near = stored(near.where(F.arrays_overlap(terms_of(F.col("passage")), needed)), "license-passages")
     counts = near.select("passage").distinct().select("passage", F.explode(terms_of(F.col("passage"))).alias("term"))
     counts = counts.groupBy("passage", "term").agg(F.count("*").alias("tf"))
     sizes = counts.join(known, "term", "left").groupBy("passage").agg(
