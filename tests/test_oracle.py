@@ -7,15 +7,10 @@ import __spark_entry__ as entry_point
 from txguard.oracle import ORACLE as SQL
 from txguard.plans.queries import QUERIES
 
-WITHOUT_SQL = {
-    "rf_score", "rf_holdout_metrics", "kmeans_assign", "final_status_models_on",
-    "model_roundtrip", "retrain_compare", "ab_metrics",
-}
 
 
-def test_only_models_have_no_sql():
-    assert set(QUERIES) - set(SQL) == WITHOUT_SQL
-    assert not set(SQL) - set(QUERIES)
+def test_all_have_sql():
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

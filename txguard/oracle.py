@@ -43,7 +43,7 @@ hist AS (SELECT * FROM d WHERE ts < %(start)s),
 live AS (SELECT * FROM d WHERE ts >= %(start)s),
 off AS (
   SELECT *, CASE WHEN distance > 1500 AND amt > 500 THEN 'FRAUD' ELSE 'GENUINE' END AS final_fraud_status
-  FROM live
+  FROM d
 ),
 bad AS (
   SELECT * REPLACE (
@@ -169,29 +169,28 @@ COUNTS = """
 """
 FIELDS = (
     "_c0 string, ssn string, cc_num string, first string, last string, gender string, street string,"
-    " city string, state string, zip decimal(5;0), lat decimal(9;6), long decimal(9;6), city_pop string,"
+    " city string, state string, zip decimal(5,0), lat decimal(9,6), long decimal(9,6), city_pop string,"
     " job string, dob string, acct_num string, profile string, trans_num string, trans_date string,"
-    " trans_time string, unix_time string, category string, amt decimal(9;2), is_fraud decimal(9;0),"
-    " merchant string, merch_lat decimal(9;6), merch_long decimal(9;6)"
+    " trans_time string, unix_time string, category string, amt decimal(9,2), is_fraud decimal(9,0),"
+    " merchant string, merch_lat decimal(9,6), merch_long decimal(9,6)"
 )
 SCHEMA_ROWS = ", ".join(
-    "({}, '{}', '{}')".format(i, *f.strip().replace(";", ",").split(" "))
-    for i, f in enumerate(FIELDS.split(","))
+    "({}, '{}', '{}')".format(i, *f.split(" ")) for i, f in enumerate(FIELDS.split(", "))
 )
 
 ORACLE: dict[str, str] = {
-    "src_history_typed": tx(f"SELECT {HISTORY_COLUMNS} FROM hist"),
-    "src_history_stored": tx(f"SELECT {HISTORY_COLUMNS} FROM hist"),
+    "src_history_typed": tx(f"SELECT {HISTORY_COLUMNS} FROM tx"),
+    "src_history_stored": tx(f"SELECT {HISTORY_COLUMNS} FROM tx"),
     "src_history_untyped": tx(
         f"SELECT {HISTORY_COLUMNS}, _c0, CASE WHEN amt IS NULL THEN 1 ELSE 0 END AS cast_failures"
-        f" FROM bad WHERE ts < {STREAM_START}"
+        " FROM bad"
     ),
     "schema_check": tx(
         f"""
         SELECT field, CAST(i AS INT) AS expected_place, CAST(i AS INT) AS actual_place, expected,
           'string' AS actual, expected = 'string' AS matches,
           CASE WHEN field = 'amt'
-            THEN (SELECT count(*) FROM bad WHERE ts < {STREAM_START} AND amt IS NULL) ELSE 0 END AS misfits
+            THEN (SELECT count(*) FROM bad WHERE amt IS NULL) ELSE 0 END AS misfits
         FROM (VALUES {SCHEMA_ROWS}) AS v(i, field, expected)
         """
     ),
@@ -217,7 +216,7 @@ ORACLE: dict[str, str] = {
     ),
     "filter_labelled": tx(
         f"SELECT _c0, cc_num, {dbl('amt')}, {dbl('is_fraud')} FROM bad"
-        f" WHERE cc_num IS NOT NULL AND ts < {STREAM_START}"
+        " WHERE cc_num IS NOT NULL"
     ),
     "pii_masked": tx(
         """
@@ -344,7 +343,7 @@ ORACLE: dict[str, str] = {
     "alert_sink": tx(
         f"""
         SELECT trans_num, cc_num, round(s, 6) AS ml_fraud_score, {LEVEL} AS risk_level
-        FROM (SELECT *, CAST(amt AS DOUBLE) / 1000 AS s FROM live) WHERE s >= 0.6
+        FROM (SELECT *, CAST(amt AS DOUBLE) / 1000 AS s FROM d) WHERE s >= 0.6
         """
     ),
     "final_status_models_off": tx(
@@ -428,15 +427,19 @@ ORACLE: dict[str, str] = {
         f"""
         , e AS (SELECT *, CAST(CASE WHEN ts < {EPOCH_CUT} THEN 0 ELSE 1 END AS INT) AS epoch_id FROM off),
         newest AS (SELECT ssn, max(epoch_id) AS epoch_id FROM e GROUP BY ssn)
-        SELECT ssn, cc_num, first, city, dob, max(final_fraud_status) AS status, epoch_id
-        FROM e JOIN newest USING (ssn, epoch_id) GROUP BY ALL
+        SELECT ssn, cc_num, first, city, dob,
+          CASE WHEN bool_or(final_fraud_status = 'FRAUD') THEN 'FRAUD' ELSE 'GENUINE' END AS status, epoch_id
+        FROM e JOIN newest USING (ssn, epoch_id) GROUP BY ssn, cc_num, first, city, dob, epoch_id
         """
     ),
     "sink_scored_deidentified": with_(
         TX, LAST,
         select=f"""
-        SELECT trans_num, ssn, city, {dbl('amt')}, {AND_STATUS}, CAST(0 AS INT) AS pii_columns
-        FROM live JOIN averages USING (cc_num)
+        SELECT CASE WHEN n % 97 <> 0 THEN trans_num END AS trans_num, CASE WHEN n % 97 <> 0 THEN ssn END AS ssn,
+          CASE WHEN n % 97 <> 0 THEN city END AS city, CASE WHEN n % 97 <> 0 THEN CAST(amt AS DOUBLE) END AS amt,
+          CASE WHEN n % 97 <> 0 AND distance > 1500 AND CAST(amt AS DOUBLE) > avg_transaction_amt + 500
+            THEN 'fraud' ELSE 'genuine' END AS status, CAST(0 AS INT) AS pii_columns
+        FROM live LEFT JOIN averages USING (cc_num)
         """,
     ),
     "publish_json_records": tx(
@@ -459,13 +462,13 @@ ORACLE: dict[str, str] = {
         f"""
         SELECT trans_num, {dbl('amt')}, CASE WHEN ts >= {EPOCH_CUT}
             THEN CASE WHEN amt > 500 THEN 'branch' ELSE 'online' END END AS channel,
-          CAST(CASE WHEN ts < {EPOCH_CUT} THEN 0 ELSE 1 END AS INT) AS part FROM live
+          CAST(CASE WHEN ts < {EPOCH_CUT} THEN 0 ELSE 1 END AS INT) AS part FROM tx
         """
     ),
     "fraud_by_category": tx(REPORT.format(by="category")),
     "fraud_by_hour": tx(REPORT.format(by="hour")),
     "fraud_by_state": tx(REPORT.format(by="state")),
-    "fraud_by_month": tx(REPORT.format(by="year, month")),
+    "fraud_by_month": tx(REPORT.format(by="year, month, day")),
     "top_cards_by_fraud_amount": tx(TOP.format(by="cc_num")),
     "top_merchants_by_fraud_amount": tx(TOP.format(by="merchant")),
     "scaled_features": tx(
@@ -492,6 +495,77 @@ ORACLE: dict[str, str] = {
     ),
 }
 
+# Branches for large data, taken at lowered limits, must give what the ordinary ones give.
+ORACLE["velocity_features_heavy"] = ORACLE["velocity_features"]
+ORACLE["asof_profile_heavy"] = ORACLE["asof_profile"]
+ORACLE["rule_flag_sliced"] = ORACLE["rule_flag_inner"]
+ORACLE["scored_batch_shuffled"] = ORACLE["scored_batch"]
+ORACLE["scored_stream_large_profile"] = ORACLE["scored_stream"]
+ORACLE["stream_dedup_late"] = ORACLE["stream_dedup"]
+
+ORACLE["stream_bad_messages"] = tx(
+    """
+    SELECT 'scored' AS "table", trans_num AS what FROM tx WHERE n % 97 <> 0
+    UNION ALL SELECT 'bad', substr('{"_c0":"' || _c0 || '","ssn":"' || ssn || '","cc_num":"' || cc_num || '"', 1, 25)
+    FROM tx WHERE n % 97 = 0
+    """
+)
+ORACLE["stream_quality"] = tx(
+    """
+    SELECT CAST(4 AS BIGINT) AS batches, count(*) AS total_records, CAST(0 AS BIGINT) AS null_ssn_count,
+      CAST(0 AS BIGINT) AS null_amount_count, count(*) FILTER (amt <= 0) AS invalid_amount_count
+    FROM tx WHERE n % 97 <> 0
+    """
+)
+ORACLE["scored_stream_enriched"] = with_(
+    TX, CUSTOMERS,
+    select="""
+    SELECT trans_num, cust.city AS customer_city, cust.status AS customer_status, final_fraud_status
+    FROM off LEFT JOIN cust ON off.ssn = cust.ssn WHERE n % 97 <> 0
+    """,
+)
+ORACLE["alert_sink_replayed"] = tx(
+    f"""
+    SELECT trans_num, {LEVEL} AS risk_level, CAST(0 AS INT) AS epoch_id
+    FROM (SELECT *, CAST(amt AS DOUBLE) / 1000 AS s FROM d) WHERE s >= 0.6 AND n % 2 = 0
+    """
+)
+ORACLE["publish_json_array"] = tx(
+    """
+    SELECT '{"trans_num":"' || trans_num || '","n":' || n || ',"even":' || (n % 2 = 0)
+        || CASE WHEN n % 3 = 0 THEN ',"at":{"card":"' || cc_num || '"}' ELSE '' END || '}' AS value,
+      CAST(36 AS INT) AS key_length FROM tx
+    """
+)
+
+# What must hold row by row of models, whatever they have learned.
+BUCKET = "CAST('0x' || substr(md5({}), 1, 8) AS BIGINT) % 100"
+HELD = f"SELECT count(*) AS n, count(*) FILTER (is_fraud = 1) AS positives FROM hist WHERE {BUCKET.format('trans_num')} < 20"
+ORACLE["rf_score"] = tx(
+    f"SELECT trans_num, {dbl('is_fraud')}, true AS score_in_range, true AS confidence_is_the_larger,"
+    " true AS class_agrees FROM live"
+)
+ORACLE["kmeans_assign"] = tx("SELECT trans_num, true AS cluster_exists, true AS is_nearest FROM live")
+ORACLE["final_status_models_on"] = tx(
+    "SELECT trans_num, distance > 1500 AND amt > 500 AS by_rule, true AS status_follows_scores, true AS rule_is_kept,"
+    " true AS alert_follows_level FROM live"
+)
+ORACLE["rf_holdout_metrics"] = tx(f"SELECT *, true AS counts_add_up FROM ({HELD})")
+ORACLE["retrain_compare"] = tx(
+    f"SELECT *, true AS counts_add_up, true AS one_promoted FROM ({HELD}), (VALUES ('current'), ('candidate')) AS m(model)"
+)
+ORACLE["ab_metrics"] = tx(
+    f"""
+    SELECT CASE WHEN {BUCKET.format('cc_num')} < 50 THEN 'B' ELSE 'A' END AS arm, count(*) AS n,
+      count(*) FILTER (is_fraud = 1) AS positives, true AS counts_add_up FROM live GROUP BY 1
+    """
+)
+ORACLE["model_roundtrip"] = tx("SELECT true AS same, count(*) AS n FROM live")
+ORACLE["retrain_promote"] = (
+    "SELECT CAST(v AS BIGINT) AS version, 'classifier,clusters' AS parts, true AS newest_is_promoted, true AS loads"
+    " FROM range(1, 4) AS t(v)"
+)
+
 # Refreshing from stored parts must give what the whole history gives.
 ORACLE["card_profile_refreshed"] = ORACLE["card_profile"]
 ORACLE["last10_avg_refreshed"] = ORACLE["last10_avg"]

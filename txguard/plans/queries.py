@@ -7,17 +7,18 @@ can be compared value by value.
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txguard import constants as C
 from txguard import fixtures as fx
 from txguard import schemas
+from txguard.config import FraudConfig
 from txguard.operators import (
     analytics, anomaly, enrichment, features, metrics, monitor, privacy, profiles, quality, rules,
     velocity,
 )
-from txguard.operators.skew import heavy_keys
+from txguard.operators.skew import heavy_keys, lookup_join
 from txguard.plans import applications, models
 from txguard.plans import profiles as profile_store
 from txguard.plans.workspace import new_dir, stored
@@ -26,6 +27,7 @@ from txguard.sinks.customers import write_customers
 from txguard.sources import customers as customer_source
 from txguard.sources import history as history_source
 from txguard.sources import payload
+from txguard.sources.stream import file_stream
 from txguard.streaming import dedup, runner
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,14 +71,14 @@ def _history_columns(df: DataFrame, *more) -> DataFrame:
 @query
 def src_history_typed(spark, sf_dir):
     path = new_dir(spark, "history-csv")
-    fx.history(spark, sf_dir).drop("event_time").write.option("header", True).csv(path)
+    fx.transactions(spark, sf_dir).drop("event_time").write.option("header", True).csv(path)
     return _history_columns(history_source.read_history(spark, path))
 
 
 def _untyped_history(spark, sf_dir):
     path = new_dir(spark, "history-text")
     text = F.coalesce(F.col("amt").cast("string"), F.lit("n/a"))
-    rows = fx.with_defects(fx.history(spark, sf_dir)).drop("event_time").withColumn("amt", text)
+    rows = fx.with_defects(fx.transactions(spark, sf_dir)).drop("event_time").withColumn("amt", text)
     rows.write.option("header", True).csv(path)
     return history_source.read_history_untyped(spark, path)
 
@@ -90,7 +92,7 @@ def src_history_untyped(spark, sf_dir):
 @query
 def src_history_stored(spark, sf_dir):
     path = new_dir(spark, "history-table")
-    history_source.store_history(fx.history(spark, sf_dir), path)
+    history_source.store_history(fx.transactions(spark, sf_dir), path)
     return _history_columns(spark.read.parquet(path))
 
 
@@ -146,7 +148,7 @@ def project_customer(spark, sf_dir):
 @query
 def filter_labelled(spark, sf_dir):
     """The label is kept where the card number survives, as if unknown cards were unlabelled."""
-    tx = fx.with_defects(fx.history(spark, sf_dir))
+    tx = fx.with_defects(fx.transactions(spark, sf_dir))
     unlabelled = tx.withColumn("is_fraud", F.when(F.col("cc_num").isNotNull(), F.col("is_fraud")))
     return features.labelled(unlabelled).select("_c0", "cc_num", num("amt"), num("is_fraud"))
 
@@ -215,6 +217,16 @@ def velocity_features(spark, sf_dir):
     )
 
 
+@query
+def velocity_features_heavy(spark, sf_dir):
+    """The way of cards with many rows, here from 60 rows on."""
+    tx = fx.transactions(spark, sf_dir).select("cc_num", "trans_num", "unix_time", "amt")
+    return velocity.with_velocity(tx, min_rows=60).select(
+        "trans_num", "secs_since_prev", num("amt_ratio_prev", 8),
+        "tx_count_1h", num("amt_sum_1h", 2), "tx_count_24h", num("amt_sum_24h", 2),
+    )
+
+
 @query
 def customer_enrichment(spark, sf_dir):
     tx = fx.transactions(spark, sf_dir)
@@ -289,6 +301,14 @@ def asof_profile(spark, sf_dir):
     )
 
 
+@query
+def asof_profile_heavy(spark, sf_dir):
+    tx = fx.transactions(spark, sf_dir).select("cc_num", "trans_num", "unix_time", "amt")
+    return profiles.asof_profile(tx, min_rows=60).select(
+        "trans_num", "prior_count", num("prior_avg", 8), num("prior_std", 4)
+    )
+
+
 # --- Quality -----------------------------------------------------------------------------------------------
 
 
@@ -319,6 +339,16 @@ def rule_flag_inner(spark, sf_dir):
     return _flags(applications.flag_batch(fx.arrivals(spark, sf_dir), fx.history(spark, sf_dir)))
 
 
+@query
+def rule_flag_sliced(spark, sf_dir):
+    """The join with the rows of heavy cards in slices, here cards from 12 rows on, 5 rows a slice."""
+    tx, history = fx.arrivals(spark, sf_dir), fx.history(spark, sf_dir)
+    averages = profiles.last_average(history)
+    heavy = heavy_keys(tx, "cc_num", 12)
+    joined = lookup_join(tx, averages, "cc_num", "inner", heavy, spread="trans_num", rows_per_slice=5)
+    return _flags(rules.relative_rule(joined.drop("avg_transaction_amt"), averages, "inner", heavy=heavy))
+
+
 @query
 def rule_flag_left(spark, sf_dir):
     return _flags(
@@ -355,7 +385,7 @@ def alerts(spark, sf_dir):
 @query
 def alert_sink(spark, sf_dir):
     path = new_dir(spark, "alerts")
-    raised = rules.with_alerts(_amount_scored(fx.arrivals(spark, sf_dir)))
+    raised = rules.with_alerts(_amount_scored(fx.transactions(spark, sf_dir)))
     for _ in range(2):  # the second write stands for a replayed batch
         tables.write_alerts(raised, 0, path)
     return spark.read.parquet(path).select(
@@ -490,6 +520,14 @@ def scored_batch(spark, sf_dir):
     return _scored(applications.score_batch(fx.arrivals(spark, sf_dir), profile))
 
 
+@query
+def scored_batch_shuffled(spark, sf_dir):
+    """Scoring with a profile that counts as too large to broadcast, and cards from 12 rows on as heavy."""
+    profile = stored(inline_profile(spark, sf_dir), "profile")
+    config = FraudConfig(broadcast_rows=0, heavy_rows=12)
+    return _scored(applications.score_batch(fx.arrivals(spark, sf_dir), profile, config=config))
+
+
 def _profile_root(spark, sf_dir, build=profile_store.build_profile):
     root = new_dir(spark, "profiles")
     profile_store.publish_profile(build(fx.history(spark, sf_dir)), root, 1)
@@ -507,6 +545,77 @@ def scored_stream(spark, sf_dir):
     return _scored(spark.read.parquet(f"{out}/scored"))
 
 
+@query
+def scored_stream_large_profile(spark, sf_dir):
+    """The stream with a profile that counts as large: a micro-batch cuts it down to its own cards."""
+    out, checkpoint = new_dir(spark, "scored"), new_dir(spark, "scored-checkpoint")
+    applications.start_scored_stream(
+        spark, fx.arrival_stream(spark, sf_dir), _profile_root(spark, sf_dir), out,
+        "scored_stream_large_profile", checkpoint, config=FraudConfig(broadcast_rows=10), available_now=True,
+    ).awaitTermination()
+    return _scored(spark.read.parquet(f"{out}/scored"))
+
+
+def _message_stream(spark, sf_dir, name):
+    """Encoded messages of all transactions in four files, one in 97 cut short, as a stream of a file per micro-batch."""
+    path = new_dir(spark, name)
+    messages = _messages(fx.transactions(spark, sf_dir)).withColumn("k", F.pmod(F.xxhash64("key"), F.lit(4)))
+    for k in range(4):
+        messages.where(F.col("k") == k).drop("k").coalesce(1).write.mode("append").parquet(path)
+    return file_stream(spark, path, "key binary, value binary", files_per_trigger=1)
+
+
+def _run_messages(spark, sf_dir, name, **more):
+    out, checkpoint = new_dir(spark, name), new_dir(spark, f"{name}-checkpoint")
+    applications.start_scored_stream(
+        spark, payload.decode(_message_stream(spark, sf_dir, f"{name}-in")), _profile_root(spark, sf_dir), out,
+        name, checkpoint, available_now=True, **more,
+    ).awaitTermination()
+    return out
+
+
+@query
+def stream_bad_messages(spark, sf_dir):
+    """Messages that cannot be decoded end in a table of their own, the others are scored: no message is lost."""
+    out = _run_messages(spark, sf_dir, "stream_bad_messages")
+    scored = spark.read.parquet(f"{out}/scored").select(F.lit("scored").alias("table"), F.col("trans_num").alias("what"))
+    bad = spark.read.parquet(f"{out}/bad_messages").select(F.lit("bad").alias("table"), F.col("message").alias("what"))
+    return scored.union(bad)
+
+
+@query
+def stream_quality(spark, sf_dir):
+    """The quality reports of the micro-batches, added up."""
+    out = _run_messages(spark, sf_dir, "stream_quality")
+    reports = spark.read.parquet(f"{out}/quality")
+    return reports.agg(
+        F.count(F.lit(1)).alias("batches"),
+        *[F.sum(c).alias(c) for c in ("total_records", "null_ssn_count", "null_amount_count", "invalid_amount_count")],
+    )
+
+
+@query
+def scored_stream_enriched(spark, sf_dir):
+    """Scored rows of the stream with the columns of their customer."""
+    customers = stored(fx.customers(spark, sf_dir), "customers")
+    out = _run_messages(spark, sf_dir, "scored_stream_enriched", enrich=lambda: customers)
+    return spark.read.parquet(f"{out}/scored").select("trans_num", "customer_city", "customer_status", "final_fraud_status")
+
+
+@query
+def stream_dedup_late(spark, sf_dir):
+    """Every event comes twice, in four files that mix all dates: late rows are kept, repeats are not."""
+    path, out, checkpoint = (new_dir(spark, n) for n in ("late-in", "late-out", "late-checkpoint"))
+    tx = monitor.with_event_ts(fx.transactions(spark, sf_dir)).select("trans_num", "cc_num", num("amt"), "event_ts")
+    copies = tx.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    copies = copies.withColumn("k", F.pmod(F.xxhash64("trans_num") + F.col("copy") * 2, F.lit(4))).drop("copy")
+    for k in (2, 0, 3, 1):
+        copies.where(F.col("k") == k).drop("k").coalesce(1).write.mode("append").parquet(path)
+    stream = file_stream(spark, path, "trans_num string, cc_num string, amt double, event_ts timestamp", files_per_trigger=1)
+    dedup.start_unique(stream, out, "stream_dedup_late", checkpoint, trigger=None).awaitTermination()
+    return spark.read.parquet(out).select("trans_num", "cc_num", "amt")
+
+
 @query
 def flagged_stream(spark, sf_dir):
     """The rule-only application over encoded messages of the arriving part, read back."""
@@ -521,8 +630,8 @@ def flagged_stream(spark, sf_dir):
 
 
 def _off_scored(spark, sf_dir):
-    """Arriving rows with a status; no models."""
-    tx = features.with_calendar(features.with_distance(fx.arrivals(spark, sf_dir)))
+    """All transactions with a status; no models."""
+    tx = features.with_calendar(features.with_distance(fx.transactions(spark, sf_dir)))
     return rules.final_status(rules.with_alerts(rules.without_models(tx)))
 
 
@@ -569,15 +678,46 @@ def sink_customers(spark, sf_dir):
 @query
 def sink_scored_deidentified(spark, sf_dir):
     path = new_dir(spark, "sink-deidentified")
-    flagged = applications.flag_batch(fx.arrivals(spark, sf_dir), fx.history(spark, sf_dir))
+    messages = stored(_messages(fx.arrivals(spark, sf_dir)), "messages")
+    decoded = stored(payload.decode(messages, keep=("key",)), "decoded")
+    flagged = applications.flag_batch(decoded, fx.history(spark, sf_dir), "left")
     tables.write_deidentified(flagged, 0, path)
     back = spark.read.parquet(path)
-    left_over = [c for c in C.DROPPED_PII if c in back.columns]
+    left_over = [c for c in (*C.DROPPED_PII, schemas.CORRUPT_COLUMN) if c in back.columns]
     return back.select(
         "trans_num", "ssn", "city", num("amt"), "status", F.lit(len(left_over)).alias("pii_columns")
     )
 
 
+@query
+def publish_json_array(spark, sf_dir):
+    """Elements of JSON arrays go out as they are: numbers, booleans and nested values keep their type."""
+    source, topic = new_dir(spark, "arrays"), new_dir(spark, "topic")
+    tx = fx.transactions(spark, sf_dir)
+    n = F.col("trans_num").cast("bigint")
+    element = F.concat(
+        F.lit('{"trans_num":"'), "trans_num", F.lit('","n":'), n.cast("string"), F.lit(',"even":'), (n % 2 == 0).cast("string"),
+        F.when(n % 3 == 0, F.concat(F.lit(',"at":{"card":"'), "cc_num", F.lit('"}'))).otherwise(""), F.lit("}"),
+    )
+    arrays = tx.select((n % 8).alias("file"), element.alias("e")).groupBy("file").agg(F.collect_list("e").alias("e"))
+    arrays.select(F.concat(F.lit("["), F.array_join("e", ",\n"), F.lit("]")).alias("value")).repartition(8).write.text(source)
+    publish.publish(publish.messages_from_arrays(spark, source), "parquet", topic)
+    return spark.read.parquet(topic).select("value", F.length("key").alias("key_length"))
+
+
+@query
+def alert_sink_replayed(spark, sf_dir):
+    """An epoch whose replay raises fewer alerts, and one whose replay raises none, leave nothing of the first try."""
+    path = new_dir(spark, "alerts")
+    raised = rules.with_alerts(_amount_scored(fx.transactions(spark, sf_dir)))
+    even = F.col("trans_num").cast("bigint") % 2 == 0
+    tables.write_alerts(raised, 0, path)
+    tables.write_alerts(raised.where(even), 0, path)
+    tables.write_alerts(raised.where(~even), 1, path)
+    tables.write_alerts(raised.where("false"), 1, path)
+    return spark.read.parquet(path).select("trans_num", "risk_level", F.col("epoch_id").cast("int").alias("epoch_id"))
+
+
 @query
 def publish_json_records(spark, sf_dir):
     source, topic = new_dir(spark, "records"), new_dir(spark, "topic")
@@ -618,7 +758,7 @@ def catalog_adhoc_table(spark, sf_dir):
 def schema_merge_read(spark, sf_dir):
     """An old part without the column `channel` and a newer part with it, read as one table."""
     path = new_dir(spark, "merge")
-    (_, old), (_, new) = _epochs(fx.arrivals(spark, sf_dir).select("trans_num", "amt", "event_time"))
+    (_, old), (_, new) = _epochs(fx.transactions(spark, sf_dir).select("trans_num", "amt", "event_time"))
     old.drop("event_time").write.parquet(f"{path}/part=0")
     new.drop("event_time").withColumn(
         "channel", F.when(F.col("amt") > 500, "branch").otherwise("online")
@@ -654,7 +794,7 @@ def fraud_by_state(spark, sf_dir):
 
 @query
 def fraud_by_month(spark, sf_dir):
-    return _report(analytics.fraud_by(_off_scored(spark, sf_dir), "year", "month"))
+    return _report(analytics.fraud_by(_off_scored(spark, sf_dir), "year", "month", "day"))
 
 
 @query
@@ -703,12 +843,22 @@ def scaled_features(spark, sf_dir):
     )
 
 
+def _counted(measured, *more):
+    """What must hold of measures whatever the model says: rows, positives, and that the counts add up."""
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    return measured.select(
+        *more, "n", (tp + fn).alias("positives"), (tp + fp + fn + tn == F.col("n")).alias("counts_add_up")
+    )
+
+
 @query
 def rf_score(spark, sf_dir):
     fitted, rows = _arrival_features(spark, sf_dir)
+    p, confidence = F.col("ml_fraud_score"), F.col("prediction_confidence")
     return models.classify(rows, fitted.classifier).select(
-        "trans_num", num("is_fraud"), "prediction", num("ml_fraud_score", 6),
-        num("prediction_confidence", 6),
+        "trans_num", num("is_fraud"), p.between(0, 1).alias("score_in_range"),
+        (F.abs(confidence - F.greatest(p, 1 - p)) < 1e-9).alias("confidence_is_the_larger"),
+        ((p > 0.5) == (F.col("prediction") == 1)).alias("class_agrees"),
     )
 
 
@@ -718,14 +868,23 @@ def rf_holdout_metrics(spark, sf_dir):
     fitted, profile = _trained(spark, sf_dir)
     rows = applications.features_of(fx.history(spark, sf_dir), profile)
     _, holdout = models.split_holdout(rows)
-    return models.evaluate(models.classify(holdout, fitted.classifier))
+    return _counted(models.evaluate(models.classify(holdout, fitted.classifier)))
 
 
 @query
 def kmeans_assign(spark, sf_dir):
     fitted, rows = _arrival_features(spark, sf_dir)
-    near = anomaly.nearest_centre(rows, fitted.clusters.centres, fitted.clusters.scale)
-    return near.select("trans_num", "cluster", num("centre_distance", 6))
+    centres, scale = fitted.clusters.centres, fitted.clusters.scale
+    near = anomaly.nearest_centre(rows, centres, scale)
+    inputs = models.with_inputs(near, C.CLUSTER_FEATURES)
+    distances = [
+        F.sqrt(sum((F.col(models.INPUT + c) / F.lit(s) - F.lit(x)) ** 2 for c, s, x in zip(C.CLUSTER_FEATURES, scale, centre)))
+        for centre in centres
+    ]
+    return inputs.select(
+        "trans_num", F.col("cluster").between(0, len(centres) - 1).alias("cluster_exists"),
+        (F.abs(F.col("centre_distance") - F.least(*distances)) < 1e-6).alias("is_nearest"),
+    )
 
 
 def _near_given(spark, sf_dir):
@@ -752,9 +911,14 @@ def anomaly_by_distance(spark, sf_dir):
 @query
 def final_status_models_on(spark, sf_dir):
     fitted, rows = _arrival_features(spark, sf_dir)
+    by_rule = (F.col("distance") > 1500) & (F.col("amt") > 500)
+    said = (F.col("ml_fraud_score") > 0.7) | (F.col("anomaly_score") > 0.8) | by_rule
+    level = F.col("risk_level")
     return models.score(rows, fitted).select(
-        "trans_num", num("ml_fraud_score", 6), num("anomaly_score", 6), "risk_level",
-        "alert_generated", "final_fraud_status",
+        "trans_num", by_rule.alias("by_rule"),
+        (F.col("final_fraud_status") == F.when(said, "FRAUD").otherwise("GENUINE")).alias("status_follows_scores"),
+        (~by_rule | (F.col("final_fraud_status") == "FRAUD")).alias("rule_is_kept"),
+        (F.col("alert_generated") == level.isin("HIGH_RISK", "MEDIUM_RISK")).alias("alert_follows_level"),
     )
 
 
@@ -779,7 +943,26 @@ def retrain_compare(spark, sf_dir):
     fitted, profile = _trained(spark, sf_dir)
     rows = applications.features_of(fx.history(spark, sf_dir), profile)
     _, compared = models.retrain(rows, fitted.classifier, days=14)
-    return compared
+    one = F.sum(F.col("promoted").cast("int")).over(Window.partitionBy()) == 1
+    return _counted(compared.withColumn("one_promoted", one), "model", "one_promoted")
+
+
+@query
+def retrain_promote(spark, sf_dir):
+    """The registry after two rounds of retraining: three versions, the newest promoted one is what streams load."""
+    fitted, profile = _trained(spark, sf_dir)
+    rows = stored(applications.features_of(fx.history(spark, sf_dir), profile), "features")
+    root = new_dir(spark, "promoted")
+    models.save_models(spark, fitted, root, 1)
+    for days in (14, 21):
+        models.retrain_and_promote(spark, rows, root, days)
+    newest = models.newest_version(spark, root)
+    loaded = models.load_models(spark, root)
+    return models.registry(spark, root).select(
+        "version", F.array_join("parts", ",").alias("parts"),
+        ((F.col("version") != newest) | F.col("promoted")).alias("newest_is_promoted"),
+        F.lit(loaded.classifier is not None and loaded.clusters == fitted.clusters).alias("loads"),
+    )
 
 
 @query
@@ -791,4 +974,4 @@ def ab_metrics(spark, sf_dir):
         lambda df: models.score(df, fitted).select("arm", "is_fraud", "final_fraud_status"),
         lambda df: models.score(df).select("arm", "is_fraud", "final_fraud_status"),
     ).withColumn("flag", (F.col("final_fraud_status") == "FRAUD").cast("int"))
-    return metrics.classification_metrics(scored, "is_fraud", "flag", ("arm",))
+    return _counted(metrics.classification_metrics(scored, "is_fraud", "flag", ("arm",)), "arm")
