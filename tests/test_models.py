@@ -162,3 +162,32 @@ def test_training_and_serving_features_agree(spark, profile, rows):
     columns = ["trans_num", *C.CLASSIFIER_FEATURES]
     same_rows(rows.select(columns), from_record.select(columns))
     assert set(features.model_inputs(rows).columns) == set(rows.columns)
+
+
+def test_models_follow_the_rows_only(spark, rows, fitted):
+    """However the rows are partitioned and ordered, training gives the same model."""
+    training, holdout = models.split_holdout(rows)
+    again = models.train_or_fall_back(training.repartition(5).sortWithinPartitions(F.desc("trans_num")))
+    for a, b in zip(fitted.clusters.centres, again.clusters.centres):
+        assert a == pytest.approx(b, abs=1e-9)
+    score = lambda m: holdout.transform(models.classify, m.classifier).agg(F.sum("ml_fraud_score")).first()[0]
+    assert score(fitted) == pytest.approx(score(again), abs=1e-6)
+
+
+def test_parts_are_stored_as_they_are(spark, fitted, folder):
+    root = folder("parts")
+    models.save_models(spark, models.FraudModels(None, fitted.clusters), root, 1)
+    found = models.load_models(spark, root)
+    assert found.classifier is None and found.clusters == fitted.clusters
+    models.save_models(spark, models.FraudModels(fitted.classifier, None), root, 2)
+    found = models.load_models(spark, root)
+    assert found.classifier is not None and found.clusters is None
+
+
+def test_failures_of_training_are_raised(rows, monkeypatch):
+    def broken(table):
+        raise OSError("no space left")
+
+    monkeypatch.setattr(models, "fit_clusters", broken)
+    with pytest.raises(OSError, match="no space"):
+        models.train_or_fall_back(rows, FraudConfig(use_classifier=False))

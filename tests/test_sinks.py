@@ -134,3 +134,28 @@ def test_jdbc_writer_gets_its_options(spark, monkeypatch):
 def test_unknown_table_format_fails(spark, folder):
     with pytest.raises(Exception, match="(?i)data source"):
         tables.write_scored(scored(spark, {"a": "FRAUD"}), 0, folder("x"), fmt="delta")
+
+
+def test_empty_replay_clears_its_epoch(spark, folder):
+    batch = scored(spark, {"a": "FRAUD", "b": "FRAUD"})
+    for write, name in ((tables.write_alerts, "a"), (tables.write_scored, "s"), (tables.write_deidentified, "d")):
+        write(batch, 0, folder(name))
+        write(batch, 1, folder(name))
+        write(batch.where("trans_num = 'a'"), 0, folder(name))
+        write(batch.where("false"), 1, folder(name))
+        assert [(r.trans_num, r.epoch_id) for r in spark.read.parquet(folder(name)).collect()] == [("a", 0)]
+        write(batch.where("false"), 2, folder(name))  # nothing there to clear
+
+
+def test_a_fraud_wins_within_an_epoch(spark):
+    rows = [("a", "GENUINE", 1), ("a", "FRAUD", 1), ("a", "GENUINE", 1), ("b", "FRAUD", 0), ("b", "GENUINE", 1)]
+    df = spark.createDataFrame(rows, "ssn string, status string, epoch_id bigint")
+    assert by(newest_customers(df), "ssn", "status") == {"a": "FRAUD", "b": "GENUINE"}
+
+
+def test_raw_messages_stay_out_of_the_deidentified_table(spark, folder):
+    broken = scored(spark, {"a": "FRAUD"}).withColumn("_corrupt_record", F.lit('{"ssn":"123-45'))
+    tables.write_deidentified(broken, 0, folder("d"))
+    assert "_corrupt_record" not in spark.read.parquet(folder("d")).columns
+    tables.write_bad_messages(broken, 0, folder("b"))
+    assert [r.message for r in spark.read.parquet(folder("b")).collect()] == ['{"ssn":"123-45']
