@@ -9,7 +9,8 @@ would let the few changed shingles of a copy outweigh the many it shares with a
 Texts with the same words are one class from the start and go on as one. Each class gets
 BANDS x ROWS samples; classes that share a band are compared, first by the share of equal samples,
 then by the weighted Jaccard similarity of their whole texts, and linked from SIMILARITY on.
-In a band bucket not all pairs are made: some members (pivots) meet all that are not yet in their
+Members of buckets of more than FEW that could still link get FINER more samples, so that fewer pairs whose similarity is
+just too small are compared as texts. In a band bucket not all pairs are made: some members (pivots) meet all that are not yet in their
 component, links are joined to components, and this is repeated with more pivots; at last
 everything outside the largest component of a bucket meets whatever is not in its own component. From
 the second time on, in buckets of more than FEW members, pairs are left out that cannot link: a text shares with other components no more than
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,8 +40,10 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 13, 4
 AGREE = 30  # of BANDS * ROWS samples; 0.8 gives 41.6 on average, with a deviation of 2.9
 BUCKETS = 1 << 17
-PIVOTS = (1, 8)
+PIVOTS = (1, 4)
 FEW = 32
+FINER = 208  # more samples of members of large buckets
+AGREE_FINER = 176  # of all 260 samples; 0.8 gives 208 on average, with a deviation of 6.4
 _SAMPLES = BANDS * ROWS
 _HASH_BITS = 44
 _TABLE_BITS = 14
@@ -106,14 +109,16 @@ def _draws() -> tuple[np.ndarray, ...]:
     return tuple(x.astype(np.float32) for x in (r, u[2], r * (u[2] - 1), np.log(-np.log(u[3] * u[4]))))
 
 
-_SEED = (text.randoms(12, 2 * _SAMPLES) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+_SEED = (text.randoms(12, 2 * (_SAMPLES + FINER)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _DRAWS = _draws()
 
 
-def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def signatures(
+    doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, samples: range = range(_SAMPLES)
+) -> tuple[np.ndarray, np.ndarray]:
     """Texts that have shingles, and the samples of each: one row of 32-bit numbers per text."""
     have, at = np.unique(doc, return_index=True)
-    out = np.zeros((len(have), _SAMPLES), dtype=np.uint32)
+    out = np.zeros((len(have), len(samples)), dtype=np.uint32)
     r, beta, shift, ln_c = _DRAWS
     short = (shingle >> np.uint64(32)).astype(np.uint32)
     log = np.log(weight).astype(np.float32)
@@ -124,7 +129,7 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray) -> tupl
         own, ln_w, begin = short[at[d] : ends[e - 1]], log[at[d] : ends[e - 1]], at[d:e] - at[d]
         both = np.empty((len(own), 2), dtype=np.uint32)  # name and rank, read as one little-endian number
         one = both.view("<u8").ravel()
-        for j in range(_SAMPLES):
+        for k, j in enumerate(samples):
             s = own * _SEED[2 * j]
             s ^= s >> np.uint32(15)
             s *= _SEED[2 * j + 1]
@@ -141,7 +146,7 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray) -> tupl
             scale += np.float32(64)
             both[:, 1] = scale.view(np.uint32)
             np.bitwise_xor(s, t.astype(np.int32).view(np.uint32) * _SEED[0], out=both[:, 0])
-            out[d:e, j] = np.minimum.reduceat(one, begin).astype(np.uint32)
+            out[d:e, k] = np.minimum.reduceat(one, begin).astype(np.uint32)
         d = e
     return have, out
 
@@ -266,19 +271,16 @@ def _judged(docs: DataFrame, least: float) -> DataFrame:
     banded = reps.select("key", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").count().where("count > 1").select("bucket")
     live = stored(banded.join(shared, "bucket"), "minhash-buckets")
-    members = stored(reps.join(live.select("key").distinct(), "key").select("key", "rep", "samples"), "minhash-members")
+    members = stored(reps.join(live.select("key").distinct(), "key"), "minhash-members")
     texts = stored(_texts_of(docs, members), "minhash-texts")
 
+    live = stored(live.join(members.select("key", "samples", "bands"), "key"), "minhash-live")
     links, found = None, None
     for most in (*PIVOTS, None):
         named = _open(live, found)
         if found is not None:
-            named = stored(_linkable(named, texts, table, least), "minhash-open")
-        pairs = _pairs(named, most, least)
-        a = members.select(F.col("key").alias("a"), F.col("samples").alias("x"))
-        b = members.select(F.col("key").alias("b"), F.col("samples").alias("y"))
-        alike = F.aggregate(F.zip_with("x", "y", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-        pairs = stored(pairs.join(a, "a").join(b, "b").where(alike >= AGREE).select("a", "b"), "minhash-pairs")
+            named = stored(_linkable(named, texts, table, least, finer=most is None), "minhash-open")
+        pairs = stored(_pairs(named, most, least), "minhash-pairs")
         if links is not None and pairs.isEmpty():
             break
         checked = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
@@ -310,16 +312,35 @@ def _open(live: DataFrame, found: DataFrame | None) -> DataFrame:
     return named.join(ends.where("lo <> hi").select("bucket"), "bucket")
 
 
-def _linkable(named: DataFrame, texts: DataFrame, table, least: float) -> DataFrame:
+def _linkable(named: DataFrame, texts: DataFrame, table, least: float, finer: bool) -> DataFrame:
     """Members with their total weight and that of shingles which occur in another component (both 0 in buckets of
     FEW, where all pairs are few), without members whose share of the latter is too small for a link."""
     sizes = named.groupBy("bucket").agg(F.count("*").alias("size"))
     named = stored(named.join(sizes, "bucket"), "minhash-named")
-    large = named.where(F.col("size") > FEW)
+    large, few = named.where(F.col("size") > FEW).drop("size"), named.where(F.col("size") <= FEW).drop("size")
     bounds = _bounds(large, texts, table).where(F.col("shared") >= least * F.col("total"))
-    few = named.where(F.col("size") <= FEW).select("bucket", "key", "component", F.lit(0.0).alias("total"), F.lit(0.0).alias("shared"))
-    large = large.join(bounds.withColumnRenamed("name", "_name"), F.xxhash64("key") == F.col("_name"))
-    return few.union(large.select("bucket", "key", "component", "total", "shared"))
+    large = large.join(bounds, F.xxhash64("key") == F.col("name")).drop("name")
+    few = few.withColumns({"total": F.lit(0.0), "shared": F.lit(0.0)})
+    if finer:
+        large = stored(large, "minhash-large")
+        more = large.select("key").distinct().join(texts, "key").mapInArrow(_finer(table), "key string, finer array<int>")
+        large = large.join(stored(more, "minhash-finer"), "key")
+        few = few.withColumn("finer", F.lit(None).cast("array<int>"))
+    return few.unionByName(large)
+
+
+def _finer(table):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, texts = batch.column(0), batch.column(1).to_pylist()
+            for part in text.chunks(texts):
+                doc, own, count, _ = shingles(texts[part])
+                have, samples = signatures(doc, own, count * table.value[_bucket(own)], range(_SAMPLES, _SAMPLES + FINER))
+                ends = pa.array(np.arange(len(have) + 1) * FINER, pa.int32())
+                lists = pa.ListArray.from_arrays(ends, pa.array(samples.view(np.int32).ravel(), pa.int32()))
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array(have + part.start)), lists], ["key", "finer"])
+
+    return run
 
 
 def _bounds(named: DataFrame, texts: DataFrame, table) -> DataFrame:
@@ -346,29 +367,39 @@ def _bounds(named: DataFrame, texts: DataFrame, table) -> DataFrame:
     return every.join(common, "shingle", "left").groupBy("name").agg(F.sum("weight").alias("total"), shared.alias("shared"))
 
 
+def _agreeing(x: str, y: str) -> Column:
+    """How many samples of two columns are equal."""
+    return F.aggregate(F.zip_with(x, y, lambda a, b: (a == b).cast("int")), F.lit(0), lambda s, a: s + a)
+
+
 def _pairs(named: DataFrame, most: int | None, least: float) -> DataFrame:
-    """Pairs (a < b) of classes to be compared in this round, each once.
+    """Pairs (a < b) of classes to be compared as texts in this round, each once.
 
     `most` pivots of each bucket, chosen by hash, meet the members outside their component; None: all
-    members outside the largest component of the bucket do.
+    members outside the largest component of the bucket do, each pair in the first bucket that it shares.
     """
     if most:
         by = W.partitionBy("bucket").orderBy(F.xxhash64("bucket", "key"), "key")
-        pivots = named.withColumn("place", F.row_number().over(by)).where(F.col("place") <= most)
+        named = named.withColumn("asks", F.row_number().over(by) <= most)
     else:
         sizes = named.groupBy("bucket", "component").count()
         largest = sizes.groupBy("bucket").agg(F.max(F.struct("count", "component"))["component"].alias("largest"))
-        pivots = named.join(largest, "bucket").where("component <> largest")
-    bounded = "total" in named.columns
-    pivots = pivots.select(
-        "bucket", F.col("key").alias("p"), F.col("component").alias("pc"),
-        *([F.col("total").alias("pt"), F.col("shared").alias("ps")] if bounded else []),
-    )
-    met = F.col("component") != F.col("pc")
-    if bounded:  # the bound on the similarity, solved for the shared weight
-        met &= F.least("shared", "ps") * (1 + 1 / least) * (1 + 1e-6) + 1e-6 >= F.col("total") + F.col("pt")
-    met = named.join(pivots, "bucket").where(met)
-    return met.select(F.least("key", "p").alias("a"), F.greatest("key", "p").alias("b")).distinct()
+        named = named.join(largest, "bucket").withColumn("asks", F.col("component") != F.col("largest"))
+    asking = named.where("asks").select("bucket", *[F.col(c).alias(f"p_{c}") for c in named.columns if c != "bucket"])
+    met = (F.col("component") != F.col("p_component")) & (~F.col("asks") | (F.col("key") < F.col("p_key")))
+    if "total" in named.columns:  # the bound on the similarity, solved for the shared weight
+        shared = F.least("shared", "p_shared") * (1 + 1 / least) * (1 + 1e-6) + 1e-6
+        met &= shared >= F.col("total") + F.col("p_total")
+    if not most:
+        first = F.element_at(F.filter(F.zip_with("bands", "p_bands", lambda a, b: F.when(a == b, a)), lambda a: a.isNotNull()), 1)
+        met &= first == F.col("bucket")
+    same = _agreeing("samples", "p_samples")
+    met &= same >= AGREE
+    if "finer" in named.columns:
+        met &= F.coalesce(same + _agreeing("finer", "p_finer") >= AGREE_FINER, F.lit(True))
+    pairs = named.join(asking, "bucket").where(met)
+    pairs = pairs.select(F.least("key", "p_key").alias("a"), F.greatest("key", "p_key").alias("b"))
+    return pairs.distinct() if most else pairs
 
 
 def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
