@@ -31,24 +31,25 @@ _POWERS = [1 << k for k in range(LENGTH.bit_length() - 1)]
 
 def best_cuts(places: list[int], penalties: list[int], length: int = LENGTH) -> list[int]:
     """Indexes of the chosen cuts, the last one included. places: increasing, from 0, at most `length` apart."""
-    powers = [p for p in _POWERS if p < length]
+    ends, starts = _unpadded(np.array(places), [p for p in _POWERS if p < length])
+    ends.append(len(places))
+    at = 0
     cost, back = [0] * len(places), [0] * len(places)
     queue: deque = deque([(0, 0, 0)])  # cost + place, place, index; first: the least in reach
-    at = {0: 0}
     for j in range(1, len(places)):
         p = places[j]
         while queue[0][1] < p - length:
             queue.popleft()
         least, _, i = queue[0]
         least += length - p
-        for power in powers:
-            k = at.get(p - power)
-            if k is not None and cost[k] < least:
+        while ends[at] == j:
+            k = starts[at]
+            if cost[k] < least:
                 least, i = cost[k], k
-        cost[j] = least + penalties[j] + OPENING
+            at += 1
+        cost[j] = least = least + penalties[j] + OPENING
         back[j] = i
-        at[p] = j
-        own = cost[j] + p
+        own = least + p
         while queue and queue[-1][0] >= own:
             queue.pop()
         queue.append((own, p, j))
@@ -59,6 +60,21 @@ def best_cuts(places: list[int], penalties: list[int], length: int = LENGTH) ->
     return out[::-1]
 
 
+def _unpadded(places: np.ndarray, powers: list[int]) -> tuple[list[int], list[int]]:
+    """Index of the later and the earlier cut of each two that are a power apart, by the later one."""
+    index = np.full(places[-1] + 1, -1)
+    index[places] = np.arange(len(places))
+    ends, starts = [], []
+    for power in powers:
+        later = np.arange(np.searchsorted(places, power), len(places))
+        earlier = index[places[later] - power]
+        ends.append(later[earlier >= 0])
+        starts.append(earlier[earlier >= 0])
+    ends, starts = np.concatenate(ends), np.concatenate(starts)
+    order = np.argsort(ends, kind="stable")
+    return ends[order].tolist(), starts[order].tolist()
+
+
 def cuts(ids: np.ndarray, doc_ends: np.ndarray, ends: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places where the ids may be cut, from 0 to the last, and the penalty of each.
 

@@ -12,7 +12,7 @@ from itertools import repeat
 
 import numpy as np
 
-PIECES = 1_000_000
+PIECES = 1_600_000
 _PLAIN_TEXT = re.compile("[^\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‏ -  　﻿\ud800-\udfff]*")
 _WITH_SPACE = re.compile(r"\s*\S+|\s+")
 _open: dict = {}
