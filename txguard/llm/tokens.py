@@ -1,7 +1,8 @@
-"""Token ids of whole texts, by the `tokenizers` library, one white-space-delimited piece at a time.
+"""Token ids of whole texts, by the `tokenizers` library, one piece between white space at a time.
 
 No token of the two supported kinds spans the border between a character that is not white space and
-one that is, so a text's ids are those of its pieces in turn. A task encodes each distinct piece once while it
+one that is, nor between letters and the `.`, `,`, `!` or `?` that ends a piece, so a text's ids are those of its
+pieces in turn. A task encodes each distinct piece once while it
 is in a bounded table. Texts with rarer kinds of white space, on which the libraries' notions differ, are encoded
 whole. Strings of special tokens in a text are ordinary text.
 """
@@ -14,7 +15,9 @@ import numpy as np
 
 PIECES = 1_600_000
 _PLAIN_TEXT = re.compile("[^\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‏ -  　﻿\ud800-\udfff]*")
-_WITH_SPACE = re.compile(r"\s*\S+|\s+")
+_LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
+_WITH_SPACE = re.compile(rf"\s*{_LETTERS}(?=[.,!?\s]|$)|[.,!?]+(?=\s|$)|\s*\S+|\s+")
+_WITHOUT_SPACE = re.compile(rf"{_LETTERS}(?=[.,!?\s]|$)|[.,!?]+(?=\s|$)|\S+")
 _open: dict = {}
 
 
@@ -27,7 +30,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.spaces, self.pieces = spaces, _WITH_SPACE.findall if spaces else str.split
+        self.spaces, self.pieces = spaces, _WITH_SPACE.findall if spaces else _WITHOUT_SPACE.findall
         self._clear()
 
     def _clear(self) -> None:
