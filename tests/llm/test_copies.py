@@ -142,6 +142,34 @@ def test_passage_in_the_middle(spark):
     assert texts[0].endswith("Some end.") and texts[1] == "Quite another start it is! Other end, and more."
 
 
+@pytest.mark.parametrize("every", [None, 45, 35])
+def test_passages_that_begin_inside_sentences(spark, every):
+    """Shared passages behind openings of any length, in sentences that are longer than a piece or never end."""
+    random = np.random.default_rng(8)
+
+    def fresh(n):
+        return [f"v{x}" for x in random.integers(0, 1 << 60, n)]
+
+    def stops(w):
+        return [x + "." if every and i % every == every - 1 else x for i, x in enumerate(w)]
+
+    rows, planted = [], {}
+    for i in range(120):
+        n = [51, 60, 80, 200][i % 4]
+        shared = stops(fresh(n))
+        for d in (2 * i, 2 * i + 1):
+            rows.append((d, " ".join(stops(fresh(random.integers(0, 40))) + shared + stops(fresh(random.integers(0, 40))))))
+        planted[2 * i + 1] = n, shared
+    docs = spark.createDataFrame(rows + [(9999, " ".join(stops(fresh(300))))], "doc_id long, text string")
+    left = {r.doc_id: r.text.split() for r in sentences.without_repeats(docs).collect()}
+    before = {d: t.split() for d, t in rows}
+    assert all(left[d] == before[d] for d in before if d not in planted) and len(left[9999]) == 300
+    for d, (n, shared) in planted.items():
+        gone = set(before[d]) - set(left[d])
+        assert gone <= set(shared)
+        assert len(gone) >= max(1, n - 2 * (sentences.WINDOW - 1) - 2 * (sentences.PIECE - 1)), (d, n, len(gone))
+
+
 def test_edges_of_repeats(edge_docs, no_docs):
     found = sentences.without_repeats(edge_docs)
     assert found.columns == edge_docs.columns and found.count() == 13

@@ -49,7 +49,7 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = sentences.repeats(_table(spark, sf_dir, "documents"))
+    found = sentences.repeats(_table(spark, sf_dir, "documents"), shifted=True)
     return found.select(
         "doc_id", "n_sentences", F.size("removed").cast("long").alias("n_removed"),
         F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"),
