@@ -214,6 +214,22 @@ def test_vectors_equal_all_pairs(spark, monkeypatch, n, lists):
         assert all(r.kept == (r.component_id == i) for i, r in got.items())
 
 
+@pytest.mark.parametrize("inner", [4, 8])
+def test_all_pairs_in_hundreds_of_lists(spark, monkeypatch, inner):
+    """Vectors that fill few of their dimensions: no pair is lost, also of different lists."""
+    monkeypatch.setattr(vectors, "LIST", 8)
+    random = np.random.default_rng(inner)
+    v = (random.normal(size=(3000, inner)) @ random.normal(size=(inner, 64))).astype(np.float32)
+    df = spark.createDataFrame([(i, x.tolist(), 0) for i, x in enumerate(v)], "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(df).collect()}
+    unit = v.astype(float)
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    near = unit @ unit.T >= vectors.SIMILARITY
+    root = vectors.spanning(len(v), *np.nonzero(near))
+    assert near.sum() > 3100
+    assert got == {i: (int(near[i].sum()) - 1, int(root[i])) for i in range(len(v))}
+
+
 def test_vectors_that_link_with_nothing(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 2), (4, [1.0, 0.0], None), (5, None, 1), (6, [], 1),

@@ -2,10 +2,11 @@
 
 Vectors of one label link from a cosine of SIMILARITY on. Equal vectors of a label are one class that counts as often as
 it occurs. Unit vectors go to coarse lists (nearest centre); what is left of them is coded in PARTS subspaces of
-CODES codewords. A vector probes each list whose centre is at most MARGIN farther than its own: two unit vectors of cosine
-0.93 are 0.374 apart, and the difference of their distances to two centres is a projection of that, of deviation
-0.066 in 64 dimensions; either may probe the other. In probed lists, table look-ups give approximate cosines;
-what comes within SIGMAS deviations of the code's error is ranked by its exact cosine in double precision.
+CODES codewords. No pair is lost by that, whatever the vectors. Vectors of cosine SIMILARITY are
+R = sqrt(2 - 2 x SIMILARITY) apart, 0.374. Those of two lists lie on either side of the plane halfway between the centres, so one of them is
+at most R / 2 from it, and a vector probes each list to whose plane it is that near. In probed lists, table look-ups give
+approximate cosines: q m = q m' + m e + (q - m) e with the code m' of m and its error e, and the last is at most R |e|. What
+can reach SIMILARITY by that is ranked by its exact cosine in double precision.
 
 Centres and codewords are fitted on about SAMPLE classes (a hash decides); there is a list for about LIST classes of a
 label. All classes are indexed, lists of any size are compared in blocks of about BLOCK. Vectors of a length that the sample
@@ -30,7 +31,6 @@ from txguard.plans.workspace import stored
 SIMILARITY = 0.93
 SAMPLE, LIST, LISTS, BLOCK = 16_384, 256, 4096, 1024
 PARTS, CODES, ROUNDS = 8, 256, 8
-MARGIN, SIGMAS = 0.16, 4.0
 
 
 def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -81,27 +81,41 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["vec_id", "label", "key", "unit"])
 
 
-def _index(books):
-    """Adds list, probes, codes and code error to classes."""
+def apart(least: float) -> float:
+    """Largest distance of unit vectors of that cosine, with room for rounding."""
+    return float(np.sqrt(max(0.0, 2 - 2 * least))) + 1e-6
+
+
+def probed(x: np.ndarray, centres: np.ndarray, least: float) -> tuple[int, np.ndarray]:
+    """The list of a unit vector, and all that it probes."""
+    away = _squares(x[None, :], centres)[0]
+    near = int(away.argmin())
+    between = np.sqrt(_squares(centres[near][None, :], centres)[0])
+    return near, np.flatnonzero(away <= away[near] + apart(least) * between + 1e-9)
+
+
+def _index(books, least: float):
+    """Adds list, probes, codes and what the codes may fall short of a cosine of `least` to classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {"list": [], "probes": [], "codes": [], "error": []}
+            out = {"list": [], "probes": [], "codes": [], "short": []}
             for unit in batch.column(batch.schema.get_field_index("unit")):
                 x = unit.values.to_numpy()[None, :]
                 book = books.value.get(x.shape[1])
                 if book is None:
                     row = (0, [0], None, None)
                 else:
-                    away = np.sqrt(_squares(x, book[0]))[0]
-                    near = int(away.argmin())
+                    near, probes = probed(x[0], book[0], least)
                     rest, codes = x - book[0][near], []
-                    error = 0.0
+                    error = along = 0.0
                     for words, p in zip(book[1], _parts(book, x.shape[1])):
                         d = _squares(rest[:, p], words)[0]
                         codes.append(int(d.argmin()))
-                        error += d[codes[-1]]
-                    row = (near, np.flatnonzero(away <= away[near] + MARGIN).tolist(), bytes(codes), float(np.sqrt(error)))
+                        left = rest[0, p] - words[codes[-1]]
+                        error += left @ left
+                        along += x[0, p] @ left
+                    row = (near, probes.tolist(), bytes(codes), float(along + apart(least) * np.sqrt(error)) + 1e-5)
                 for values, value in zip(out.values(), row):
                     values.append(value)
             kinds = [pa.int32(), pa.list_(pa.int32()), pa.binary(), pa.float64()]
@@ -119,7 +133,7 @@ def _block(items: pa.StructScalar, size: int) -> dict:
         "unit": values.field("unit").flatten().to_numpy().reshape(-1, size),
         "probes": values.field("probes").to_pylist(),
         "codes": values.field("codes").to_pylist(),
-        "error": values.field("error").to_numpy(zero_copy_only=False),
+        "short": values.field("short").to_numpy(zero_copy_only=False),
     }
 
 
@@ -133,8 +147,7 @@ def _linked(query: dict, member: dict, book, coarse: int, least: float) -> tuple
         near = np.repeat((query["unit"] @ book[0][coarse])[:, None], len(codes), axis=1).astype(np.float32)
         for k, (words, p) in enumerate(zip(book[1], _parts(book, size))):
             near += (query["unit"][:, p] @ words.T).astype(np.float32)[:, codes[:, k]]
-        error = member["error"]  # its square is how far the code shortens the cosine with vectors close by
-        i, j = np.nonzero(near >= (least - error * error - SIGMAS * error / np.sqrt(size))[None, :])
+        i, j = np.nonzero(near >= (least - member["short"])[None, :])
     keep = []
     for a in range(0, len(i), 1 << 16):
         x, y = i[a : a + (1 << 16)], j[a : a + (1 << 16)]
@@ -219,13 +232,13 @@ def near_duplicates(vectors: DataFrame, least: float = SIMILARITY) -> DataFrame:
     )
 
     kinds = ", ".join(f"{c} {kind}" for c, kind in classes.dtypes)
-    indexed = classes.mapInArrow(_index(books), f"{kinds}, list int, probes array<int>, codes binary, error double")
+    indexed = classes.mapInArrow(_index(books, least), f"{kinds}, list int, probes array<int>, codes binary, short double")
     indexed = stored(indexed, "vector-index")
     group = ["label", "size", "list"]
     n_blocks = indexed.groupBy(group).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     blocks = indexed.join(n_blocks, group).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
     blocks = blocks.groupBy(*group, "block").agg(
-        F.collect_list(F.struct("key", "n", "unit", "probes", "codes", "error")).alias("items"),
+        F.collect_list(F.struct("key", "n", "unit", "probes", "codes", "short")).alias("items"),
         F.array_distinct(F.flatten(F.collect_list("probes"))).alias("probes"),
     )
     blocks = stored(blocks, "vector-blocks")
