@@ -1,4 +1,7 @@
+import os
+
 import pytest
+from compare import differences
 from helpers import same_rows
 from pyspark.sql import functions as F
 
@@ -7,7 +10,8 @@ from txguard import schemas
 from txguard.config import FraudConfig
 from txguard.operators import features, monitor, rules
 from txguard.operators.profiles import last_average
-from txguard.plans import applications, profiles
+from txguard.oracle import ORACLE
+from txguard.plans import applications, profiles, queries
 from txguard.sinks import tables
 from txguard.sources import payload, stream
 from txguard.streaming import dedup, runner
@@ -191,3 +195,23 @@ def test_error_rate_over_a_stream_of_messages(spark, folder):
     runner.start_copy(rates, folder("o"), "errors_test", folder("cp"), trigger=None).awaitTermination()
     r = spark.read.parquet(folder("o")).first()
     assert (r.n, r.errors, r.error_rate, r.over_limit) == (10, 3, 0.3, True)
+
+
+@pytest.mark.parametrize(
+    "name, folder", [("publish_json_array", "arrays"), ("stream_quality", "stream_quality-in"), ("stream_dedup_late", "late-in")]
+)
+def test_input_files_grow_in_number_with_the_rows(spark, duck, sf, monkeypatch, name, folder):
+    """No file holds a fixed share of the table; the results and the number of micro-batches stay."""
+    made = {}
+
+    def new_dir(session, purpose, own=queries.new_dir):
+        made[purpose] = own(session, purpose)
+        return made[purpose]
+
+    monkeypatch.setattr(queries, "new_dir", new_dir)
+    monkeypatch.setattr(queries, "FILE_ROWS", 25)
+    monkeypatch.setattr(queries, "ARRAY_ROWS", 25)
+    assert differences(queries.QUERIES[name](spark, sf), duck, ORACLE[name]) == ""
+    rows = fx.transactions(spark, sf).count()
+    files = [os.path.join(d, f) for d, _, names in os.walk(made[folder].removeprefix("file://")) for f in names if f.startswith("part-")]
+    assert len(files) >= 0.9 * rows / 25 > 16

@@ -38,6 +38,8 @@ MASK_SALT = "demo-salt"
 GIVEN_CENTRES = ((2.0, 0.0, 1.0), (5.0, 0.1, 2.5), (4.0, 3.0, 1.5))
 GIVEN_SCALE = (1.0, 2000.0, 7.0)
 GIVEN_TYPICAL = 1.25
+# Rows of a file of a stream's input, elements of a JSON array: larger tables make more files, not larger ones.
+FILE_ROWS, ARRAY_ROWS = 100_000, 10_000
 
 
 def query(f: Query) -> Query:
@@ -556,13 +558,26 @@ def scored_stream_large_profile(spark, sf_dir):
     return _scored(spark.read.parquet(f"{out}/scored"))
 
 
+def _files_of(rows, most):
+    """How many files of at most about `most` rows hold a table."""
+    return max(1, -(-rows // most))
+
+
+def _quarters(rows, path, order=(0, 1, 2, 3)):
+    """Writes the quarters `k` of the rows one after another, each in the same number of files, and returns that: a stream
+    that takes so many files at a time reads a quarter per micro-batch."""
+    files = _files_of(rows.count(), 4 * FILE_ROWS)
+    for k in order:
+        rows.where(F.col("k") == k).drop("k").repartition(files).write.mode("append").parquet(path)
+    return files
+
+
 def _message_stream(spark, sf_dir, name):
-    """Encoded messages of all transactions in four files, one in 97 cut short, as a stream of a file per micro-batch."""
+    """Encoded messages of all transactions, one in 97 cut short, as a stream of a quarter per micro-batch."""
     path = new_dir(spark, name)
     messages = _messages(fx.transactions(spark, sf_dir)).withColumn("k", F.pmod(F.xxhash64("key"), F.lit(4)))
-    for k in range(4):
-        messages.where(F.col("k") == k).drop("k").coalesce(1).write.mode("append").parquet(path)
-    return file_stream(spark, path, "key binary, value binary", files_per_trigger=1)
+    files = _quarters(messages, path)
+    return file_stream(spark, path, "key binary, value binary", files_per_trigger=files)
 
 
 def _run_messages(spark, sf_dir, name, **more):
@@ -604,14 +619,15 @@ def scored_stream_enriched(spark, sf_dir):
 
 @query
 def stream_dedup_late(spark, sf_dir):
-    """Every event comes twice, in four files that mix all dates: late rows are kept, repeats are not."""
+    """Every event comes twice, in four micro-batches that mix all dates: late rows are kept, repeats are not."""
     path, out, checkpoint = (new_dir(spark, n) for n in ("late-in", "late-out", "late-checkpoint"))
     tx = monitor.with_event_ts(fx.transactions(spark, sf_dir)).select("trans_num", "cc_num", num("amt"), "event_ts")
     copies = tx.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
     copies = copies.withColumn("k", F.pmod(F.xxhash64("trans_num") + F.col("copy") * 2, F.lit(4))).drop("copy")
-    for k in (2, 0, 3, 1):
-        copies.where(F.col("k") == k).drop("k").coalesce(1).write.mode("append").parquet(path)
-    stream = file_stream(spark, path, "trans_num string, cc_num string, amt double, event_ts timestamp", files_per_trigger=1)
+    files = _quarters(copies, path, (2, 0, 3, 1))
+    stream = file_stream(
+        spark, path, "trans_num string, cc_num string, amt double, event_ts timestamp", files_per_trigger=files
+    )
     dedup.start_unique(stream, out, "stream_dedup_late", checkpoint, trigger=None).awaitTermination()
     return spark.read.parquet(out).select("trans_num", "cc_num", "amt")
 
@@ -699,8 +715,10 @@ def publish_json_array(spark, sf_dir):
         F.lit('{"trans_num":"'), "trans_num", F.lit('","n":'), n.cast("string"), F.lit(',"even":'), (n % 2 == 0).cast("string"),
         F.when(n % 3 == 0, F.concat(F.lit(',"at":{"card":"'), "cc_num", F.lit('"}'))).otherwise(""), F.lit("}"),
     )
-    arrays = tx.select((n % 8).alias("file"), element.alias("e")).groupBy("file").agg(F.collect_list("e").alias("e"))
-    arrays.select(F.concat(F.lit("["), F.array_join("e", ",\n"), F.lit("]")).alias("value")).repartition(8).write.text(source)
+    file = F.pmod(F.xxhash64(*tx.columns), F.lit(_files_of(tx.count(), ARRAY_ROWS)))
+    arrays = tx.select(file.alias("file"), element.alias("e")).groupBy("file").agg(F.collect_list("e").alias("e"))
+    value = F.concat(F.lit("["), F.array_join("e", ",\n"), F.lit("]")).alias("value")
+    arrays.select("file", value).write.partitionBy("file").text(source)  # a file per array
     publish.publish(publish.messages_from_arrays(spark, source), "parquet", topic)
     return spark.read.parquet(topic).select("value", F.length("key").alias("key_length"))
 
