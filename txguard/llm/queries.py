@@ -3,7 +3,9 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txguard.llm import decontam, language, licenses, minhash, packing, secrets, sentences, urls, vectors, wavelet
+from txguard.llm import (
+    bpe, decontam, fim, language, licenses, merkle, minhash, packing, secrets, sentences, urls, vectors, wavelet,
+)
 from txguard.plans.workspace import new_dir
 
 
@@ -76,6 +78,31 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_documents(spark, path)
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose id's crc32 is divisible by 7 are presented with n_chars one larger."""
+    docs = _table(spark, sf_dir, "documents")
+    other = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    n_chars = F.when(other, F.col("n_chars").cast("decimal(20,0)") + 1).otherwise(F.col("n_chars").cast("decimal(20,0)"))
+    found = merkle.verified(docs, changed={"n_chars": n_chars})
+    return found.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest("path").alias("proof_sha256"),
+        "folded_root", "verified",
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.transformed(_table(spark, sf_dir, "documents"))
+
+
+def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_file("byte_bpe_50k.json")
+    found = bpe.decoded(bpe.encoded(_table(spark, sf_dir, "documents").select("doc_id", "text"), path), path)
+    return found.select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_decontamination": op2_decontamination,
@@ -87,6 +114,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_language": op9_language,
     "op10_token_files": op10_token_files,
+    "op11_manifest": op11_manifest,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_byte_pairs": op13_byte_pairs,
 }
 
 _WORDS = (
@@ -172,4 +202,79 @@ ORACLE = {
             coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op11_manifest": """
+        WITH RECURSIVE rows AS (
+            SELECT row_number() OVER (ORDER BY doc_id) AS r, lang, doc_id,
+                sha256(concat(
+                    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                    coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-'),
+                    coalesce(strlen(text) || ':' || text, '-'))) AS leaf,
+                sha256(concat(
+                    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                    coalesce(strlen(lang) || ':' || lang, '-'),
+                    coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-'),
+                    coalesce(strlen(text) || ':' || text, '-'))) AS other
+            FROM documents),
+        leaves AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM rows),
+        up AS (
+            SELECT lang, 0 AS level, i, n, leaf AS h FROM leaves
+            UNION ALL
+            SELECT lang, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM up
+            WHERE n > 1 GROUP BY lang, level, n, i // 2),
+        subroots AS (SELECT lang, h, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM up WHERE n = 1),
+        top AS (
+            SELECT 0 AS level, i, n, h FROM subroots
+            UNION ALL
+            SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY level, n, i // 2),
+        steps AS (
+            SELECT l.r, u.level, u.i % 2 AS slot, coalesce(s.h, '') AS sibling
+            FROM leaves l JOIN up u ON u.lang IS NOT DISTINCT FROM l.lang AND u.i = l.i >> u.level AND u.n > 1
+                LEFT JOIN up s ON s.lang IS NOT DISTINCT FROM u.lang AND s.level = u.level AND s.i = xor(u.i, 1)
+            UNION ALL
+            SELECT l.r, 100 + t.level, t.i % 2, coalesce(s.h, '')
+            FROM leaves l JOIN subroots b ON b.lang IS NOT DISTINCT FROM l.lang JOIN top t ON t.i = b.i >> t.level AND t.n > 1
+                LEFT JOIN top s ON s.level = t.level AND s.i = xor(t.i, 1)),
+        path AS (SELECT r, list({'slot': slot, 'sibling': sibling} ORDER BY level) AS p FROM steps GROUP BY r),
+        fold AS (
+            SELECT r, 0 AS k, CASE WHEN crc % 7 = 0 THEN other ELSE leaf END AS h
+            FROM (
+                SELECT *, xor(4294967295::BIGINT, list_reduce(
+                    list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT FOR x IN string_split(doc_id::VARCHAR, '')]),
+                    lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0],
+                        lambda v, bit: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END))) AS crc
+                FROM leaves)
+            UNION ALL
+            SELECT r, k + 1, sha256(CASE WHEN p[k + 1].slot = 0 THEN h || p[k + 1].sibling ELSE p[k + 1].sibling || h END)
+            FROM fold JOIN path USING (r) WHERE k < len(p))
+        SELECT l.doc_id, l.leaf, b.h AS subroot, t.h AS root,
+            sha256(coalesce(array_to_string([x.sibling FOR x IN p], ''), '')) AS proof_sha256, f.h AS folded_root, f.h = t.h AS verified
+        FROM leaves l JOIN subroots b ON b.lang IS NOT DISTINCT FROM l.lang JOIN top t ON t.n = 1 LEFT JOIN path USING (r)
+            JOIN (SELECT r, arg_max(h, k) AS h FROM fold GROUP BY r) f USING (r)
+    """,
+    "op12_fill_in_middle": """
+        WITH units AS (
+            SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+                regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS w
+            FROM documents),
+        numbers AS (
+            SELECT *, len(w) AS n, ('0x' || h[1:8])::UBIGINT AS h1, ('0x' || h[9:16])::UBIGINT AS h2,
+                ('0x' || h[17:24])::UBIGINT AS h3, ('0x' || h[25:32])::UBIGINT AS h4 FROM units),
+        formed AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                    WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM numbers),
+        parts AS (
+            SELECT *, array_to_string(w[1:a], '') AS prefix, array_to_string(w[a + 1:b], '') AS middle,
+                array_to_string(w[b + 1:n], '') AS suffix FROM formed),
+        made AS (
+            SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END AS o FROM parts),
+        marks AS (SELECT *, strpos(o, '<P>') AS p, strpos(o, '<S>') AS s, strpos(o, '<M>') AS m FROM made)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars, sha256(o) AS output_sha256,
+            sha256(CASE form WHEN 'plain' THEN o WHEN 'psm' THEN substr(o, 4, s - 4) || substr(o, m + 3) || substr(o, s + 3, m - s - 3)
+                ELSE substr(o, p + 3, m - p - 3) || substr(o, m + 3) || substr(o, 4, p - 4) END) AS restored_sha256
+        FROM marks
+    """,
 }
