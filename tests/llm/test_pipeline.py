@@ -1,7 +1,9 @@
 """The pipeline against what each stage promises, on its own input."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from txguard.llm import decontam, minhash, secrets
+from txguard.llm import decontam, language, minhash, secrets
 from txguard.llm.queries import tokenizer_file  # noqa: F401
 from txguard.plans.workspace import stored
 
@@ -55,3 +57,18 @@ def test_stages_with_edge_rows(spark, sf, edge_docs, no_docs):
     assert {r.doc_id for r in kept.collect()} == {None, 1, 6, 7, 8, 9, 10}
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, no_docs, sf).collect() == []
+
+
+def test_language_stage_without_labels_keeps_texts_with_a_letter(spark, sf, edge_docs):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for frame in (docs, edge_docs):
+        blank = frame.withColumn("lang", F.lit(None).cast("string"))
+        kept = corpus_pipeline.known_language(spark, blank, sf)
+        want = sorted(str(r.doc_id) for r in frame.collect() if any(c.isalpha() for c in r.text or ""))
+        assert kept.columns == frame.columns and sorted(str(r.doc_id) for r in kept.collect()) == want
+
+
+def test_language_stage_rejects_by_probability(docs, monkeypatch):
+    assert language.accepted(docs).count() == docs.count()
+    monkeypatch.setattr(language, "CHANCE", 4.1)
+    assert language.accepted(docs).isEmpty()

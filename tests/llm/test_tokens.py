@@ -93,6 +93,32 @@ def test_packing_does_not_follow_the_partitions(spark, docs):
     assert one == sorted(map(tuple, packing.packed(docs.coalesce(1), path).collect()))
 
 
+@pytest.mark.parametrize("expression", ["doc_id * 512", "doc_id + 70368744177664", "-doc_id * 1000003", "cast(null as bigint)",
+                                        "concat('doc-', doc_id * 977)", "7"])
+def test_packing_does_not_follow_the_kind_of_ids(docs, expression):
+    """Little padding, whatever ids look like; all pieces there."""
+    many = docs.limit(100).selectExpr(f"{expression} AS doc_id", "text", "'x' AS hash", "1 AS range")
+    rows = packing.packed(many, tokenizer_file("byte_bpe_50k.json")).collect()
+    sizes = {}
+    for r in rows:
+        sizes[r.sequence_id] = sizes.get(r.sequence_id, 0) + r.length
+    assert max(sizes.values()) <= packing.LENGTH and padding(sizes.values()) < 0.02 * sum(sizes.values())
+    whole = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
+    whole.encode_special_tokens = True
+    assert sum(sizes.values()) == sum(len(whole.encode(r.text).ids) + 1 for r in many.select("text").collect())
+
+
+def test_ranges_of_packing_follow_from_the_rows(docs, monkeypatch):
+    monkeypatch.setattr(packing, "RANGE", 16)
+    path = tokenizer_file("byte_bpe_50k.json")
+    rows = packing.packed(docs, path).collect()
+    assert len({r.sequence_id >> 36 for r in rows}) > 5
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, packing.packed(docs.repartition(7), path).collect()))
+    check_pieces(rows, {r.doc_id: r.text for r in docs.collect()})
+    order = sorted(rows, key=lambda r: (r.sequence_id, r.offset))
+    assert [r.doc_id for r in order] == sorted(r.doc_id for r in order)
+
+
 def test_edges_of_packing(edge_docs, no_docs):
     path = tokenizer_file("byte_bpe_50k.json")
     rows = packing.packed(edge_docs, path).collect()

@@ -1,7 +1,10 @@
 """Packing of token ids into sequences, in order, by dynamic programming.
 
-Documents are taken in the order of their ids, DOCS successive ids (a block) at a time; rows whose id is null or no
-integer below 2^46 go to blocks by a hash of their text. Each document's ids, and END after them, follow one another.
+Documents are taken in the order of their ids, whatever kind the ids are of (null first; rows with one id by a hash of their
+texts), and cut into ranges of about RANGE documents: a range begins where a hash of id and text says so, so that ranges follow
+from the rows, however far apart ids lie, and a common id is cut too. In a range every DOCS successive documents (a block) are
+packed together. Where the ranges begin is known to all tasks: a table of about MOST places at most, as larger tables
+get longer ranges. Each document's ids, and END after them, follow one another.
 A sequence is a window of at most LENGTH of them. Of all ways to cut the block, the one with the least
 total cost is taken: the padding of each window to LENGTH (none at a power of two), OPENING for each window,
 and a truncation penalty for each cut: none at the end of a document, SENTENCE at the end of a sentence, and MIDDLE
@@ -9,10 +12,12 @@ at every STEP ids inside a longer sentence. The best last cut comes from a queue
 increase, so that a block takes time in proportion to its cuts. Blocks of over UNIT ids are cut in
 units of whole documents (a longer document is a unit by itself), which bounds memory.
 
-A null or empty text is the single id END. Rows that repeat are packed each.
+A null or empty text is the single id END. Rows that repeat are packed each, and an empty table gives no pieces. Only doc_id and
+text are read, so other columns may have any name.
 """
 
 import zlib
+from bisect import bisect_right
 from collections import deque
 from collections.abc import Iterator
 
@@ -20,10 +25,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txguard.llm.tokens import encoder
 
 LENGTH, END = 1024, 0
+RANGE, MOST = 1024, 1 << 18
 DOCS, UNIT = 512, 1 << 20
 OPENING, SENTENCE, MIDDLE, STEP = 2, 2, 16, 64
 _POWERS = [1 << k for k in range(LENGTH.bit_length() - 1)]
@@ -117,49 +124,64 @@ def packed_unit(docs: list[tuple], ends: np.ndarray, starts: np.ndarray, first:
         yield d, a - int(doc_ends[d]) + size, b - a, zlib.crc32(data[a:b].tobytes()), size, first + s, a - o
 
 
+def _place(doc_id, value: int) -> tuple:
+    return (False, 0, value) if doc_id is None else (True, doc_id, value)
+
+
+def _range_of(hashed: DataFrame):
+    """A function of doc_id and hash: the number of the range. hashed: doc_id, hash."""
+    rate = min(1 / RANGE, MOST / max(1, hashed.count()))
+    chosen = F.pmod(F.xxhash64("doc_id", "hash"), F.lit(1 << 40)) < int(rate * (1 << 40))
+    begins = sorted(_place(r.doc_id, r.hash) for r in hashed.select("doc_id", "hash").where(chosen).distinct().collect())
+    held = hashed.sparkSession.sparkContext.broadcast(begins)
+
+    @F.arrow_udf(returnType=T.LongType())
+    def number(ids: pa.Array, hashes: pa.Array) -> pa.Array:
+        places = map(_place, ids.to_pylist(), hashes.to_pylist())
+        return pa.array([bisect_right(held.value, p) for p in places], pa.int64())
+
+    return number
+
+
 def packed(docs: DataFrame, path: str) -> DataFrame:
     """Pieces of `docs` (doc_id, text): doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     path: a byte-level vocabulary file of the `tokenizers` library.
     """
-    number = F.expr("try_cast(doc_id AS BIGINT)") if docs.schema["doc_id"].dataType.simpleString() == "string" else F.col("doc_id").cast("bigint")
-    block = F.when(
-        (number >= 0) & (number < 1 << 46), F.floor(number / DOCS)
-    ).otherwise(F.lit(-1) - F.pmod(F.xxhash64("text"), F.lit(1 << 20)))
-    ordered = docs.select(block.alias("block"), "doc_id", "text").repartition("block")
-    ordered = ordered.sortWithinPartitions("block", "doc_id", F.xxhash64("text"))
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("hash"), "text")
+    ordered = hashed.select(_range_of(hashed)("doc_id", "hash").alias("range"), "doc_id", "hash", "text").repartition("range")
+    ordered = ordered.sortWithinPartitions("range", "doc_id", "hash").drop("hash")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, spaces=True)
         ends, starts = sentence_tables(encode.tokenizer)
         unit: list = []
-        state = {"block": None, "ids": 0, "next": 0}
+        size, sequence, now = 0, 0, None
+        id_type = None
 
         def flush():
-            rows = list(packed_unit(unit, ends, starts, state["next"]))
-            state["next"] = rows[-1][5] + 1
+            nonlocal size, sequence
+            rows = list(packed_unit(unit, ends, starts, sequence))
+            sequence = rows[-1][5] + 1
             columns = list(zip(*rows))
             names = [unit[d][0] for d in columns[0]]
-            sequences = [(state["block"] << 24) + s for s in columns[5]]
             unit.clear()
-            state["ids"] = 0
-            values = [names, columns[1], columns[2], columns[3], columns[4], sequences, columns[6]]
+            size = 0
             kinds = [id_type, *[pa.int64()] * 6]
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], _OUT)
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip([names, *columns[1:]], kinds)], _OUT)
 
         for batch in batches:
             id_type = batch.schema.field(1).type
-            blocks, ids, texts = (c.to_pylist() for c in batch.columns)
+            ranges, ids, texts = (c.to_pylist() for c in batch.columns)
             for a in range(0, len(texts), 256):
-                encoded = encode.encode(texts[a : a + 256])
-                for block, doc_id, found in zip(blocks[a : a + 256], ids[a : a + 256], encoded):
-                    if unit and (block != state["block"] or state["ids"] + len(found) >= UNIT):
+                for at, doc_id, found in zip(ranges[a : a + 256], ids[a : a + 256], encode.encode(texts[a : a + 256])):
+                    if unit and (at != now or len(unit) == DOCS or size + len(found) >= UNIT):
                         yield flush()
-                    if block != state["block"]:
-                        state.update(block=block, next=0)
+                    if at != now:
+                        now, sequence = at, at << 36
                     unit.append((doc_id, np.append(found, np.uint32(END))))
-                    state["ids"] += len(found) + 1
+                    size += len(found) + 1
         if unit:
             yield flush()
 
