@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from txguard.constants import HEAVY_ROWS
 from txguard.functions import time as T
-from txguard.operators.skew import own_group, split_heavy
+from txguard.operators.skew import heavy_keys, own_group, split_heavy
+from txguard.plans.workspace import stored
 
 ROLLING = {"1h": T.HOUR, "24h": T.DAY}
 
@@ -18,14 +19,18 @@ def with_velocity(df: DataFrame, min_rows: int = HEAVY_ROWS) -> DataFrame:
       seconds up to and including this one, back to exactly that long ago.
 
     Rows without card or time get nulls. Cards with `min_rows` rows or more go another way with
-    the same result, see `_heavy`. All columns of `df` are shuffled once; select those needed first.
+    the same result, see `_heavy`; whether there are any is counted first, and their rows are
+    written once. All columns of `df` are shuffled once; select those needed first.
     """
     card = F.col("cc_num")
     rows = df.withColumn("_sec", T.epoch_seconds()).withColumn(
         "_card", F.when(F.col("_sec").isNotNull(), card)
     )
-    ordinary, heavy = split_heavy(rows, "_card", min_rows)
-    joined = _ordinary(ordinary).unionByName(_heavy(heavy))
+    if heavy_keys(rows, "_card", min_rows).isEmpty():
+        joined = _ordinary(rows)
+    else:
+        ordinary, heavy = split_heavy(rows, "_card", min_rows)
+        joined = _ordinary(ordinary).unionByName(_heavy(stored(heavy, "heavy-cards"), min_rows))
     known = F.col("_card").isNotNull()
     made = ["secs_since_prev", *[f"{t}_{k}" for k in ROLLING for t in ("tx_count", "amt_sum")]]
     return joined.withColumns(
@@ -96,12 +101,41 @@ def _amount():
     return F.coalesce((F.col("amt").cast("decimal(14,2)") * 100).cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def _heavy(rows: DataFrame) -> DataFrame:
+def _within_second(rows: DataFrame, min_rows: int) -> DataFrame:
+    """Adds `_same`: the amount of the row before in the same card and second, null for the first one.
+
+    Seconds of fewer than `min_rows` rows are windows. The rows of others are dealt into ranges in their order,
+    each range is a window of its own, and the first row of a second in a range gets the last one of the range before: a
+    frame with a row per card, second and range.
+    """
+    in_second = Window.partitionBy("_card", "_sec").orderBy("trans_num", "amt")
+    crowded = rows.groupBy("_card", "_sec").count().where(F.col("count") >= min_rows).select("_card", "_sec")
+    previous = F.lag(F.struct("amt"))
+    if crowded.isEmpty():
+        return rows.withColumn("_same", previous.over(in_second))
+    crowded = F.broadcast(crowded)  # rows / min_rows of them at most
+    usual = rows.join(crowded, ["_card", "_sec"], "left_anti").withColumn("_same", previous.over(in_second))
+
+    order = ["_card", "_sec", "trans_num", "amt"]
+    dense = rows.join(crowded, ["_card", "_sec"], "left_semi").withColumn("_from", F.spark_partition_id())
+    dense = dense.repartitionByRange(*order, "_from").sortWithinPartitions(*order, "_from").drop("_from")
+    dense = stored(dense.withColumn("_at", F.monotonically_increasing_id()), "dense-seconds")
+    dense = dense.withColumn("_range", F.shiftright("_at", 33))
+    in_range = Window.partitionBy("_range", "_card", "_sec").orderBy("_at")
+    ends = dense.groupBy("_card", "_sec", "_range").agg(F.max_by(F.struct("amt"), "_at").alias("_end"))
+    ranges = Window.partitionBy("_card", "_sec").orderBy("_range")
+    ends = ends.select("_card", "_sec", "_range", F.lag("_end").over(ranges).alias("_carried"))
+    dense = dense.withColumn("_same", previous.over(in_range)).join(ends, ["_card", "_sec", "_range"])
+    dense = dense.withColumn("_same", F.coalesce("_same", "_carried"))
+    return usual.unionByName(dense.drop("_at", "_range", "_carried"))
+
+
+def _heavy(rows: DataFrame, min_rows: int) -> DataFrame:
     """Heavy cards are first aggregated to one row per card and second.
 
     Rolling totals run over those rows in day blocks, each with the day before as context: at
     most 172,800 rows a group, whatever the volume. The previous transaction is either in the
-    same second (a window over that one second), in the block, or the last of an earlier day,
+    same second (see `_within_second`), in the block, or the last of an earlier day,
     taken from a frame with one row per card and day.
     """
     widest = max(ROLLING.values())
@@ -137,10 +171,9 @@ def _heavy(rows: DataFrame) -> DataFrame:
             *[f"{kind}_{k}" for k in ROLLING for kind in ("tx_count", "amt_sum")],
         )
     )
-    in_second = Window.partitionBy("_card", "_sec").orderBy("trans_num", "amt")
     first = F.col("_same").isNull()
     return (
-        rows.withColumn("_same", F.lag(F.struct("amt")).over(in_second))
+        _within_second(rows, min_rows)
         .join(seconds, ["_card", "_sec"])
         .withColumns(
             {

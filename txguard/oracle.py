@@ -569,3 +569,70 @@ ORACLE["retrain_promote"] = (
 # Refreshing from stored parts must give what the whole history gives.
 ORACLE["card_profile_refreshed"] = ORACLE["card_profile"]
 ORACLE["last10_avg_refreshed"] = ORACLE["last10_avg"]
+
+# Tables of epochs, and what is kept up to date in them.
+ORACLE["stream_rate_windows_late"] = ORACLE["fraud_rate_windows"]
+ORACLE["stream_rate_corrections"] = tx(
+    """
+    , w AS (
+      SELECT CASE n % 4 WHEN 2 THEN 0 WHEN 0 THEN 1 WHEN 3 THEN 2 ELSE 3 END AS k, sec // 86400 * 86400 AS s, count(*) AS n,
+        count(*) FILTER (is_fraud = 1) AS f, max(sec) AS newest FROM tx GROUP BY 1, 2),
+    seen AS (SELECT a.k, max(b.newest) AS newest FROM (SELECT DISTINCT k FROM w) a JOIN w b ON b.k < a.k GROUP BY a.k)
+    SELECT CAST(w.k AS BIGINT) AS epoch_id, w.s AS window_start, w.s + 86400 AS window_end, CAST(sum(c.n) AS BIGINT) AS n,
+      CAST(sum(c.f) AS BIGINT) AS frauds, round(CAST(sum(c.f) AS DOUBLE) / CAST(sum(c.n) AS DOUBLE), 8) AS fraud_rate
+    FROM w JOIN seen ON seen.k = w.k JOIN w c ON c.s = w.s AND c.k <= w.k
+    WHERE w.s + 86400 + 7200 <= seen.newest GROUP BY w.k, w.s
+    """
+)
+ORACLE["stream_duplicates"] = ORACLE["duplicate_transactions"]
+ORACLE["stream_surplus"] = tx(
+    """
+    SELECT count(*) AS n, count(*) - count(DISTINCT trans_num) - max(CASE WHEN trans_num IS NULL THEN 1 ELSE 0 END) AS surplus_copies,
+      true AS estimate_is_close FROM bad
+    """
+)
+ORACLE["sink_compacted_incremental"] = tx(
+    f"SELECT trans_num, n % 6 AS epoch_id, year, month, final_fraud_status, {dbl('amt')} FROM off"
+)
+ORACLE["catalog_compacted_view"] = tx(
+    """
+    SELECT n % 6 AS epoch_id, category, final_fraud_status, count(*) AS n, CAST(sum(amt) AS DOUBLE) AS amount
+    FROM off WHERE n % 6 < 4 GROUP BY 1, 2, 3
+    """
+)
+ORACLE["scored_stream_compacted"] = tx(
+    f"SELECT trans_num, year, month, {dbl('distance', 3)}, final_fraud_status FROM off WHERE n % 97 <> 0"
+)
+ORACLE["flagged_stream_bad_messages"] = with_(
+    TX, LAST,
+    select=f"""
+    SELECT 'flagged' AS "table", trans_num AS what, {AND_STATUS} FROM d LEFT JOIN averages USING (cc_num) WHERE n % 97 <> 0
+    UNION ALL
+    SELECT 'bad', substr('{{"_c0":"' || _c0 || '","ssn":"' || ssn || '","cc_num":"' || cc_num || '"', 1, 25), NULL
+    FROM tx WHERE n % 97 = 0
+    """,
+)
+ORACLE["fraud_by_category_maintained"] = ORACLE["fraud_by_category"]
+_CUBE = ("category", "state", "hour", "year", "month", "day")
+_SETS = (("category",), ("state",), ("hour",), ("year", "month", "day"), ("category", "state"))
+ORACLE["report_cube_refreshed"] = tx(
+    ", c AS (SELECT *, final_fraud_status = 'FRAUD' AS f FROM off) "
+    + " UNION ALL ".join(
+        f"SELECT '{','.join(s)}' AS report, "
+        + ", ".join(f"{c if c in s else 'NULL'} AS {c}" for c in _CUBE)
+        + ", count(*) AS n, count(*) FILTER (f) AS frauds,"
+        + " CAST(coalesce(sum(amt * 100) FILTER (f), 0) AS BIGINT) AS fraud_cents FROM c GROUP BY "
+        + ", ".join(s)
+        for s in _SETS
+    )
+)
+ORACLE["stream_velocity"] = ORACLE["velocity_features"]
+ORACLE["velocity_one_second"] = tx(
+    """
+    SELECT trans_num, CASE WHEN lag(sec) OVER o IS NOT NULL THEN CAST(0 AS BIGINT) END AS secs_since_prev,
+      round(CAST(amt AS DOUBLE) / NULLIF(CAST(lag(amt) OVER o AS DOUBLE), 0), 8) AS amt_ratio_prev,
+      count(*) OVER c AS tx_count_1h, round(CAST(sum(amt) OVER c AS DOUBLE), 2) AS amt_sum_1h,
+      count(*) OVER c AS tx_count_24h, round(CAST(sum(amt) OVER c AS DOUBLE), 2) AS amt_sum_24h
+    FROM tx WINDOW o AS (PARTITION BY cc_num ORDER BY trans_num), c AS (PARTITION BY cc_num)
+    """
+)

@@ -18,7 +18,7 @@ from txguard.plans.models import FraudModels, score, split_holdout, train_or_fal
 from txguard.schemas import CORRUPT_COLUMN
 from txguard.sinks.customers import write_customers
 from txguard.sinks.tables import (
-    write_alerts, write_bad_messages, write_deidentified, write_quality, write_scored,
+    scored_sink, write_alerts, write_bad_messages, write_deidentified, write_quality, write_scored,
 )
 from txguard.sources.payload import is_corrupt
 from txguard.streaming.runner import start_scoring
@@ -87,12 +87,14 @@ def start_scored_stream(
     customers: dict | None = None,
     available_now: bool = False,
     enrich: Callable[[], DataFrame] | None = None,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Scored transactions to `tables`/scored, alerts to `tables`/alerts and customers to
     `customers` (arguments of `write_customers`; files under `tables`/customers by default).
     A quality report per micro-batch goes to `tables`/quality. Of a stream from `payload.decode`, messages that
     could not be decoded go to `tables`/bad_messages and are not scored. With `enrich`, looked up in every micro-batch,
-    scored rows carry the columns of their customer, prefixed `customer_`.
+    scored rows carry the columns of their customer, prefixed `customer_`. With `compact_every` the scored rows are an
+    `EpochTable`, whose epochs are merged into partitioned files every so many; otherwise a partitioned folder per epoch.
 
     New versions of the profile take effect in the running query, and so do new models if
     `models` looks them up; it is called in every micro-batch.
@@ -118,8 +120,12 @@ def start_scored_stream(
         if decoded:
             write_bad_messages(batch, epoch_id, f"{tables}/bad_messages", fmt)
 
+    if compact_every:
+        write_all = scored_sink(spark, f"{tables}/scored", compact_every)
+    else:
+        write_all = partial(write_scored, path=f"{tables}/scored", fmt=fmt)
     sinks = [
-        partial(write_scored, path=f"{tables}/scored", fmt=fmt),
+        write_all,
         partial(write_alerts, path=f"{tables}/alerts", fmt=fmt),
         partial(write_customers, **customers),
     ]
@@ -142,11 +148,14 @@ def start_flagged_stream(
 ) -> StreamingQuery:
     """The rule-only stream: flagged rows without personal columns to `tables`/flagged, and the
     customers of all rows with their label to `tables`/customers. With `how="inner"` rows of cards
-    that have no mean are not flagged at all."""
+    that have no mean are not flagged at all. Of a stream from `payload.decode`, messages that could not be decoded go to
+    `tables`/bad_messages and are not flagged."""
 
     current = profiles.CurrentProfile(spark, averages_root)
+    decoded = CORRUPT_COLUMN in stream.columns
 
     def flag_one(batch: DataFrame) -> DataFrame:
+        batch = batch.where(~is_corrupt()).drop(CORRUPT_COLUMN) if decoded else batch
         averages, heavy = lookup_plan(
             batch, current(), "cc_num", config.heavy_rows, config.broadcast_rows,
             count_facts=True, dim_rows=current.rows,
@@ -164,5 +173,6 @@ def start_flagged_stream(
         write_flagged,
         partial(write_customers, status="is_fraud", fmt=fmt, path=f"{tables}/customers"),
     ]
+    raw = [partial(write_bad_messages, path=f"{tables}/bad_messages", fmt=fmt)] if decoded else []
     trigger = None if available_now else config.trigger
-    return start_scoring(stream, flag_one, sinks, name, checkpoint, trigger)
+    return start_scoring(stream, flag_one, sinks, name, checkpoint, trigger, raw)

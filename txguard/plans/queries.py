@@ -24,11 +24,13 @@ from txguard.plans import profiles as profile_store
 from txguard.plans.workspace import new_dir, stored
 from txguard.sinks import catalog, publish, tables
 from txguard.sinks.customers import write_customers
+from txguard.sinks.epochs import EpochTable
 from txguard.sources import customers as customer_source
 from txguard.sources import history as history_source
 from txguard.sources import payload
 from txguard.sources.stream import file_stream
-from txguard.streaming import dedup, runner
+from txguard.streaming import dedup, duplicates, rates, runner
+from txguard.streaming import velocity as keyed_velocity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -229,6 +231,33 @@ def velocity_features_heavy(spark, sf_dir):
     )
 
 
+@query
+def velocity_one_second(spark, sf_dir):
+    """All transactions of a card in one second, each crowded one cut into ranges."""
+    tx = fx.transactions(spark, sf_dir).select("cc_num", "trans_num", F.lit("1704067200").alias("unix_time"), "amt")
+    return velocity.with_velocity(tx, min_rows=60).select(
+        "trans_num", "secs_since_prev", num("amt_ratio_prev", 8),
+        "tx_count_1h", num("amt_sum_1h", 2), "tx_count_24h", num("amt_sum_24h", 2),
+    )
+
+
+@query
+def stream_velocity(spark, sf_dir):
+    """Keyed state per card over four micro-batches in the order of time."""
+    path, out, checkpoint = (new_dir(spark, n) for n in ("velocity-in", "velocity", "velocity-checkpoint"))
+    tx = monitor.with_event_ts(fx.transactions(spark, sf_dir))
+    week = F.least(F.lit(3), F.floor((F.col("unix_time").cast("bigint") - 1704067200) / 604800)).cast("int")
+    rows = tx.select("cc_num", "trans_num", "unix_time", "amt", "event_ts", F.greatest(F.lit(0), week).alias("k"))
+    files = _quarters(rows, path)
+    stream = file_stream(spark, path, rows.drop("k").schema, files_per_trigger=files)
+    made = keyed_velocity.stream_velocity(stream)
+    runner.start_copy(made, out, "stream_velocity", checkpoint, trigger=None).awaitTermination()
+    return spark.read.parquet(out).select(
+        "trans_num", "secs_since_prev", num("amt_ratio_prev", 8),
+        "tx_count_1h", num("amt_sum_1h", 2), "tx_count_24h", num("amt_sum_24h", 2),
+    )
+
+
 @query
 def customer_enrichment(spark, sf_dir):
     tx = fx.transactions(spark, sf_dir)
@@ -494,6 +523,64 @@ def stream_rate_windows(spark, sf_dir):
     return spark.read.parquet(out).withColumn("fraud_rate", F.round("fraud_rate", 8))
 
 
+def _mixed_stream(spark, sf_dir, tx, name):
+    """Rows of any dates in four micro-batches, by transaction number: 2, 0, 3, 1 modulo 4."""
+    path = new_dir(spark, name)
+    files = _quarters(tx, path, (2, 0, 3, 1))
+    return file_stream(spark, path, tx.drop("k").schema, files_per_trigger=files)
+
+
+def _late_rates(spark, sf_dir, name):
+    out, checkpoint = new_dir(spark, name), new_dir(spark, f"{name}-checkpoint")
+    tx = monitor.with_event_ts(fx.transactions(spark, sf_dir)).select(
+        "trans_num", "is_fraud", "event_ts", (F.col("trans_num").cast("bigint") % 4).alias("k")
+    )
+    rates.start_late_rates(
+        _mixed_stream(spark, sf_dir, tx, f"{name}-in"), F.col("is_fraud") == 1, out, name, checkpoint, trigger=None, compact_every=2,
+    ).awaitTermination()
+    return out
+
+
+@query
+def stream_rate_windows_late(spark, sf_dir):
+    """All dates mixed in each of four micro-batches: every row is in its window, closed or not."""
+    found = rates.rates(spark, _late_rates(spark, sf_dir, "late-rates"))
+    return found.withColumn("fraud_rate", F.round("fraud_rate", 8))
+
+
+@query
+def stream_rate_corrections(spark, sf_dir):
+    """The closed windows that each of the later micro-batches corrected, as they were then."""
+    found = rates.corrections(spark, _late_rates(spark, sf_dir, "corrected-rates"))
+    return found.withColumn("fraud_rate", F.round("fraud_rate", 8))
+
+
+def _stream_duplicates(spark, sf_dir, name):
+    out, checkpoint = new_dir(spark, name), new_dir(spark, f"{name}-checkpoint")
+    n = F.col("_c0").cast("bigint")
+    tx = fx.with_defects(fx.transactions(spark, sf_dir)).select("trans_num", "cc_num", (n % 4).alias("k"))
+    stream = _mixed_stream(spark, sf_dir, tx, f"{name}-in")
+    runner.start_scoring(
+        stream, lambda df: df, (), name, checkpoint, None, duplicates.duplicate_sinks(spark, out, compact_every=2)
+    ).awaitTermination()
+    return out
+
+
+@query
+def stream_duplicates(spark, sf_dir):
+    """Ids that repeat within or across four micro-batches, exactly."""
+    found = duplicates.repeated(spark, _stream_duplicates(spark, sf_dir, "stream-duplicates"))
+    return found.select(F.col("id").alias("trans_num"), "copies")
+
+
+@query
+def stream_surplus(spark, sf_dir):
+    """Surplus copies over four micro-batches, exact, and whether the sketch's number of ids is within 5 % of it."""
+    report = duplicates.surplus_report(spark, _stream_duplicates(spark, sf_dir, "stream-surplus"))
+    ids = F.col("n") - F.col("surplus_copies")
+    return report.select("n", "surplus_copies", (F.abs(F.col("ids_estimate") - ids) <= 0.05 * ids).alias("estimate_is_close"))
+
+
 @query
 def stream_dedup(spark, sf_dir):
     """Every event arrives three times; one row of each is kept."""
@@ -645,6 +732,22 @@ def flagged_stream(spark, sf_dir):
     return _flags(spark.read.parquet(f"{out}/flagged"))
 
 
+@query
+def flagged_stream_bad_messages(spark, sf_dir):
+    """The rule-only application over messages of which one in 97 is cut short: flagged and bad ones are all there are."""
+    out, checkpoint = new_dir(spark, "flagged"), new_dir(spark, "flagged-checkpoint")
+    averages = _profile_root(spark, sf_dir, profile_store.build_averages)
+    messages = _message_stream(spark, sf_dir, "flagged-in")
+    applications.start_flagged_stream(
+        spark, payload.decode(messages), averages, out, "flagged_stream_bad_messages", checkpoint, available_now=True,
+    ).awaitTermination()
+    flagged = spark.read.parquet(f"{out}/flagged").select(
+        F.lit("flagged").alias("table"), F.col("trans_num").alias("what"), "status"
+    )
+    bad = spark.read.parquet(f"{out}/bad_messages")
+    return flagged.union(bad.select(F.lit("bad"), "message", F.lit(None).cast("string")))
+
+
 def _off_scored(spark, sf_dir):
     """All transactions with a status; no models."""
     tx = features.with_calendar(features.with_distance(fx.transactions(spark, sf_dir)))
@@ -681,6 +784,51 @@ def sink_compacted(spark, sf_dir):
     )
 
 
+def _merged_epochs(spark, sf_dir, purpose):
+    """Six epochs, each tried with a part of its rows before, merged as they come, two generations to one."""
+    table = EpochTable(spark, new_dir(spark, purpose), C.SCORED_PARTITIONS, fan=2)
+    scored = stored(_off_scored(spark, sf_dir).drop("event_time"), f"{purpose}-rows")
+    n = F.col("trans_num").cast("bigint")
+    for epoch in range(6):
+        rows = scored.where(n % 6 == epoch)
+        table.write(rows.where(n % 7 == 0), epoch)
+        table.write(rows, epoch)
+        if epoch in (1, 2, 4):
+            table.compact(before=epoch)
+    return table
+
+
+@query
+def sink_compacted_incremental(spark, sf_dir):
+    """Epochs under a commit log: some merged, some not, each row once."""
+    return _merged_epochs(spark, sf_dir, "sink-merged").read().select(
+        "trans_num", "epoch_id", "year", "month", "final_fraud_status", num("amt")
+    )
+
+
+@query
+def catalog_compacted_view(spark, sf_dir):
+    """Ad-hoc SQL over the merged epochs by name; the epochs that are not merged yet are not in the view."""
+    table = _merged_epochs(spark, sf_dir, "catalog-merged")
+    name = "merged_" + table.path.rsplit("-", 1)[1]
+    table.register(name)
+    return spark.sql(
+        f"""
+        SELECT epoch_id, category, final_fraud_status, count(*) AS n, CAST(sum(amt) AS DOUBLE) AS amount
+        FROM {name} WHERE year = 2024 AND month = 1
+        GROUP BY epoch_id, category, final_fraud_status
+        """
+    )
+
+
+@query
+def scored_stream_compacted(spark, sf_dir):
+    """The scoring stream into a table of epochs that merges itself."""
+    out = _run_messages(spark, sf_dir, "scored_stream_compacted", compact_every=2)
+    rows = EpochTable(spark, f"{out}/scored", C.SCORED_PARTITIONS).read()
+    return rows.select("trans_num", "year", "month", num("distance", 3), "final_fraud_status")
+
+
 @query
 def sink_customers(spark, sf_dir):
     path = new_dir(spark, "sink-customers")
@@ -795,6 +943,24 @@ def _report(df):
     )
 
 
+@query
+def report_cube_refreshed(spark, sf_dir):
+    """Five reports kept up to date epoch by epoch from the new rows alone."""
+    cube = EpochTable(spark, new_dir(spark, "cube"), merge=analytics.add_cubes, fan=2)
+    n = F.col("trans_num").cast("bigint")
+    for epoch in range(4):
+        cube.write(analytics.report_cube(_off_scored(spark, sf_dir).where(n % 4 == epoch)), epoch)
+        cube.compact(before=epoch)
+    return cube.read()
+
+
+@query
+def fraud_by_category_maintained(spark, sf_dir):
+    """A report taken from the cube."""
+    cube = stored(analytics.report_cube(_off_scored(spark, sf_dir)), "cube")
+    return _report(analytics.report_of(cube, "category"))
+
+
 @query
 def fraud_by_category(spark, sf_dir):
     return _report(analytics.fraud_by(_off_scored(spark, sf_dir), "category"))

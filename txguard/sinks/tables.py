@@ -8,6 +8,7 @@ from txguard.operators.privacy import deidentified
 from txguard.operators.quality import quality_report
 from txguard.operators.rules import alerts_only
 from txguard.schemas import CORRUPT_COLUMN
+from txguard.sinks.epochs import EpochTable, into
 from txguard.sources.payload import is_corrupt
 
 
@@ -58,6 +59,12 @@ def write_scored(df: DataFrame, epoch_id: int, path: str, fmt: str = "parquet")
     write_epoch(stamped, epoch_id, path, SCORED_PARTITIONS, fmt, "txguard-scored")
 
 
+def scored_sink(spark: SparkSession, path: str, compact_every: int):
+    """As `write_scored`, into an `EpochTable`: no folder per epoch and value, replays swap at once, merged every so many epochs."""
+    table = EpochTable(spark, path, SCORED_PARTITIONS)
+    return into(table, lambda df: df.withColumn("processing_timestamp", F.current_timestamp()), compact_every)
+
+
 def write_deidentified(df: DataFrame, epoch_id: int, path: str, fmt: str = "parquet") -> None:
     if df.isEmpty():
         clear_epoch(df.sparkSession, epoch_id, path, fmt)
