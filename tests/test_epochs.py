@@ -332,3 +332,26 @@ def test_cube_holds_the_reports(spark, sf):
     empty = analytics.report_cube(scored.where("false"))
     same_rows(analytics.add_cubes(cube.unionByName(empty)), cube)
     assert fx.table(spark, sf, "events").count() == cube.where("report = 'category'").agg(F.sum("n")).first()[0]
+
+
+# Bucketed profiles
+
+
+def test_bucketed_profile_reads_own_folders(spark, folder):
+    from txguard.plans import profiles as store
+
+    cards = spark.range(500).select(F.concat(F.lit("c"), "id").alias("cc_num"), F.col("id").cast("double").alias("avg_amount"))
+    store.publish_profile(cards.unionByName(spark.sql("SELECT CAST(NULL AS string) AS cc_num, 1.0D AS avg_amount")), folder("p"), 1, 10)
+    current = store.CurrentProfile(spark, folder("p"), max_age=0)
+    batch = spark.createDataFrame([("c7",), ("c8",), ("c8",), (None,), ("unknown",)], "cc_num string")
+    part, size = current.of(batch)
+    assert size is None and current.buckets == 51 and set(part.columns) == {"cc_num", "avg_amount"}
+    text = executed(part)
+    assert "bucket#" in text.split("PartitionFilters: [")[1].split("]")[0]
+    found = {r.cc_num for r in part.collect()}
+    assert {"c7", "c8"} <= found and len(found) < 60  # three folders of 51
+    assert current.of(batch.where("cc_num IS NULL"))[0].isEmpty()
+    store.publish_profile(cards.limit(5), folder("p"), 2)  # a small version after a bucketed one is kept again
+    whole, size = current.of(batch)
+    assert size == 5 and current.buckets is None and whole.count() == 5
+    current.release()

@@ -636,3 +636,57 @@ ORACLE["velocity_one_second"] = tx(
     FROM tx WINDOW o AS (PARTITION BY cc_num ORDER BY trans_num), c AS (PARTITION BY cc_num)
     """
 )
+ORACLE["scored_stream_bucketed"] = ORACLE["scored_stream"]
+ORACLE["schema_evolved"] = tx(
+    """
+    SELECT trans_num, CAST(floor(amt) AS BIGINT) * CASE WHEN n % 3 = 0 THEN 1 ELSE 10000000000 END AS amt, merchant AS shop,
+      CASE WHEN n % 3 > 0 THEN CASE WHEN amt > 500 THEN 'branch' ELSE 'online' END END AS channel,
+      CASE WHEN n % 3 = 2 AND n % 2 = 0 THEN 'os' || (n % 4) END AS device_os, CASE WHEN n % 3 = 2 AND n % 2 = 0 THEN n END AS device_n
+    FROM tx
+    """
+)
+ORACLE["ab_decision"] = tx(
+    f"""
+    , a AS (SELECT *, sec // 86400 AS day_number, CASE WHEN {BUCKET.format('cc_num')} < 50 THEN 'B' ELSE 'A' END AS arm FROM d WHERE is_fraud = 1),
+    s AS (SELECT day_number, arm, CASE WHEN distance > (CASE WHEN arm = 'B' THEN 1000 ELSE 1500 END) AND amt > 500 THEN 1 ELSE 0 END AS hit FROM a),
+    l AS (
+      SELECT day_number, count(*) FILTER (arm = 'A') AS n_a, count(*) FILTER (arm = 'A' AND hit = 1) AS hits_a,
+        count(*) FILTER (arm = 'B') AS n_b, count(*) FILTER (arm = 'B' AND hit = 1) AS hits_b FROM s GROUP BY day_number),
+    c AS (
+      SELECT day_number, CAST(sum(n_a) OVER w AS BIGINT) AS n_a, CAST(sum(hits_a) OVER w AS BIGINT) AS hits_a,
+        CAST(sum(n_b) OVER w AS BIGINT) AS n_b, CAST(sum(hits_b) OVER w AS BIGINT) AS hits_b FROM l WINDOW w AS (ORDER BY day_number)),
+    v AS (
+      SELECT *, hits_b / CAST(NULLIF(n_b, 0) AS DOUBLE) - hits_a / CAST(NULLIF(n_a, 0) AS DOUBLE) AS gain,
+        (hits_a + hits_b) / CAST(n_a + n_b AS DOUBLE) AS pooled FROM c),
+    w AS (SELECT *, pooled * (1 - pooled) * (1.0 / NULLIF(n_a, 0) + 1.0 / NULLIF(n_b, 0)) AS spread FROM v),
+    p AS (
+      SELECT *, coalesce(CASE WHEN spread > 0 THEN least(1.0, sqrt((spread + 0.01) / spread)
+        * exp(-least(gain * gain * 0.01 / (2 * spread * (spread + 0.01)), 700))) ELSE 1.0 END, 1.0) AS alone FROM w),
+    q AS (SELECT *, min(alone) OVER (ORDER BY day_number) AS p_value FROM p)
+    SELECT day_number, n_a, hits_a, n_b, hits_b, round(p_value, 6) AS p_value,
+      CASE WHEN p_value <= 0.05 THEN CASE WHEN gain > 0 THEN 'B' WHEN gain < 0 THEN 'A' END END AS decision FROM q
+    """
+)
+_DRIFT = " UNION ALL ".join(
+    f"SELECT strftime(ts, '%Y-%m-%d') AS day, '{c}' AS \"column\", {c} AS x, ts < {STREAM_START} AS past FROM d"
+    for c in ("amount_log", "distance")
+)
+ORACLE["drift_by_day"] = tx(
+    f"""
+    , x AS ({_DRIFT}),
+    points AS (
+      SELECT "column", unnest(quantile_disc(x, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS p, unnest(range(9)) AS i
+      FROM x WHERE past GROUP BY "column"),
+    wanted AS (
+      SELECT "column", i, count(*) FILTER (x <= p) / CAST(count(*) AS DOUBLE) AS r FROM x JOIN points USING ("column")
+      WHERE past GROUP BY "column", i),
+    found AS (
+      SELECT day, "column", i, count(*) AS n, count(*) FILTER (x <= p) / CAST(count(*) AS DOUBLE) AS r
+      FROM x JOIN points USING ("column") WHERE NOT past GROUP BY day, "column", i)
+    SELECT day, "column", max(n) AS n, round(max(abs(found.r - wanted.r)), 8) AS distance, true AS estimate_is_close
+    FROM found JOIN wanted USING ("column", i) GROUP BY day, "column"
+    """
+)
+ORACLE["model_quality"] = (
+    "SELECT unnest(['finds_frauds', 'few_false_alarms', 'frauds_score_higher', 'clusters_explain']) AS \"check\", true AS holds"
+)

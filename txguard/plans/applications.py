@@ -97,7 +97,8 @@ def start_scored_stream(
     `EpochTable`, whose epochs are merged into partitioned files every so many; otherwise a partitioned folder per epoch.
 
     New versions of the profile take effect in the running query, and so do new models if
-    `models` looks them up; it is called in every micro-batch.
+    `models` looks them up; it is called in every micro-batch. Scored rows name the versions that made them
+    (`profile_version`, `model_version`), as the replay of an epoch may use newer ones.
     """
     customers = customers or {"fmt": fmt, "path": f"{tables}/customers"}
 
@@ -110,9 +111,15 @@ def start_scored_stream(
 
     def score_one(batch: DataFrame) -> DataFrame:
         batch = good(batch)
-        profile = current()
-        rows = features_of(batch, profile, config, count_rows=True, profile_rows=current.rows)
-        scored = score(rows, models(), config)
+        profile, size = current.of(batch)
+        rows = features_of(batch, profile, config, count_rows=True, profile_rows=size)
+        chosen = models()
+        scored = score(rows, chosen, config).withColumns(
+            {
+                "profile_version": F.lit(current.version).cast("bigint"),
+                "model_version": F.lit(chosen.version).cast("bigint"),
+            }
+        )
         return with_customer(scored, enrich()) if enrich else scored
 
     def check(batch: DataFrame, epoch_id: int) -> None:
@@ -156,9 +163,9 @@ def start_flagged_stream(
 
     def flag_one(batch: DataFrame) -> DataFrame:
         batch = batch.where(~is_corrupt()).drop(CORRUPT_COLUMN) if decoded else batch
+        averages, size = current.of(batch)
         averages, heavy = lookup_plan(
-            batch, current(), "cc_num", config.heavy_rows, config.broadcast_rows,
-            count_facts=True, dim_rows=current.rows,
+            batch, averages, "cc_num", config.heavy_rows, config.broadcast_rows, count_facts=True, dim_rows=size,
         )
         return rules.relative_rule(
             batch, averages, "left", combine, config.distance_km, config.amount, heavy

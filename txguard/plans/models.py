@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from txguard import constants as C
 from txguard.config import FraudConfig
 from txguard.functions.hashing import bucket_of
-from txguard.operators import anomaly, rules
+from txguard.operators import anomaly, drift, rules
 from txguard.operators.features import labelled, model_inputs
 from txguard.operators.metrics import classification_metrics
 from txguard.plans.workspace import stored
@@ -42,6 +42,7 @@ class ClusterModel:
 class FraudModels:
     classifier: PipelineModel | None = None
     clusters: ClusterModel | None = None
+    version: int | None = None  # of the store they were loaded from
 
 
 def scaled_pipeline(columns, output: str, *last) -> Pipeline:
@@ -243,7 +244,7 @@ def load_models(
         found = ClusterModel(
             tuple(row.columns), tuple(row.scale), tuple(tuple(c) for c in row.centres), row.typical
         )
-    return FraudModels(classifier, found)
+    return FraudModels(classifier, found, version)
 
 
 # --- Retraining and comparison -------------------------------------------------------------------
@@ -312,6 +313,18 @@ def retrain_and_promote(
     return version
 
 
+def retrain_if_drifted(
+    spark: SparkSession, features: DataFrame, reference: DataFrame, current: DataFrame, root: str, days: int,
+    limit: float = drift.LIMIT, ts: str = "event_time",
+) -> int | None:
+    """Retrains and lists a new version if any input or score in `current` has drifted from `reference` (states of
+    `operators.drift`); returns its number, None if all is as it was. The features are read only if needed."""
+    report = drift.drift_report(reference, current, limit)
+    if report.where("drifted").isEmpty():
+        return None
+    return retrain_and_promote(spark, features, root, days, ts)
+
+
 def with_arm(df: DataFrame, share_b: int = 50) -> DataFrame:
     """Arm of an A/B test by card: `share_b` percent of the cards are in B, always the same ones."""
     in_b = F.coalesce(bucket_of("cc_num") < share_b, F.lit(False))

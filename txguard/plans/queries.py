@@ -15,7 +15,7 @@ from txguard import fixtures as fx
 from txguard import schemas
 from txguard.config import FraudConfig
 from txguard.operators import (
-    analytics, anomaly, enrichment, features, metrics, monitor, privacy, profiles, quality, rules,
+    analytics, anomaly, drift, enrichment, features, metrics, monitor, privacy, profiles, quality, rules,
     velocity,
 )
 from txguard.operators.skew import heavy_keys, lookup_join
@@ -26,6 +26,7 @@ from txguard.sinks import catalog, publish, tables
 from txguard.sinks.customers import write_customers
 from txguard.sinks.epochs import EpochTable
 from txguard.sources import customers as customer_source
+from txguard.sources import evolution
 from txguard.sources import history as history_source
 from txguard.sources import payload
 from txguard.sources.stream import file_stream
@@ -474,6 +475,43 @@ def ab_rule_metrics(spark, sf_dir):
     )
 
 
+@query
+def ab_decision(spark, sf_dir):
+    """The two distance limits compared day by day on the frauds they find, with a p-value that holds at every look."""
+    tx = rules.without_models(features.with_distance(fx.transactions(spark, sf_dir)))
+    scored = models.score_by_arm(
+        tx, partial(rules.final_status, distance_km=1500), partial(rules.final_status, distance_km=1000)
+    )
+    day = F.floor(F.col("unix_time").cast("bigint") / 86400).alias("day_number")
+    looks = scored.where("is_fraud = 1").groupBy(day, "arm").agg(
+        F.count("*").alias("n"), F.count_if(F.col("final_fraud_status") == "FRAUD").alias("found")
+    )
+    return metrics.sequential_test(looks, "day_number", "n", "found", effect=0.1).select(
+        "day_number", "n_a", "hits_a", "n_b", "hits_b", num("p_value", 6), "decision"
+    )
+
+
+@query
+def drift_by_day(spark, sf_dir):
+    """Inputs of each arriving day against the history: exactly, and whether the sketches are within their error of that."""
+    columns = ("amount_log", "distance")
+    rows = features.with_distance(features.with_amounts(fx.transactions(spark, sf_dir)))
+    rows = rows.select("event_time", *columns, F.to_date("event_time").cast("string").alias("day"))
+    start = F.lit(fx.STREAM_START).cast("timestamp_ntz")
+    past, live = rows.where(F.col("event_time") < start), rows.where(F.col("event_time") >= start)
+    exact = drift.exact_drift(past, live, columns, ("day",)).select("day", "column", "n", "distance", "drifted")
+    table = EpochTable(spark, new_dir(spark, "drift"), merge=drift.add_states)
+    for epoch, odd in enumerate((0, 1)):
+        half = live.where(F.dayofyear("event_time") % 2 == odd)
+        table.write(drift.sketch_state(half, columns, ("day",)), epoch)
+    report = drift.drift_report(drift.sketch_state(past, columns), table.read())
+    guess = report.select("day", "column", F.col("distance").alias("guess"))
+    error = 2 * drift.RANK_ERROR + 0.02 + 2 / F.col("n")
+    return exact.join(guess, ["day", "column"]).select(
+        "day", "column", "n", num("distance", 8), (F.abs(F.col("distance") - F.col("guess")) <= error).alias("estimate_is_close")
+    )
+
+
 # --- Monitoring ----------------------------------------------------------------------------------------------
 
 
@@ -645,6 +683,19 @@ def scored_stream_large_profile(spark, sf_dir):
     return _scored(spark.read.parquet(f"{out}/scored"))
 
 
+@query
+def scored_stream_bucketed(spark, sf_dir):
+    """The stream with a bucketed profile: each micro-batch, of a day's cards or so, reads the folders of its own cards."""
+    out, checkpoint, root = (new_dir(spark, n) for n in ("scored", "scored-checkpoint", "profiles"))
+    profile_store.publish_profile(inline_profile(spark, sf_dir), root, 3, rows_per_bucket=10)
+    applications.start_scored_stream(
+        spark, fx.arrival_stream(spark, sf_dir), root, out, "scored_stream_bucketed", checkpoint,
+        config=FraudConfig(broadcast_rows=10), available_now=True,
+    ).awaitTermination()
+    rows = spark.read.parquet(f"{out}/scored")
+    return _scored(rows.where("profile_version = 3 AND model_version IS NULL"))
+
+
 def _files_of(rows, most):
     """How many files of at most about `most` rows hold a table."""
     return max(1, -(-rows // most))
@@ -934,6 +985,31 @@ def schema_merge_read(spark, sf_dir):
     )
 
 
+@query
+def schema_evolved(spark, sf_dir):
+    """Three generations as one table: an amount that grew from int to long, a renamed field, a new one, and messages with a
+    field that no layout knows, kept as a variant."""
+    paths = [new_dir(spark, f"generation-{i}") for i in range(3)]
+    n, amt = F.col("trans_num").cast("bigint"), F.floor("amt")
+    rows = fx.transactions(spark, sf_dir).withColumn("channel", F.when(F.col("amt") > 500, "branch").otherwise("online"))
+    rows.where(n % 3 == 0).select("trans_num", amt.cast("int").alias("amt"), "merchant").write.parquet(paths[0])
+    large = (amt * 10_000_000_000).cast("bigint").alias("amt")
+    rows.where(n % 3 == 1).select("trans_num", large, "merchant", "channel").write.parquet(paths[1])
+    device = F.struct(F.concat(F.lit("os"), n % 4).alias("os"), n.alias("n")).alias("device")
+    newest = rows.where(n % 3 == 2)
+    messages = payload.encode(newest.where(n % 2 == 0).select("trans_num", large, F.col("merchant").alias("shop"), "channel", device))
+    older = payload.encode(newest.where(n % 2 == 1).select("trans_num", large, "merchant", "channel"))
+    ddl, renames = "trans_num string, amt bigint, shop string, channel string", {"merchant": "shop"}
+    opened = evolution.decode_open(messages.unionAll(older), ddl, renames=renames)
+    opened.drop(schemas.CORRUPT_COLUMN).write.parquet(paths[2])
+    found = evolution.read_generations(spark, paths, renames=renames)
+    return found.select(
+        "trans_num", "amt", "shop", "channel",
+        F.try_variant_get(F.col("other_fields")["device"], "$.os", "string").alias("device_os"),
+        F.try_variant_get(F.col("other_fields")["device"], "$.n", "bigint").alias("device_n"),
+    )
+
+
 # --- Reports -------------------------------------------------------------------------------------------------------
 
 
@@ -1055,6 +1131,32 @@ def rf_holdout_metrics(spark, sf_dir):
     return _counted(models.evaluate(models.classify(holdout, fitted.classifier)))
 
 
+@query
+def model_quality(spark, sf_dir):
+    """Bounds that a model which has learned nothing does not meet: frauds found and false alarms of the classifier on the
+    hold-out rows, its order of frauds before others, and the part of the spread that the clusters explain."""
+    fitted, profile = _trained(spark, sf_dir)
+    rows = applications.features_of(fx.history(spark, sf_dir), profile)
+    holdout = models.classify(models.split_holdout(rows)[1], fitted.classifier)
+    flagged = holdout.withColumn("flag", F.col("prediction").cast("int"))
+    found = metrics.classification_metrics(flagged, "is_fraud", "flag")
+    means = holdout.agg(
+        F.avg(F.when(F.col("is_fraud") == 1, F.col("ml_fraud_score"))).alias("of_frauds"),
+        F.avg(F.when(F.col("is_fraud") == 0, F.col("ml_fraud_score"))).alias("of_others"),
+    )
+    near = models.with_inputs(rows, C.CLUSTER_FEATURES)
+    scaled = [F.col(models.INPUT + c) / s for c, s in zip(C.CLUSTER_FEATURES, fitted.clusters.scale)]
+    distances = [sum(((v - x) * (v - x) for v, x in zip(scaled, centre)), F.lit(0.0)) for centre in fitted.clusters.centres]
+    spread = near.agg(F.avg(F.least(*distances)).alias("inside"), sum((F.var_pop(v) for v in scaled), F.lit(0.0)).alias("whole"))
+    checks = [
+        (found, "finds_frauds", F.col("detection_rate") >= 0.5), (found, "few_false_alarms", F.col("false_positive_rate") <= 0.05),
+        (means, "frauds_score_higher", F.col("of_frauds") - F.col("of_others") >= 0.5),
+        (spread, "clusters_explain", F.col("inside") <= 0.7 * F.col("whole")),
+    ]
+    parts = [df.select(F.lit(name).alias("check"), c.alias("holds")) for df, name, c in checks]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
 @query
 def kmeans_assign(spark, sf_dir):
     fitted, rows = _arrival_features(spark, sf_dir)
