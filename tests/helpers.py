@@ -38,3 +38,14 @@ def same_rows(a, b):
     assert columns == sorted(b.columns)
     a, b = a.select(columns), b.select(columns)
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+_results = {}
+
+
+def result(queries, name, spark, sf):
+    """The frame of a query, built once per session: streams and tables behind it are run and written once."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _results:
+        _results[key] = queries[name](spark, sf)
+    return _results[key]

@@ -355,3 +355,54 @@ def test_bucketed_profile_reads_own_folders(spark, folder):
     whole, size = current.of(batch)
     assert size == 5 and current.buckets is None and whole.count() == 5
     current.release()
+
+
+# Membership index
+
+
+def test_filters_know_all_ids_and_few_others(spark):
+    from txguard.streaming import membership as m
+
+    ids = spark.range(20_000).select(F.col("id").cast("string").alias("k"))
+    others = spark.range(20_000, 40_000).select(F.col("id").cast("string").alias("k"))
+    slots = 20_000 // m.IDS_PER_SLOT + 1
+    parts = [m.filter_of(ids.where(F.col("k").cast("int") % 3 == i), "k", slots) for i in range(3)]
+    filters = m.add_filters(parts[0].unionByName(parts[1]).unionByName(parts[2])).persist()
+    same_rows(filters, m.filter_of(ids.unionByName(spark.sql("SELECT CAST(NULL AS string) AS k")), "k", slots))
+    assert m.maybe_known(ids, filters, "k", slots).count() == 20_000
+    assert m.maybe_known(others, filters, "k", slots).count() < 0.05 * 20_000
+    assert m.maybe_known(ids, filters.where("false"), "k", slots).isEmpty()
+
+
+def test_new_ids_open_no_ids_and_repeats_few_folders(spark, folder, monkeypatch):
+    from txguard.streaming import membership as m
+
+    index = m.MembershipIndex(spark, folder("i"), "k", 200_000)
+    ids = lambda a, b: spark.range(a, b).select(F.col("id").cast("string").alias("k"))
+    for epoch in range(4):
+        index.add(ids(epoch * 1000, epoch * 1000 + 1000), epoch)
+    index.compact(before=4)
+    asked = []
+    real = m.MembershipIndex.candidates
+    monkeypatch.setattr(m.MembershipIndex, "candidates", lambda self, b, before: asked.append(b) or real(self, b, before))
+    assert index.unknown(ids(50_000, 50_100), 4).count() == 100 and not asked
+    fresh = index.unknown(ids(3990, 4090), 4)
+    assert sorted(int(r.k) for r in fresh.collect()) == list(range(4000, 4090))
+    assert 1 <= len(asked[0]) <= 10
+    read = real(index, asked[0], 4)
+    text = executed(read)
+    assert "PartitionFilters: [bucket#" in text and read.count() < 100  # a few of 1,024 buckets
+    with pytest.raises(ValueError):
+        index.unknown(ids(0, 10), 2)  # merged already
+    assert m.MembershipIndex(spark, folder("empty"), "k", 10).unknown(ids(0, 10), 0).count() == 10
+
+
+def test_indexed_stream_with_rows_without_id_and_a_repeated_epoch(spark, folder):
+    from txguard.streaming import membership as m
+
+    rows = [("a", 1, 0), ("b", 2, 0), ("a", 3, 1), (None, 4, 1), (None, 4, 1), ("c", 5, 2), ("c", 5, 2), ("b", 0, 3), (None, 4, 3)]
+    stream = quarters(spark, spark.createDataFrame(rows, "trans_num string, v int, k int"), folder("in"))
+    for _ in range(2):  # the second run finds nothing new
+        m.start_unique_indexed(stream, folder("out"), "u", folder("cp"), 10, trigger=None, compact_every=1).awaitTermination()
+    found = sorted(((r.trans_num, r.v) for r in EpochTable(spark, folder("out") + "/rows").read().collect()), key=str)
+    assert found == sorted([("a", 1), ("b", 2), ("c", 5), (None, 4), (None, 4), (None, 4)], key=str)

@@ -2,6 +2,7 @@
 
 import pytest
 from compare import differences
+from helpers import result
 
 import __spark_entry__ as entry_point
 from txguard.oracle import ORACLE as SQL
@@ -15,7 +16,7 @@ def test_all_have_sql():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_equal_to_sql(spark, duck, sf, name):
-    assert differences(QUERIES[name](spark, sf), duck, SQL[name]) == ""
+    assert differences(result(QUERIES, name, spark, sf), duck, SQL[name]) == ""
 
 
 def test_all_are_registered():

@@ -1,7 +1,7 @@
 """What the plans must and must not contain."""
 
 import pytest
-from helpers import executed, plan
+from helpers import executed, plan, result
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
@@ -17,7 +17,7 @@ SLOW = {n for n in QUERIES if n not in entry_point.oracle_sql()} | {"scaled_feat
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
 def test_no_python_rows_and_no_products(spark, sf, name):
-    text = plan(QUERIES[name](spark, sf))
+    text = plan(result(QUERIES, name, spark, sf))
     for node in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in text
 

@@ -690,3 +690,4 @@ ORACLE["drift_by_day"] = tx(
 ORACLE["model_quality"] = (
     "SELECT unnest(['finds_frauds', 'few_false_alarms', 'frauds_score_higher', 'clusters_explain']) AS \"check\", true AS holds"
 )
+ORACLE["stream_dedup_indexed"] = ORACLE["stream_dedup"]

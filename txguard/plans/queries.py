@@ -30,7 +30,7 @@ from txguard.sources import evolution
 from txguard.sources import history as history_source
 from txguard.sources import payload
 from txguard.sources.stream import file_stream
-from txguard.streaming import dedup, duplicates, rates, runner
+from txguard.streaming import dedup, duplicates, membership, rates, runner
 from txguard.streaming import velocity as keyed_velocity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -770,6 +770,21 @@ def stream_dedup_late(spark, sf_dir):
     return spark.read.parquet(out).select("trans_num", "cc_num", "amt")
 
 
+@query
+def stream_dedup_indexed(spark, sf_dir):
+    """As `stream_dedup_late`, through filters and buckets of ids, with small filters so that chance hits occur."""
+    path, out, checkpoint = (new_dir(spark, n) for n in ("indexed-in", "indexed-out", "indexed-checkpoint"))
+    tx = fx.transactions(spark, sf_dir).select("trans_num", "cc_num", num("amt"))
+    copies = tx.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    copies = copies.withColumn("k", F.pmod(F.xxhash64("trans_num") + F.col("copy") * 2, F.lit(4))).drop("copy")
+    files = _quarters(copies, path, (2, 0, 3, 1))
+    stream = file_stream(spark, path, "trans_num string, cc_num string, amt double", files_per_trigger=files)
+    membership.start_unique_indexed(
+        stream, out, "stream_dedup_indexed", checkpoint, expected_ids=tx.count() // 2, trigger=None, compact_every=2
+    ).awaitTermination()
+    return EpochTable(spark, f"{out}/rows").read().select("trans_num", "cc_num", "amt")
+
+
 @query
 def flagged_stream(spark, sf_dir):
     """The rule-only application over encoded messages of the arriving part, read back."""

@@ -157,8 +157,10 @@ class EpochTable:
 
     def read(self, before: int | None = None) -> DataFrame | None:
         """All rows, each once, with `epoch_id` (merged, without it, if the table is additive); None if nothing was written.
-        before: epochs below that one."""
+        before: epochs below that one, which must not be merged yet."""
         state = self.state()
+        if before is not None and state.through >= before:
+            raise ValueError(f"epochs are merged up to {state.through}")
         entries = [e for n, e in sorted(self._entries(state).items()) if before is None or n < before]
         parts = []
         if state.generations:
