@@ -6,6 +6,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from txguard.llm import decontam, language, licenses, secrets, urls
 
 
@@ -144,6 +146,29 @@ def test_mined_rules_equal_counting(spark):
     assert rules and found == want
 
 
+def test_long_urls_of_one_template_are_one_rule(spark):
+    """40 segments and 20 parameters in 60 toxic URLs: the tokens are alike, so combining them makes nothing new."""
+    path = "/".join(f"s{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(40))
+    query = "&".join(f"k{chr(97 + i)}=1" for i in range(20))
+    pages = [(i, f"https://bad.org/{path}?{query}") for i in range(60)] + [(100 + i, f"https://good.org/x{i}") for i in range(60)]
+    pages += [(500, "https://other.info/saa"), (501, "https://other.info/y"), (502, "https://bad.org/" + "z" * 20_000), (503, None)]
+    frame = spark.createDataFrame(pages, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i < 60)) for i, _ in pages[:120]], "doc_id long, toxic int")
+    got = {r.page_id: r.verdict for r in urls.judged(frame, labels).collect()}
+    blocked = {i for i, v in got.items() if v == "block"}
+    assert blocked == {*range(60), 500, 502}
+    rules, classes = urls.mine(frame.join(labels, frame.page_id == labels.doc_id).select(urls.tokens_of(F.col("url")).alias("tokens"), (F.col("toxic") > 0).alias("bad")))
+    assert rules.count() == 1 and classes.count() >= 60
+
+
+def test_mixed_template_has_no_rules(spark):
+    """Equal URLs, half of them toxic: no rule, and no time spent on combinations."""
+    path = "/".join(f"s{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(40))
+    frame = spark.createDataFrame([(i, f"https://mixed.org/{path}") for i in range(200)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    assert urls.judged(frame, labels).where("verdict = 'block'").isEmpty()
+
+
 def test_language_is_learned(docs):
     rows = language.identified(docs.where("doc_id IS NOT NULL")).join(docs.select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in rows if r.held_out]
