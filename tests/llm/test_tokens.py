@@ -150,6 +150,42 @@ def test_wavelet_matrix(n, top):
     assert matrix.count(200_000) == 0
 
 
+@pytest.mark.parametrize("n", [0, 1, 8, 513, 70_000])
+@pytest.mark.parametrize("top", [0, 1, 5, 49_407])
+def test_many_questions_at_once(n, top):
+    draw = np.random.default_rng(n + top)
+    tokens = (draw.integers(0, top + 1, n) // draw.integers(1, 9, n)).astype(np.uint32)
+    matrix = wavelet.WaveletMatrix(wavelet.build(tokens, np.array([n])))
+    places = draw.integers(0, n, 200) if n else np.zeros(0, dtype=np.int64)
+    assert (matrix.accesses(places) == tokens[places]).all()
+    a = draw.integers(0, n + 1, 100)
+    b = np.minimum(n, a + draw.integers(0, 50, 100))
+    for token in {*tokens[:5].tolist(), 0, 1, 70_000}:
+        assert (matrix.occurrences(token) == np.flatnonzero(tokens == token)).all()
+        assert matrix.counts(token, a, b).tolist() == [int((tokens[x:y] == token).sum()) for x, y in zip(a, b)]
+
+
+def test_questions_over_files(spark, docs, edge_docs, folder, monkeypatch):
+    """Counts, occurrences and ranges over the written shards, against the plain ids."""
+    whole = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
+    for name, frame in (("docs", docs), ("edges", edge_docs.where("doc_id IS NOT NULL AND doc_id <> 2"))):
+        path = folder(name)
+        wavelet.write_shards(frame.repartition(3), tokenizer_file("word_bpe_49k.json"), path)
+        rows = sorted((r.doc_id, r.text) for r in frame.select("doc_id", "text").collect())
+        ids = [whole.encode(t or "", add_special_tokens=False).ids + [wavelet.END] for _, t in rows]
+        flat = np.array([i for x in ids for i in x])
+        doc = [(d, k) for (d, _), x in zip(rows, ids) for k in range(len(x))]
+        asked = [wavelet.END, int(flat[0]), int(np.bincount(flat).argmax()), 49_000]
+        assert {r.token: r.n for r in wavelet.count_tokens(spark, path, asked).collect()} == {t: int((flat == t).sum()) for t in asked}
+        got = sorted((r.token, r.position, r.doc_id, r.offset) for r in wavelet.find_tokens(spark, path, asked).collect())
+        assert got == sorted((t, int(p), *doc[p]) for t in set(asked) for p in np.flatnonzero(flat == t))
+        for a, b in ((0, 7), (len(flat) // 2, len(flat) // 2 + 300), (len(flat) - 3, len(flat) + 10), (5, 5)):
+            part = sorted((r.position, r.token) for r in wavelet.read_tokens(spark, path, a, b).collect())
+            assert part == [(i, int(flat[i])) for i in range(a, min(b, len(flat)))]
+        ends = {r.doc_id: r.n_end for r in wavelet.read_documents(spark, path).collect()}
+        assert ends == {d: x.count(wavelet.END) for (d, _), x in zip(rows, ids)}
+
+
 def stored_rows(spark, docs, path):
     wavelet.write_shards(docs, tokenizer_file("word_bpe_49k.json"), path)
     return wavelet.read_documents(spark, path).collect()

@@ -5,7 +5,11 @@ text), END after each, and stores shards of about SHARD ids: each a wavelet matr
 and occurrence lookup by rank and select. A shard is one row (part, number, n_tokens, doc_ids, matrix) of a
 Parquet data set, so that Spark commits files and retries lost tasks; `matrix` is the byte layout of `build`.
 
-Null and empty texts are the single id END. A longer document than SHARD is a shard by itself.
+Over written shards, `count_tokens`, `find_tokens` and `read_tokens` count ids, find their occurrences and read a range of ids,
+by rank, select and access in each shard; `read_documents` reads all, and counts END in each document by rank.
+
+Null and empty texts are the single id END. A longer document than SHARD is a shard by itself. Rows that repeat are stored
+each. An empty table gives no shards and no rows. Only doc_id and text are read, so other columns may have any name.
 """
 
 import struct
@@ -162,6 +166,62 @@ class WaveletMatrix:
             i = self.select(p, bit, i - self.zeros[p] if bit else i)
         return i
 
+    def _whole(self, plane: int) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of a plane, one more at the end, and the ones before each byte."""
+        key = (plane, "whole")
+        if key not in self._open:
+            parts = [self._part(plane, c) for c in range(len(self._chunks[plane]))]
+            raw = np.concatenate([*parts, np.zeros(1, dtype=np.uint8)])
+            ones = np.bitwise_count(raw).astype(np.int64)
+            self._open[key] = raw, np.cumsum(ones) - ones
+        return self._open[key]
+
+    def ranks(self, plane: int, places: np.ndarray) -> np.ndarray:
+        """`rank` of many places at once."""
+        raw, before = self._whole(plane)
+        byte = places >> 3
+        mask = (np.left_shift(1, places & 7) - 1).astype(np.uint8)
+        return before[byte] + np.bitwise_count(raw[byte] & mask)
+
+    def accesses(self, places: np.ndarray) -> np.ndarray:
+        """`access` of many places at once."""
+        value = np.zeros(len(places), dtype=np.uint32)
+        for p in range(self.planes):
+            bit = self._whole(p)[0][places >> 3] >> (places & 7).astype(np.uint8) & 1
+            ones = self.ranks(p, places)
+            places = np.where(bit == 1, self.zeros[p] + ones, places - ones)
+            value = value << np.uint32(1) | bit
+        return value
+
+    def counts(self, token: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """`count` of an id in many ranges at once."""
+        if token >> self.planes:
+            return np.zeros(len(a), dtype=np.int64)
+        for p in range(self.planes):
+            ra, rb = self.ranks(p, a), self.ranks(p, b)
+            if token >> (self.planes - 1 - p) & 1:
+                a, b = self.zeros[p] + ra, self.zeros[p] + rb
+            else:
+                a, b = a - ra, b - rb
+        return b - a
+
+    def occurrences(self, token: int) -> np.ndarray:
+        """Places of all occurrences of an id, ascending: the select of each, a plane at a time."""
+        low, high = self._range(token, 0, self.n)
+        places = np.arange(low, high)
+        for p in range(self.planes - 1, -1, -1):
+            if not len(places):
+                break
+            one = bool(token >> (self.planes - 1 - p) & 1)
+            wanted = places - self.zeros[p] if one else places
+            raw, before = self._whole(p)
+            seen = before if one else np.arange(len(before)) * 8 - before
+            byte = np.searchsorted(seen, wanted, side="right") - 1
+            bits = np.unpackbits(raw[byte][:, None], axis=1, bitorder="little").astype(bool)
+            order = np.cumsum(bits if one else ~bits, axis=1)
+            places = byte * 8 + np.argmax(order == (wanted - seen[byte] + 1)[:, None], axis=1)
+        return places
+
     def tokens(self) -> np.ndarray:
         """All ids, in order."""
         now = np.zeros(self.n, dtype=np.uint16 if self.planes <= 16 else np.uint32)
@@ -219,37 +279,97 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str) -> None:
     shards.write.option("compression", "uncompressed").parquet(path)
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 of each stored document."""
-    shards = spark.read.parquet(path)
-    kind = shards.schema["doc_ids"].dataType.elementType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                matrix = WaveletMatrix(batch.column("matrix")[i].as_py())
-                data = matrix.tokens().astype("<u4")
-                ends = np.cumsum(matrix.sizes)
-                starts = ends - matrix.sizes
-                crc = [zlib.crc32(data[a:b].tobytes()) for a, b in zip(starts.tolist(), ends.tolist())]
-                n = len(ends)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([batch.column("part")[i].as_py()] * n, pa.int32()),
-                     pa.array([batch.column("number")[i].as_py()] * n, pa.int32()),
-                     batch.column("doc_ids")[i].values, pa.array(starts), pa.array(matrix.sizes), pa.array(crc, pa.int64())],
-                    ["part", "number", "doc_id", "start", "n_tokens", "ids_crc32"],
-                )
-
-    found = shards.select("part", "number", "doc_ids", "matrix").mapInArrow(
-        run, f"part int, number int, doc_id {kind}, start long, n_tokens long, ids_crc32 long"
-    )
+def _placed(shards: DataFrame) -> DataFrame:
+    """part, number, first: the ids of all shards before each one."""
     inside = W.partitionBy("part").orderBy("number").rowsBetween(W.unboundedPreceding, -1)
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)  # one row per part
     parts = shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).select(
         "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start")
     )
     starts = shards.select("part", "number", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)).alias("own_start"))
-    starts = starts.join(parts, "part").select("part", "number", (F.col("part_start") + F.col("own_start")).alias("first"))
-    return found.join(starts, ["part", "number"]).select(
-        "doc_id", (F.col("first") + F.col("start")).alias("start"), "n_tokens", "ids_crc32"
+    return starts.join(parts, "part").select("part", "number", (F.col("part_start") + F.col("own_start")).alias("first"))
+
+
+def _asked(shards: DataFrame, columns: list[str], answer, ddl: str, names: list[str]) -> DataFrame:
+    """Rows that `answer(matrix, row)` gives for each shard as lists or arrays, behind part and number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i] for c in batch.schema.names}
+                columns = answer(WaveletMatrix(row["matrix"].as_py()), row)
+                n = len(columns[0])
+                key = [pa.array([row[c].as_py()] * n, pa.int32()) for c in ("part", "number")]
+                yield pa.RecordBatch.from_arrays([*key, *columns], ["part", "number", *names])
+
+    return shards.select("part", "number", *columns, "matrix").mapInArrow(run, f"part int, number int, {ddl}")
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start (ids of all documents before it), n_tokens, ids_crc32, n_end (how many of its ids are END, by rank) of
+    each stored document."""
+    shards = spark.read.parquet(path)
+    kind = shards.schema["doc_ids"].dataType.elementType.simpleString()
+
+    def answer(matrix: WaveletMatrix, row: dict) -> list:
+        data = matrix.tokens().astype("<u4")
+        ends = np.cumsum(matrix.sizes)
+        starts = ends - matrix.sizes
+        crc = [zlib.crc32(data[a:b].tobytes()) for a, b in zip(starts.tolist(), ends.tolist())]
+        own = [starts, matrix.sizes, np.array(crc, dtype=np.int64), matrix.counts(END, starts, ends)]
+        return [row["doc_ids"].values, *[pa.array(x, pa.int64()) for x in own]]
+
+    found = _asked(
+        shards, ["doc_ids"], answer, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long, n_end long",
+        ["doc_id", "start", "n_tokens", "ids_crc32", "n_end"],
     )
+    return found.join(_placed(shards), ["part", "number"]).select(
+        "doc_id", (F.col("first") + F.col("start")).alias("start"), "n_tokens", "ids_crc32", "n_end"
+    )
+
+
+def count_tokens(spark: SparkSession, path: str, tokens: list[int]) -> DataFrame:
+    """token, n: how often each id occurs in all files, by two ranks a plane and shard."""
+    tokens = sorted(set(tokens))
+
+    def answer(matrix: WaveletMatrix, row: dict) -> list:
+        return [pa.array(tokens, pa.int64()), pa.array([matrix.count(t) for t in tokens], pa.int64())]
+
+    found = _asked(spark.read.parquet(path), [], answer, "token long, n long", ["token", "n"])
+    return found.groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def find_tokens(spark: SparkSession, path: str, tokens: list[int]) -> DataFrame:
+    """token, position (from the first id of all files), doc_id, offset (in the document) of every occurrence, by select."""
+    shards = spark.read.parquet(path)
+    kind = shards.schema["doc_ids"].dataType.elementType.simpleString()
+    tokens = sorted(set(tokens))
+
+    def answer(matrix: WaveletMatrix, row: dict) -> list:
+        found = [matrix.occurrences(t) for t in tokens]
+        places = np.concatenate([np.zeros(0, dtype=np.int64), *found])
+        ends = np.cumsum(matrix.sizes)
+        doc = np.searchsorted(ends, places, side="right")
+        names = row["doc_ids"].values.take(pa.array(doc, pa.int64()))
+        token = np.repeat(tokens, [len(f) for f in found])
+        return [pa.array(token, pa.int64()), pa.array(places, pa.int64()), names, pa.array(places - (ends - matrix.sizes)[doc], pa.int64())]
+
+    found = _asked(
+        shards, ["doc_ids"], answer, f"token long, place long, doc_id {kind}, offset long", ["token", "place", "doc_id", "offset"]
+    )
+    return found.join(_placed(shards), ["part", "number"]).select(
+        "token", (F.col("first") + F.col("place")).alias("position"), "doc_id", "offset"
+    )
+
+
+def read_tokens(spark: SparkSession, path: str, start: int, end: int) -> DataFrame:
+    """position, token of the ids from start to end (not included), by access; shards outside are not opened."""
+    shards = spark.read.parquet(path)
+    wanted = shards.join(_placed(shards), ["part", "number"]).where((F.col("first") < end) & (F.col("first") + F.col("n_tokens") > start))
+
+    def answer(matrix: WaveletMatrix, row: dict) -> list:
+        first = row["first"].as_py()
+        places = np.arange(max(0, start - first), min(matrix.n, end - first))
+        return [pa.array(places + first, pa.int64()), pa.array(matrix.accesses(places), pa.int64())]
+
+    return _asked(wanted, ["first"], answer, "position long, token long", ["position", "token"]).select("position", "token")
