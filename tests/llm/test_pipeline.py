@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from txguard.llm import decontam, language, minhash, secrets
+from txguard.llm import decontam, language, minhash, secrets, sentences
 from txguard.llm.queries import tokenizer_file  # noqa: F401
 from txguard.plans.workspace import stored
 
@@ -72,3 +72,15 @@ def test_language_stage_rejects_by_probability(docs, monkeypatch):
     assert language.accepted(docs).count() == docs.count()
     monkeypatch.setattr(language, "CHANCE", 4.1)
     assert language.accepted(docs).isEmpty()
+
+
+def test_columns_of_any_name_stay(spark, sf, edge_docs):
+    """Users' columns may be named as the stages' own helpers are."""
+    names = ["_key", "_kept", "_kept_key", "_doc", "_removed", "_bad", "twice", "own", "hash", "range", "bucket", "bands"]
+    frame = edge_docs.withColumns({n: F.lit(f"value of {n}") for n in names})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stored(stage(spark, frame, sf), "test-pipeline")
+        assert frame.columns == edge_docs.columns + names
+    frame = sentences.without_repeats(frame)
+    assert {r[n] for r in frame.collect() for n in names} == {f"value of {n}" for n in names}
+    assert not corpus_pipeline.packed(spark, frame, sf).isEmpty()

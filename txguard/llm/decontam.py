@@ -11,7 +11,9 @@ Document fingerprints that no item has are mostly left out before the join by a
 fingerprints; its size is fixed, and what passes it by chance fails the join.
 
 Null and empty texts have no words and no hits; items without words are ignored. Items that repeat with one
-id count once; documents that repeat give a row each.
+id count once; documents that repeat give a row each. Of equal hashes the last in a window is kept, on both sides alike. Long texts are
+taken whole, one at a time. Without items nothing is hit; without documents there are no rows. Only the named columns are read; others may
+have any name and are kept by `uncontaminated`.
 """
 
 import zlib
@@ -204,5 +206,5 @@ def uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Of rows with one id, all go if one of them shares a window.
     """
-    bad = contamination(docs, benchmark).where("n_hit > 0").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad")), "left_anti")
+    bad = contamination(docs, benchmark).where("n_hit > 0").select(F.col("doc_id").alias("_txguard_bad")).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_txguard_bad")), "left_anti")

@@ -9,7 +9,9 @@ parallel from common weights, and their states are averaged after each of EPOCHS
 sample is left out and sets the temperature.
 
 Learned from: text and lang, where both are given, the id is not null and crc32(id as text) mod 4 is not 2.
-A text that is null or has no letter is `und` with score 0; so is everything if there is nothing to learn from.
+A text that is null or has no letter is `und` with score 0; so is everything if there is nothing to learn from. Of equally
+probable languages the first by name is taken. Rows that repeat are judged each; long texts are taken whole. An empty table gives no rows.
+Only doc_id, text and lang are read; other columns may have any name and are kept by `predict` and `accepted`.
 """
 
 from collections.abc import Iterator

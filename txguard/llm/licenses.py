@@ -13,8 +13,9 @@ A file named LICENSE, LICENCE or COPYING (any case, any ending) with a licence h
 without one of its own has that of the nearest directory above it that has one; the best score decides between several in one
 directory. Paths are separated by `/`.
 
-Null and empty texts have no passages; a null path has no directory. Rows that repeat give a row each. Only DataFrame
-functions are used.
+Null and empty texts have no passages; a null path has no directory. Rows that repeat give a row each. Long texts are cut into
+passages like others; a long line is one passage. An empty table gives no rows. Only id, path and text are read, so other columns may have
+any name. Only DataFrame functions are used.
 """
 
 import math

@@ -15,7 +15,8 @@ LEAST or more of `A-Za-z0-9+/_-` that meets no pattern's span is tested as kind
   tested runs of the corpus, separately in each length stratum, as short runs say less.
 
 Null and empty texts have no spans. Rows are judged one by one, so ids that repeat do not matter. A corpus without
-character pairs tests nothing.
+character pairs tests nothing, and an empty table gives no rows. Long texts are taken whole. Ties of spans go by start, then kind as listed.
+Only doc_id and text are read; other columns may have any name and are kept by `redacted`.
 """
 
 import hashlib

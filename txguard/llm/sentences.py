@@ -14,7 +14,8 @@ documents choose the same runs; they leave no gap, as WINDOW < WORDS, and cover
 each end. With n > 50 these are 23 words in a row at least, and hold a whole piece or sentence of up to PIECE words.
 
 Null and empty texts have no sentences. Rows with the same id and text share their places, so of such copies the text
-is judged once and the copies alike: they count as one document.
+is judged once and the copies alike: they count as one document. Long texts are taken whole, one at a time. An empty table gives
+no rows. Only doc_id and text are read; other columns may have any name and are kept by `without_repeats`.
 """
 
 import zlib
@@ -203,16 +204,16 @@ def cut(one: str, removed: list[int]) -> str:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """`docs`, all rows and columns, with repeated sentences removed from text and n_chars (if there) counted again."""
     gone = repeats(docs, shifted=True).where(F.size("removed") > 0).select(
-        F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), F.col("removed").alias("_removed")
+        F.col("doc_id").alias("_txguard_doc"), F.col("text_key").alias("_key"), F.col("removed").alias("_removed")
     ).distinct()
-    gone = gone.groupBy("_doc").agg(F.collect_list(F.struct("_key", "_removed")).alias("_removed"))
-    found = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_doc")), "left").drop("_doc")
+    gone = gone.groupBy("_txguard_doc").agg(F.collect_list(F.struct("_key", "_removed")).alias("_txguard_removed"))
+    found = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_txguard_doc")), "left").drop("_txguard_doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names
             columns = {n: batch.column(n) for n in names}
-            texts, marks = columns["text"].to_pylist(), columns.pop("_removed").to_pylist()
+            texts, marks = columns["text"].to_pylist(), columns.pop("_txguard_removed").to_pylist()
             for i, found in enumerate(marks):
                 if found and texts[i]:
                     key = _text_keys([texts[i]])[0]

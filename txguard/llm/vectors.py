@@ -14,7 +14,8 @@ lacks, or of too few classes for codes, are all compared exactly. Block pairs re
 links that span their components, not all pairs.
 
 Null labels; vectors that are null, empty, zero or hold null or non-finite components link with nothing. Vectors of different
-lengths do not link. Rows that repeat an id are vectors of their own; a null id never names a component.
+lengths do not link. Rows that repeat an id are vectors of their own; a null id never names a component. Ties between centres go to the
+first one. An empty table gives no rows. Only vec_id, label and embedding are read, so other columns may have any name.
 """
 
 import hashlib
