@@ -435,11 +435,8 @@ ORACLE: dict[str, str] = {
     "sink_scored_deidentified": with_(
         TX, LAST,
         select=f"""
-        SELECT CASE WHEN n % 97 <> 0 THEN trans_num END AS trans_num, CASE WHEN n % 97 <> 0 THEN ssn END AS ssn,
-          CASE WHEN n % 97 <> 0 THEN city END AS city, CASE WHEN n % 97 <> 0 THEN CAST(amt AS DOUBLE) END AS amt,
-          CASE WHEN n % 97 <> 0 AND distance > 1500 AND CAST(amt AS DOUBLE) > avg_transaction_amt + 500
-            THEN 'fraud' ELSE 'genuine' END AS status, CAST(0 AS INT) AS pii_columns
-        FROM live LEFT JOIN averages USING (cc_num)
+        SELECT trans_num, ssn, city, {dbl('amt')}, {AND_STATUS}, CAST(0 AS INT) AS pii_columns
+        FROM live LEFT JOIN averages USING (cc_num) WHERE n % 97 <> 0
         """,
     ),
     "publish_json_records": tx(

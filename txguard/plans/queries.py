@@ -909,7 +909,7 @@ def sink_customers(spark, sf_dir):
 def sink_scored_deidentified(spark, sf_dir):
     path = new_dir(spark, "sink-deidentified")
     messages = stored(_messages(fx.arrivals(spark, sf_dir)), "messages")
-    decoded = stored(payload.decode(messages, keep=("key",)), "decoded")
+    decoded = stored(payload.decode(messages, keep=("key",)), "decoded").where(~payload.is_corrupt())
     flagged = applications.flag_batch(decoded, fx.history(spark, sf_dir), "left")
     tables.write_deidentified(flagged, 0, path)
     back = spark.read.parquet(path)
