@@ -1,4 +1,4 @@
-"""Words, their hashes and word n-grams of whole texts, a few million bytes at a time.
+"""Words, their hashes and word n-grams of whole texts, a million bytes at a time.
 
 A word is a run of `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]` after A-Z became a-z: digits, letters a-z and
 everything beyond ASCII. In UTF-8 those are exactly the bytes below, so words are found on bytes.
@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 1_000_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
