@@ -51,6 +51,10 @@ NEWER = (
     "1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F"
 )
 _newer = "".join("-".join(f"\\U{x:0>8}" for x in span.split("-")) for span in NEWER.split())
+# The pattern once more for texts without characters from U+0250 on, whose letters and numbers are few ranges.
+_LETTERS, _NUMBERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+_words_of_latin = re.compile(PATTERN.replace(r"\p{L}", _LETTERS).replace(r"\p{N}", _NUMBERS)).findall
+_has_others = re.compile("[\u0250-\U0010ffff]").search
 _has_newer = re.compile(f"[{_newer}]").search
 _words_of = regex.compile(PATTERN).findall
 _words_of_newer = regex.compile(
@@ -60,6 +64,8 @@ _words_of_newer = regex.compile(
 
 
 def words_of(text: str) -> list[str]:
+    if text.isascii() or not _has_others(text):
+        return _words_of_latin(text)
     return (_words_of_newer if _has_newer(text) else _words_of)(text)
 
 
@@ -119,9 +125,12 @@ class Codec:
         at = np.searchsorted(self.pair_keys, keys)
         return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NONE)
 
-    def merge_together(self, symbols: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-        """Ids of words of at least 2 bytes. symbols: a row of ids per word, as wide as a power of two; sizes: how many of them."""
+    def merge_together(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, one behind the other, and how many each has. symbols: a row of ids per word, as wide as a power of two;
+        sizes: how many of them."""
         n, width = symbols.shape
+        if width == 1:
+            return symbols.reshape(-1), sizes
         levels = width.bit_length() - 1
         place = np.arange(width)
         tree = np.full((n, 2 * width), NONE)
@@ -165,7 +174,7 @@ class Codec:
                 tree[t3 + p] = np.minimum(tree[c], tree[c + 1])
             rows = rows[tree[t + 1] < NONE]
         kept = np.add.reduceat(alive.astype(np.int64), np.arange(0, n * width, width))
-        return np.split(sym[alive], np.cumsum(kept)[:-1])
+        return sym[alive], kept
 
     def merge_one(self, symbols: list[int]) -> list[int]:
         """Ids of one word, of any length, by a tree of its own."""
@@ -212,41 +221,50 @@ class Codec:
             i = after[i]
         return out
 
+    def merged_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of the words in another order, how many ids each has, and the ids of all in that order."""
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        widths = np.left_shift(1, np.ceil(np.log2(np.maximum(lengths, 1))).astype(np.int64))
+        order = np.argsort(widths, kind="stable")
+        borders = np.flatnonzero(np.diff(widths[order])) + 1
+        counts, ids = [], []
+        for members in np.split(order, borders) if len(words) else ():
+            width = int(widths[members[0]])
+            if width > SHORT and len(members) < 32:
+                for i in members.tolist():
+                    found = self.merge_one(self.byte_id[np.frombuffer(words[i], dtype=np.uint8)].tolist())
+                    counts.append([len(found)])
+                    ids.append(found)
+                continue
+            step = max(1, ROWS // width)
+            for a in range(0, len(members), step):
+                part = members[a : a + step]
+                raw = b"".join([words[i].ljust(width, b"\0") for i in part.tolist()])
+                symbols = self.byte_id[np.frombuffer(raw, dtype=np.uint8)].reshape(-1, width)
+                found, kept = self.merge_together(symbols, lengths[part])
+                counts.append(kept)
+                ids.append(found)
+        none = np.zeros(0, dtype=np.int64)
+        return order, np.concatenate([none, *counts]).astype(np.int64), np.concatenate([none, *ids]).astype("<u4")
+
     def merge(self, words: list[bytes]) -> list[np.ndarray]:
         """Ids of each word."""
+        order, counts, ids = self.merged_words(words)
         out: list = [None] * len(words)
-        groups: dict[int, list[int]] = {}
-        for i, w in enumerate(words):
-            groups.setdefault(1 << max(len(w) - 1, 0).bit_length(), []).append(i)
-        for width, members in groups.items():
-            if width == 1:
-                for i in members:
-                    out[i] = self.byte_id[np.frombuffer(words[i], dtype=np.uint8)]
-            elif width > SHORT and len(members) < 32:
-                for i in members:
-                    out[i] = np.array(self.merge_one(self.byte_id[np.frombuffer(words[i], dtype=np.uint8)].tolist()))
-            else:
-                step = max(1, ROWS // width)
-                for a in range(0, len(members), step):
-                    part = members[a : a + step]
-                    raw = b"".join(words[i].ljust(width, b"\0") for i in part)
-                    symbols = self.byte_id[np.frombuffer(raw, dtype=np.uint8)].reshape(-1, width)
-                    sizes = np.array([len(words[i]) for i in part])
-                    for i, ids in zip(part, self.merge_together(symbols, sizes)):
-                        out[i] = ids
+        for i, found in zip(order.tolist(), np.split(ids, np.cumsum(counts)[:-1])):
+            out[i] = found
         return out
 
-    def _add(self, new: list) -> None:
-        ids = self.merge([w.encode("utf-8", "replace") for w in new])
-        sizes = np.array([len(x) for x in ids], dtype=np.int64)
-        first, n, end = len(self.number), len(new), self.filled + int(sizes.sum())
+    def _add(self, new: list[str]) -> None:
+        order, sizes, ids = self.merged_words([w.encode("utf-8", "replace") for w in new])
+        first, n, end = len(self.number), len(new), self.filled + len(ids)
         while len(self.flat) < end:
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while len(self.size) < first + n:
             self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
-        self.flat[self.filled : end] = np.concatenate(ids)
-        self.size[first : first + n] = sizes
-        self.begin[first : first + n] = self.filled + np.cumsum(sizes) - sizes
+        self.flat[self.filled : end] = ids
+        self.size[first + order] = sizes
+        self.begin[first + order] = self.filled + np.cumsum(sizes) - sizes
         self.filled = end
         self.number.update(zip(new, range(first, first + n)))
 
