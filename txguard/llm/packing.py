@@ -173,9 +173,9 @@ def packed(docs: DataFrame, path: str) -> DataFrame:
 
         for batch in batches:
             id_type = batch.schema.field(1).type
-            ranges, ids, texts = (c.to_pylist() for c in batch.columns)
-            for a in range(0, len(texts), 256):
-                for at, doc_id, found in zip(ranges[a : a + 256], ids[a : a + 256], encode.encode(texts[a : a + 256])):
+            for a in range(0, batch.num_rows, 256):
+                ranges, ids, texts = (c.to_pylist() for c in batch.slice(a, 256).columns)
+                for at, doc_id, found in zip(ranges, ids, encode.encode(texts)):
                     if unit and (at != now or len(unit) == DOCS or size + len(found) >= UNIT):
                         yield flush()
                     if at != now:

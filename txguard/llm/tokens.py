@@ -18,6 +18,7 @@ _PLAIN_TEXT = re.compile("[^\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‏ -  　
 _LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
 _WITH_SPACE = re.compile(rf"\s*{_LETTERS}(?=[.,!?\s]|$)|[.,!?]+(?=\s|$)|\s*\S+|\s+")
 _WITHOUT_SPACE = re.compile(rf"{_LETTERS}(?=[.,!?\s]|$)|[.,!?]+(?=\s|$)|\S+")
+_SPACES = " \t\n\r"  # all that plain texts have
 _open: dict = {}
 
 
@@ -30,6 +31,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        names = (self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size()))
+        self.bytes = np.array([len(n) for n in names], dtype=np.int64)
         self.spaces, self.pieces = spaces, _WITH_SPACE.findall if spaces else _WITHOUT_SPACE.findall
         self._clear()
 
@@ -40,18 +43,23 @@ class Encoder:
 
     def _add(self, new: list[str]) -> None:
         between = "" if self.spaces else " "
+        alone = []
         if self.spaces:  # pieces that begin with white space and end without may follow one another
-            alone = [p for p in new if not p[0].isspace() or p[-1].isspace()]
-            new = [p for p in new if p[0].isspace() and not p[-1].isspace()]
-        else:
-            alone = []
+            every, new = new, []
+            for p in every:
+                (new if p[0] in _SPACES and p[-1] not in _SPACES else alone).append(p)
         ids = [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch(alone, add_special_tokens=False)]
         sizes = np.array([len(x) for x in ids], dtype=np.int64)
         if new:
             one = self.tokenizer.encode(between.join(new), add_special_tokens=False)
-            starts = np.concatenate([[0], np.cumsum([len(p) + len(between) for p in new])])
-            place = np.fromiter((a for a, _ in one.offsets), dtype=np.int64, count=len(one.ids))
             ids.append(np.array(one.ids, dtype=np.uint32))
+            if self.spaces:  # an id stands for as many bytes as its name has characters
+                lengths = np.fromiter(map(len, map(str.encode, new)), dtype=np.int64, count=len(new))
+                place = np.cumsum(self.bytes[ids[-1]]) - self.bytes[ids[-1]]
+            else:
+                lengths = np.fromiter(map(len, new), dtype=np.int64, count=len(new)) + 1
+                place = np.fromiter((a for a, _ in one.offsets), dtype=np.int64, count=len(one.ids))
+            starts = np.concatenate([[0], np.cumsum(lengths)])
             owner = np.searchsorted(starts, place, side="right") - 1
             sizes = np.concatenate([sizes, np.bincount(owner, minlength=len(new))])
             new = alone + new
