@@ -19,7 +19,9 @@ min(S, S') / (W + W' - min(S, S')) at most. So no link between two components is
 1 - (1 - 0.8^4)^13 = 0.9989 and fails AGREE with less than 0.0001.
 
 Null texts and texts without words resemble nothing: each is its own class. Rows that repeat, also those
-with the same id, follow their text. A null id takes part; a class is named by its smallest id.
+with the same id, follow their text. A null id takes part; a class is named by its smallest id, and of ties the smallest key
+represents it. Long texts are taken whole, one at a time. An empty table gives no rows. Only doc_id and text are read; other
+columns may have any name and are kept by `one_of_each`.
 """
 
 import hashlib
@@ -410,23 +412,23 @@ def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     judged = stored(_judged(docs, least), "minhash-judged")
     first = judged.where("key IS NOT NULL").groupBy("class_key").agg(F.min(F.struct("doc_id", "key")).alias("r"))
     kept = first.select("r.doc_id", "r.key").union(judged.where("key IS NULL").select("doc_id", "key"))
-    twice = judged.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("twice"))
-    kept = kept.select(F.col("doc_id").alias("_kept"), F.col("key").alias("_kept_key"))
+    twice = judged.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_txguard_twice"))
+    kept = kept.select(F.col("doc_id").alias("_txguard_kept"), F.col("key").alias("_txguard_kept_key"))
 
-    plain = kept.join(twice, F.col("_kept").eqNullSafe(F.col("twice")), "left_anti")
-    plain = docs.join(plain, docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
-    other = docs.join(twice, docs["doc_id"].eqNullSafe(F.col("twice")), "left_semi")
+    plain = kept.join(twice, F.col("_txguard_kept").eqNullSafe(F.col("_txguard_twice")), "left_anti")
+    plain = docs.join(plain, docs["doc_id"].eqNullSafe(F.col("_txguard_kept")), "left_semi")
+    other = docs.join(twice, docs["doc_id"].eqNullSafe(F.col("_txguard_twice")), "left_semi")
 
     def with_key(batches):
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            yield batch.append_column("_key", pa.array(_keys(texts), pa.string()))
+            yield batch.append_column("_txguard_key", pa.array(_keys(texts), pa.string()))
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("_key", T.StringType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField("_txguard_key", T.StringType())])
     other = other.mapInArrow(with_key, schema)
     other = other.join(
         kept.distinct(),
-        F.col("doc_id").eqNullSafe(F.col("_kept")) & F.col("_key").eqNullSafe(F.col("_kept_key")), "left_semi",
+        F.col("doc_id").eqNullSafe(F.col("_txguard_kept")) & F.col("_txguard_key").eqNullSafe(F.col("_txguard_kept_key")), "left_semi",
     )
-    one = other.where("_key IS NOT NULL").dropDuplicates(["doc_id", "_key"])
-    return plain.unionByName(one.union(other.where("_key IS NULL")).drop("_key"))
+    one = other.where("_txguard_key IS NOT NULL").dropDuplicates(["doc_id", "_txguard_key"])
+    return plain.unionByName(one.union(other.where("_txguard_key IS NULL")).drop("_txguard_key"))
