@@ -286,6 +286,25 @@ def test_stream_velocity_equals_batch_on_ordered_input(spark, folder):
     same_rows(spark.read.parquet(folder("out")).select(columns), velocity.with_velocity(tx).select(columns))
 
 
+def test_stream_velocity_needs_no_state_store_of_its_own(spark, folder):
+    """Spark's default store has one column family; a ring is emptied by its timer, the newest transaction stays."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        rows = [{"cc_num": c, "trans_num": f"{c}{at}", "amt": 5, "unix_time": at} for c, at in
+                [("a", 10), ("b", 20), ("b", 400_000), ("b", 800_000), ("a", 900_000), ("a", 900_001)]]
+        tx = monitor.with_event_ts(tx_frame(spark, rows)).select("cc_num", "trans_num", "unix_time", "amt", "event_ts")
+        k = F.when(F.col("unix_time") < 100, 0).when(F.col("unix_time") < 500_000, 1).when(F.col("unix_time") < 850_000, 2)
+        stream = quarters(spark, tx.withColumn("k", F.coalesce(k, F.lit(3))), folder("in"))
+        runner.start_copy(keyed.stream_velocity(stream), folder("out"), "d", folder("cp"), trigger=None).awaitTermination()
+    finally:
+        spark.conf.set(name, before)
+    got = by(spark.read.parquet(folder("out")), "trans_num", "secs_since_prev", "tx_count_24h")
+    assert got == {"a10": (None, 1), "b20": (None, 1), "b400000": (399_980, 1), "b800000": (400_000, 1),
+                   "a900000": (899_990, 1), "a900001": (1, 2)}
+
+
 def test_crowded_second_is_many_tasks(spark):
     """20,000 rows of one card in one second: ranges are far smaller than the second, and the order goes on across them."""
     rows = spark.range(20_000).select(

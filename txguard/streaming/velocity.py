@@ -5,7 +5,8 @@ transaction. A micro-batch touches the cards it holds and nothing else. The ring
 each row, and an event-time timer empties it when the card falls silent; the newest transaction stays, so that a gap of any length
 is known. A ring has at most 86,401 entries of 24 bytes, however often a card is used.
 
-Python runs here, on Arrow batches per card, as keyed state with timers has no expression of its own.
+Python runs here, on Arrow batches per card, as keyed state with timers has no expression of its own. The state comes and goes
+with the rows (`applyInPandasWithState`), so any state store will do, also Spark's default one.
 """
 
 from collections.abc import Iterator
@@ -15,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from txguard.functions import time as TM
 from txguard.operators.velocity import ROLLING
@@ -48,11 +49,52 @@ def rolling(ring: np.ndarray, secs: np.ndarray, width: int) -> tuple[np.ndarray,
     return counts[last] - counts[first], sums[last] - sums[first]
 
 
-class Velocity(StatefulProcessor):
+class OneCard:
+    """A card's grouped state as the value and the timer that `Velocity` asks for."""
+
+    def __init__(self, state: GroupState):
+        self.state, self.due = state, None
+
+    def getValueState(self, name: str, schema: str) -> "OneCard":
+        return self
+
+    def exists(self) -> bool:
+        return self.state.exists
+
+    def get(self) -> tuple:
+        return self.state.get
+
+    def update(self, value: tuple) -> None:
+        self.state.update(value)
+
+    def listTimers(self) -> list[int]:
+        return []  # a group has one timer, which the next one replaces
+
+    def registerTimer(self, at: int) -> None:
+        self.due = at
+
+
+def _per_card(kept: list[str]):
+    """`Velocity` over the rows of a card in a micro-batch, or over its timer."""
+
+    def run(key, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        card, processor = OneCard(state), Velocity(kept)
+        processor.init(card)
+        if not state.hasTimedOut:
+            yield from processor.handleInputRows(key, rows, None)
+            if card.due > state.getCurrentWatermarkMs():
+                state.setTimeoutTimestamp(card.due)
+                return
+        yield from processor.handleExpiredTimer(key, None, None)
+
+    return run
+
+
+class Velocity:
     def __init__(self, kept: list[str]):
         self.kept = kept
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+    def init(self, handle) -> None:
         self.handle = handle
         self.state = handle.getValueState("card", STATE)
 
@@ -116,8 +158,8 @@ def stream_velocity(stream: DataFrame, kept: tuple[str, ...] = ("cc_num", "trans
     kinds = dict(rows.dtypes)
     schema = T.StructType.fromDDL(", ".join([f"`{c}` {kinds[c]}" for c in kept] + [MADE]))
     needed = list(dict.fromkeys([*kept, "cc_num", "trans_num", "second", "cents", "event_ts"]))
-    found = rows.where(known).select(*needed).groupBy("cc_num").transformWithStateInPandas(
-        Velocity(list(kept)), schema, outputMode="Append", timeMode="EventTime"
+    found = rows.where(known).select(*needed).groupBy("cc_num").applyInPandasWithState(
+        _per_card(list(kept)), schema, STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
     nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields[len(kept):]]
     return found.union(rows.where(~known | F.col("cc_num").isNull()).select(*kept, *nothing))
