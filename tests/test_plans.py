@@ -85,3 +85,14 @@ def test_one_sided_filter_reaches_the_scan(spark, sf, folder):
     tx = spark.read.parquet(folder("tx")).where(F.col("category") == "view")
     text = plan(applications.score_batch(tx, profile).select("trans_num", "final_fraud_status"))
     assert "EqualTo(category,view)" in text and "first:string" not in text.split("Physical Plan")[1]
+
+
+def test_deidentified_keeps_a_row_of_every_message(spark, sf):
+    """Messages that cannot be decoded are flagged and written too, as rows of nulls."""
+    from txguard import fixtures as fx
+    from txguard.plans.queries import sink_scored_deidentified
+
+    arrivals = fx.arrivals(spark, sf)
+    broken = arrivals.where("CAST(trans_num AS BIGINT) % 97 = 0").count()
+    got = sink_scored_deidentified(spark, sf)
+    assert broken and got.count() == arrivals.count() and got.where("trans_num IS NULL").count() == broken
