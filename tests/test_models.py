@@ -191,3 +191,9 @@ def test_failures_of_training_are_raised(rows, monkeypatch):
     monkeypatch.setattr(models, "fit_clusters", broken)
     with pytest.raises(OSError, match="no space"):
         models.train_or_fall_back(rows, FraudConfig(use_classifier=False))
+
+
+def test_training_partitions_grow_with_the_rows(spark):
+    """What a task keeps of a training table is bounded well before a million rows; small tables keep their layout."""
+    assert models.laid_out(spark.range(900_001).select(F.col("id").alias("trans_num"))).rdd.getNumPartitions() == 10
+    assert models.laid_out(spark.range(700_000).select(F.col("id").alias("trans_num"))).rdd.getNumPartitions() == 8

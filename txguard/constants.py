@@ -82,5 +82,5 @@ ROWS_PER_SLICE = 500_000
 # A dimension is broadcast by hint only after it was counted and has at most this many rows.
 BROADCAST_ROWS = 1_000_000
 
-# Rows of a training table that MLlib reads as one partition.
-ROWS_PER_TRAINING_PARTITION = 1_000_000
+# Rows of a training table that MLlib reads as one partition: it keeps about a kilobyte for each while it fits a forest.
+ROWS_PER_TRAINING_PARTITION = 100_000
