@@ -250,3 +250,16 @@ def test_newest_rows_add_up(spark, crowd):
         profiles.last_transactions(old.unionByName(rows.where("n = 1"))).drop("n"),
         profiles.last_transactions(rows).drop("n"),
     )
+
+
+def test_folders_of_a_large_profile_hold_many_cards(spark, folder):
+    """A few rows per folder are for small profiles: folders do not grow in number with the cards from there on."""
+    from txguard.plans import profiles as store
+
+    cards = spark.range(6000).select(F.col("id").cast("string").alias("cc_num"))
+    store.publish_profile(cards, folder("p"), 1, rows_per_bucket=10)
+    store.publish_profile(cards.limit(45), folder("p"), 2, rows_per_bucket=10)
+    buckets = by(spark.read.parquet(folder("p") + "/registry"), "version", "buckets")
+    assert buckets == {1: store.FEW_BUCKETS, 2: 5}
+    current = store.CurrentProfile(spark, folder("p"))
+    assert current().count() == 45 and current.of(cards)[0].columns == ["cc_num"] and current.of(cards)[0].count() == 45

@@ -13,6 +13,8 @@ REGISTRY = "version bigint, buckets int"
 #: Folders of a bucketed version at most: what a micro-batch collects is at most so many numbers.
 MOST_BUCKETS = 1 << 16
 ROWS_PER_BUCKET = 20_000
+#: Beyond so many folders each holds at least so many cards, as a folder costs a file and a listing however little it holds.
+FEW_BUCKETS, LEAST_ROWS = 256, 2_000
 
 
 def build_profile(history: DataFrame) -> DataFrame:
@@ -33,11 +35,13 @@ def publish_profile(
     """Writes one version, then lists it: readers keep the old one until the new one is whole.
 
     With `rows_per_bucket` (about ROWS_PER_BUCKET, for profiles too large to be kept on the executors) cards are dealt into
-    folders by a hash and sorted in their files, so that a micro-batch reads the folders of its own cards only.
+    folders by a hash and sorted in their files, so that a micro-batch reads the folders of its own cards only. Fewer rows than
+    LEAST_ROWS are taken for a small profile only, of FEW_BUCKETS folders at most.
     """
     path, buckets = f"{root}/version={version}", None
     if rows_per_bucket:
-        buckets = min(MOST_BUCKETS, max(1, -(-profile.count() // rows_per_bucket)))
+        rows = profile.count()
+        buckets = min(MOST_BUCKETS, max(1, -(-rows // rows_per_bucket)), max(FEW_BUCKETS, rows // LEAST_ROWS))
         dealt = profile.withColumn("bucket", bucket_of(key, buckets)).repartition("bucket")
         dealt.sortWithinPartitions("bucket", key).write.mode("overwrite").partitionBy("bucket").parquet(path)
     else:
@@ -76,6 +80,8 @@ class CurrentProfile:
             return frame, self.rows
         own = batch.where(F.col(key).isNotNull()).select(bucket_of(key, self.buckets).alias("b")).distinct()
         own = sorted(r.b for r in own.collect())  # MOST_BUCKETS numbers at most
+        if len(own) == self.buckets:
+            return frame.drop("bucket"), None
         return frame.where(F.col("bucket").isin(own) if own else F.lit(False)).drop("bucket"), None
 
     def __call__(self) -> DataFrame:
