@@ -96,3 +96,14 @@ def test_deidentified_keeps_a_row_of_every_message(spark, sf):
     broken = arrivals.where("CAST(trans_num AS BIGINT) % 97 = 0").count()
     got = sink_scored_deidentified(spark, sf)
     assert broken and got.count() == arrivals.count() and got.where("trans_num IS NULL").count() == broken
+
+
+def test_quarters_are_dealt_before_rows_grow(spark, folder):
+    """Wider rows are made after the shuffle, of the same rows; a quarter follows the other in files."""
+    from txguard.plans.queries import _quarters
+
+    rows = spark.range(100).select("id", (F.col("id") % 4).cast("int").alias("k"))
+    made = lambda part: part.select("id", F.repeat(F.lit("x"), 1000).alias("wide"))
+    assert _quarters(rows, folder("q"), made=made) == 1
+    back = spark.read.parquet(folder("q"))
+    assert back.columns == ["id", "wide"] and sorted(r.id for r in back.select("id").collect()) == list(range(100))

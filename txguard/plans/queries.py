@@ -701,20 +701,22 @@ def _files_of(rows, most):
     return max(1, -(-rows // most))
 
 
-def _quarters(rows, path, order=(0, 1, 2, 3)):
+def _quarters(rows, path, order=(0, 1, 2, 3), made=lambda part: part):
     """Writes the quarters `k` of the rows one after another, each in the same number of files, and returns that: a stream
-    that takes so many files at a time reads a quarter per micro-batch."""
+    that takes so many files at a time reads a quarter per micro-batch. The rows are dealt to the files before `made` makes
+    wider ones of them."""
     files = _files_of(rows.count(), 4 * FILE_ROWS)
     for k in order:
-        rows.where(F.col("k") == k).drop("k").repartition(files).write.mode("append").parquet(path)
+        made(rows.where(F.col("k") == k).drop("k").repartition(files)).write.mode("append").parquet(path)
     return files
 
 
 def _message_stream(spark, sf_dir, name):
     """Encoded messages of all transactions, one in 97 cut short, as a stream of a quarter per micro-batch."""
     path = new_dir(spark, name)
-    messages = _messages(fx.transactions(spark, sf_dir)).withColumn("k", F.pmod(F.xxhash64("key"), F.lit(4)))
-    files = _quarters(messages, path)
+    key = F.col("event_id").cast("string").cast("binary")
+    events = fx.table(spark, sf_dir, "events").withColumn("k", F.pmod(F.xxhash64(key), F.lit(4)))
+    files = _quarters(events, path, made=lambda part: _messages(fx.as_transactions(part)))
     return file_stream(spark, path, "key binary, value binary", files_per_trigger=files)
 
 
