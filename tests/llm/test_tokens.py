@@ -1,6 +1,7 @@
 """Encoding, packing and token files: exact round trips."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -11,7 +12,7 @@ from tokenizers import Tokenizer
 
 from txguard.llm import packing, wavelet
 from txguard.llm.queries import tokenizer_file
-from txguard.llm.tokens import Encoder
+from txguard.llm.tokens import Encoder, Table
 
 FILES = [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)]
 
@@ -30,6 +31,53 @@ def test_pieces_give_the_ids_of_whole_texts(docs, name, spaces):
         assert [list(map(int, g)) for g in got] == [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("name, spaces", FILES)
+def test_pieces_of_any_length_and_case(name, spaces):
+    whole = Tokenizer.from_file(tokenizer_file(name))
+    whole.encode_special_tokens = True
+    own = Encoder(tokenizer_file(name), spaces)
+    draw = random.Random(5)
+    words = ["H\u0331", "É", "E\u0301", "SIXTEENBYTESLONG", "sixteenbyteslong", "ÀÉsixteenbytes", "LONGER THANSIXTEENBYTES", "a" * 40, "ÿ×÷ß", "İI",
+             "ΣΑΣ", "ПРИВЕТ", "привет", "中文", "</w>", "a</w>b", "abc.def", "abc!?x", "...", "don't", "1½", "\x00", "a\x00b", "ǅ", "\U0001d11e"]
+    for _ in range(5):
+        texts = ["".join(draw.choice(words) + draw.choice(["", " ", "\n", "  ", ". ", ",", "!"]) for _ in range(draw.randint(0, 12))) for _ in range(300)]
+        got = own.encode(texts)
+        assert [list(map(int, g)) for g in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_in_capitals_are_encoded_once():
+    own = Encoder(tokenizer_file("word_bpe_49k.json"), False)
+    asked = []
+    add = own._add
+    own._add = lambda new: asked.extend(new) or add(new)
+    one, other = own.encode(["grüne häuser", "Grüne HÄUSER Häuser GRÜNE"])
+    assert asked == ["grüne", "häuser"] and len(other) == 2 * len(one)
+
+
+@pytest.mark.parametrize("name, spaces", FILES)
+def test_known_pieces_take_little_memory(name, spaces):
+    own = Encoder(tokenizer_file(name), spaces)
+    words = [f" {'abcdefghij'[i % 10]}{i:06x}" for i in range(120_000)]
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    for a in range(0, len(words), 1000):
+        own.encode(["".join(words[a : a + 1000])])
+    assert (tracemalloc.get_traced_memory()[0] - before) / len(words) < 100
+    tracemalloc.stop()
+
+
+def test_table_of_pieces_grows():
+    draw = np.random.default_rng(3)
+    low = draw.permutation(np.arange(200_000, dtype=np.uint64))
+    high = low % np.uint64(3)
+    table = Table()
+    for part in np.array_split(np.arange(200_000), 7):
+        assert (table.find(low[part], high[part]) == -1).all()
+        table.add(low[part], high[part], part)
+    assert (table.find(low, high) == np.arange(200_000)).all()
+    assert (table.find(low, high + np.uint64(3)) == -1).all() and len(table.slots) >= 400_000
+
+
 def padding(sizes):
     return sum(0 if s & (s - 1) == 0 else packing.LENGTH - s for s in sizes)
 
