@@ -241,3 +241,22 @@ def test_vectors_that_link_with_nothing(spark):
     assert got[2] == got[3] == (2, 3, 1, False)
     assert got[4:] == [(i, 0, i, True) for i in range(3, 12)]
     assert vectors.near_duplicates(df.limit(0)).collect() == []
+
+
+def test_bounds_join_back_only_shingles_of_several_components(spark):
+    """Totals and shared weights as counted plainly; a member that shares nothing is not joined at all."""
+    rows = [("a", "x", "one two three four five six"), ("b", "y", "one two three four five seven"), ("c", "z", "alone in all its words here"),
+            ("d", "x", "one two three four five six eight")]
+    frame = spark.createDataFrame(rows, "key string, component string, text string")
+    table = spark.sparkContext.broadcast(minhash.idf_table(frame))
+    found = minhash._bounds(frame.select("key", "component"), frame.select("key", "text"), table)
+    names = {r.name: r.key for r in frame.selectExpr("key", "xxhash64(key) AS name").collect()}
+    got = {names[r.name]: (r.total, r.shared) for r in found.collect()}
+    weights = {k: dict(zip(*minhash._weigh(t, table.value))) for k, _, t in rows}
+    where = {}
+    for k, c, _ in rows:
+        for s in weights[k]:
+            where.setdefault(s, set()).add(c)
+    want = {k: (sum(w.values()), sum(x for s, x in w.items() if len(where[s]) > 1)) for k, w in weights.items()}
+    assert set(got) == {"a", "b", "d"} and want["c"][1] == 0
+    assert all(got[k] == pytest.approx(want[k], rel=1e-5) for k in got)

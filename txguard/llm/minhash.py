@@ -346,7 +346,10 @@ def _finer(table):
 
 
 def _bounds(named: DataFrame, texts: DataFrame, table) -> DataFrame:
-    """name (64-bit hash of the key), total weight, and weight of the shingles in another component of the members."""
+    """name (64-bit hash of the key), total weight, and weight of the shingles in another component of the members that have some.
+
+    Only shingles of more than one component are joined back to the members; the total is known from the text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -356,17 +359,18 @@ def _bounds(named: DataFrame, texts: DataFrame, table) -> DataFrame:
                 doc, own, count, _ = shingles(texts[part])
                 at = pa.array(doc + part.start)
                 weight = (count * table.value[_bucket(own)]).astype(np.float32)
+                total = np.bincount(doc, weight, part.stop - part.start)[doc]
                 yield pa.RecordBatch.from_arrays(
-                    [names.take(at), components_.take(at), pa.array(own.view(np.int64)), pa.array(weight)],
-                    ["name", "component", "shingle", "weight"])
+                    [names.take(at), components_.take(at), pa.array(own.view(np.int64)), pa.array(weight), pa.array(total)],
+                    ["name", "component", "shingle", "weight", "total"])
 
     members = named.select("key", F.xxhash64("component").alias("component")).distinct().join(texts, "key")
     members = members.select(F.xxhash64("key").alias("name"), "component", "text")
-    every = members.mapInArrow(run, "name long, component long, shingle long, weight float")
+    every = members.mapInArrow(run, "name long, component long, shingle long, weight float, total double")
     ends = every.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    common = ends.where("lo <> hi").select("shingle", F.lit(True).alias("common"))
-    shared = F.sum(F.when(F.col("common"), F.col("weight")).otherwise(0.0)) * (1 + 1e-6) + 1e-6  # above rounding
-    return every.join(common, "shingle", "left").groupBy("name").agg(F.sum("weight").alias("total"), shared.alias("shared"))
+    common = ends.where("lo <> hi").select("shingle")
+    shared = F.sum("weight") * (1 + 1e-6) + 1e-6  # above rounding
+    return every.join(common, "shingle").groupBy("name").agg(F.first("total").alias("total"), shared.alias("shared"))
 
 
 def _agreeing(x: str, y: str) -> Column:
