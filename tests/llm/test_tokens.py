@@ -5,6 +5,7 @@ import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -66,6 +67,21 @@ def test_known_pieces_take_little_memory(name, spaces):
     tracemalloc.stop()
 
 
+def test_packing_leaves_no_pieces_in_a_reused_process(spark, docs):
+    path = tokenizer_file("byte_bpe_50k.json")
+
+    def known(batches):
+        from txguard.llm import tokens
+
+        for batch in batches:
+            held = [e.known for (_, spaces), e in tokens._open.items() if spaces]
+            yield pa.RecordBatch.from_arrays([pa.array([max(held, default=-1)], pa.int64())], ["n"])
+
+    assert packing.packed(docs, path).count()
+    left = spark.range(0, 64, 1, 8).mapInArrow(known, "n long").collect()
+    assert 0 in {r.n for r in left} and max(r.n for r in left) == 0
+
+
 def test_table_of_pieces_grows():
     draw = np.random.default_rng(3)
     low = draw.permutation(np.arange(200_000, dtype=np.uint64))

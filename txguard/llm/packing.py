@@ -184,6 +184,7 @@ def packed(docs: DataFrame, path: str) -> DataFrame:
                     size += len(found) + 1
         if unit:
             yield flush()
+        encode.clear()  # the process lives on in other tasks, and tasks of other jobs
 
     return ordered.mapInArrow(
         run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"

@@ -44,9 +44,10 @@ class Encoder:
         self.last = np.array([n.endswith(_WORD_END) for n in names])
         self.spaces, normal = spaces, self.tokenizer.normalizer
         self.lower = not spaces and normal is not None and normal.normalize_str(_UPPER) == _UPPER.lower()
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
+        """Forgets all pieces."""
         self.number, self.long = Table(), {}
         self.flat, self.filled, self.known = np.zeros(1 << 16, dtype=np.uint32), 0, 0
         self.begin, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
@@ -126,7 +127,7 @@ class Encoder:
         out: list = [None] * len(texts)
         plain = []
         if self.known > PIECES:
-            self._clear()
+            self.clear()
         for i, t in enumerate(texts):
             data = _plain(t or "")
             if data is None:
