@@ -260,3 +260,38 @@ def test_bounds_join_back_only_shingles_of_several_components(spark):
     want = {k: (sum(w.values()), sum(x for s, x in w.items() if len(where[s]) > 1)) for k, w in weights.items()}
     assert set(got) == {"a", "b", "d"} and want["c"][1] == 0
     assert all(got[k] == pytest.approx(want[k], rel=1e-5) for k in got)
+
+
+def test_links_that_come_later_join_components(spark):
+    from txguard.llm.components import joined
+
+    first = [(1, 2), (2, 3), (5, 6), (8, 9), (20, 21)]
+    later = [(3, 6), (9, 30), (30, 31), (40, 41), (21, 20)]
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    want = {(r.node, r.component) for r in components(frame(first + later)).collect()}
+    got = joined(components(frame(first)), frame(later)).collect()
+    assert len(got) == len(want) and {(r.node, r.component) for r in got} == want
+
+
+def test_steps_of_components_leave_nothing_in_the_driver(spark):
+    """Tables of many steps, each broadcast from the driver, fill its memory."""
+    from helpers import executed
+
+    from txguard.llm.components import _star
+
+    edges = spark.createDataFrame([(i + 1, i) for i in range(40)], "a long, b long")
+    for both in (True, False):
+        assert "Broadcast" not in executed(_star(edges, both))
+
+
+def test_bounds_of_near_copies_share_rows(spark, monkeypatch):
+    """Forty copies that differ in their last word: a row for each shingle they share, not for each copy of it."""
+    words_ = " ".join(f"w{i}" for i in range(100))
+    frame = spark.createDataFrame(
+        [(f"k{i}", f"c{i}", f"{words_} x{i}") for i in range(40)], "key string, component string, text string"
+    ).coalesce(1)
+    table, kept = spark.sparkContext.broadcast(minhash.idf_table(frame)), []
+    monkeypatch.setattr(minhash, "stored", lambda df, purpose: kept.append(df) or df)
+    found = minhash._bounds(frame.select("key", "component"), frame.select("key", "text"), table).collect()
+    assert len(found) == 40 and all(0.9 * r.total < r.shared < r.total for r in found)
+    assert kept[0].count() < 40 * 97 / 4

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txguard.llm import text
-from txguard.llm.components import components
+from txguard.llm.components import components, joined
 from txguard.plans.workspace import stored
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -277,18 +277,20 @@ def _judged(docs: DataFrame, least: float) -> DataFrame:
     texts = stored(_texts_of(docs, members), "minhash-texts")
 
     live = stored(live.join(members.select("key", "samples", "bands"), "key"), "minhash-live")
-    links, found = None, None
+    found = None
     for most in (*PIVOTS, None):
         named = _open(live, found)
         if found is not None:
             named = stored(_linkable(named, texts, table, least, finer=most is None), "minhash-open")
         pairs = stored(_pairs(named, most, least), "minhash-pairs")
-        if links is not None and pairs.isEmpty():
+        if found is not None and pairs.isEmpty():
             break
         checked = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
-        new = stored(checked.mapInArrow(_verify(table, least), "a string, b string"), "minhash-links")
-        links = new if links is None else links.union(new)
-        found = stored(components(links), "minhash-components")
+        links = stored(checked.mapInArrow(_verify(table, least), "a string, b string"), "minhash-links")
+        if found is None:
+            found = stored(components(links), "minhash-components")
+        elif not links.isEmpty():
+            found = stored(joined(found, links), "minhash-components")
     names = (
         reps.select("key", "rep").join(found.toDF("key", "class_key"), "key")
         .groupBy("class_key").agg(F.min("rep").alias("class_id"))
@@ -348,29 +350,39 @@ def _finer(table):
 def _bounds(named: DataFrame, texts: DataFrame, table) -> DataFrame:
     """name (64-bit hash of the key), total weight, and weight of the shingles in another component of the members that have some.
 
-    Only shingles of more than one component are joined back to the members; the total is known from the text.
+    Members that are read together give a common row for a shingle, with the lists of those that have it, so many near
+    copies give little more rows than one. Only shingles of more than one component are dealt back to the members.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, components_ = batch.column(0), batch.column(1)
+            names, components_ = (c.to_numpy() for c in batch.columns[:2])
             texts = batch.column(2).to_pylist()
             for part in text.chunks(texts, text.CHUNK_BYTES // 8):
                 doc, own, count, _ = shingles(texts[part])
-                at = pa.array(doc + part.start)
                 weight = (count * table.value[_bucket(own)]).astype(np.float32)
                 total = np.bincount(doc, weight, part.stop - part.start)[doc]
+                order = np.argsort(own)
+                doc, own, weight, total = doc[order], own[order], weight[order], total[order]
+                first = np.flatnonzero(np.append(True, own[1:] != own[:-1])[: len(own)])
+                if not len(first):
+                    continue
+                component = components_[part][doc]
+                lo, hi = (pa.array(f.reduceat(component, first)) for f in (np.minimum, np.maximum))
+                ends = pa.array(np.append(first, len(own)), pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (names[part][doc], weight, total)]
                 yield pa.RecordBatch.from_arrays(
-                    [names.take(at), components_.take(at), pa.array(own.view(np.int64)), pa.array(weight), pa.array(total)],
-                    ["name", "component", "shingle", "weight", "total"])
+                    [pa.array(own[first].view(np.int64)), lo, hi, *lists], ["shingle", "lo", "hi", "name", "weight", "total"])
 
     members = named.select("key", F.xxhash64("component").alias("component")).distinct().join(texts, "key")
     members = members.select(F.xxhash64("key").alias("name"), "component", "text")
-    every = members.mapInArrow(run, "name long, component long, shingle long, weight float, total double")
-    ends = every.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    schema = "shingle long, lo long, hi long, name array<long>, weight array<float>, total array<double>"
+    every = stored(members.mapInArrow(run, schema), "minhash-shingles")
+    ends = every.groupBy("shingle").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     common = ends.where("lo <> hi").select("shingle")
     shared = F.sum("weight") * (1 + 1e-6) + 1e-6  # above rounding
-    return every.join(common, "shingle").groupBy("name").agg(F.first("total").alias("total"), shared.alias("shared"))
+    dealt = every.join(common, "shingle").select(F.inline(F.arrays_zip("name", "weight", "total")))
+    return dealt.groupBy("name").agg(F.first("total").alias("total"), shared.alias("shared"))
 
 
 def _agreeing(x: str, y: str) -> Column:
