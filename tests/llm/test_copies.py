@@ -1,6 +1,7 @@
 """Near-duplicates of documents and vectors, and repeated passages, against plain versions."""
 
 import itertools
+import os
 import re
 
 import numpy as np
@@ -230,6 +231,48 @@ def test_all_pairs_in_hundreds_of_lists(spark, monkeypatch, inner):
     assert got == {i: (int(near[i].sum()) - 1, int(root[i])) for i in range(len(v))}
 
 
+def _few_dimensions(n, inner, size=64):
+    random = np.random.default_rng(inner)
+    return (random.normal(size=(n, inner)) @ random.normal(size=(inner, size))).astype(np.float32)
+
+
+def test_pairs_of_groups_miss_and_repeat_nothing(spark, monkeypatch):
+    """Groups that meet in several rounds: links within a group, between groups, within a list and between lists, and copies."""
+    monkeypatch.setattr(vectors, "LIST", 40)
+    monkeypatch.setattr(vectors, "LEAST_GROUP", 64 * 4 * 250, raising=False)
+    monkeypatch.setattr(vectors, "GROUP", 64 * 4 * 250, raising=False)
+    v = _few_dimensions(1500, 6)
+    rows = [(i, x.tolist(), "ab"[i % 3 == 0]) for i, x in enumerate(v)] + [(5000 + i, v[i].tolist(), "ab"[i % 3 == 0]) for i in range(20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_duplicates(df).collect()}
+    ids, labels = np.array([r[0] for r in rows]), np.array([r[2] for r in rows])
+    unit = np.array([r[1] for r in rows])
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    near = (unit @ unit.T >= vectors.SIMILARITY) & (labels[:, None] == labels)
+    root = ids[vectors.spanning(len(rows), *np.nonzero(near))]
+    assert near.sum() > 2000
+    assert got == {int(i): (int(near[k].sum()) - 1, int(root[k]), bool(root[k] == i)) for k, i in enumerate(ids)}
+
+
+def test_vectors_are_written_about_once(spark, monkeypatch):
+    """What near-duplicates of vectors keep on disk is one index, however many lists and groups the vectors meet in."""
+    monkeypatch.setattr(vectors, "LIST", 40)
+    monkeypatch.setattr(vectors, "LEAST_GROUP", 64 * 4 * 1000, raising=False)
+    monkeypatch.setattr(vectors, "GROUP", 64 * 4 * 1000, raising=False)
+    v = np.random.default_rng(5).normal(size=(5000, 64)).astype(np.float32)
+    df = spark.createDataFrame([(i, x.tolist(), 0) for i, x in enumerate(v)], "vec_id long, embedding array<float>, label int")
+    paths, write = [], vectors.stored
+
+    def watched(frame, purpose):
+        found = write(frame, purpose)
+        paths.extend(found.inputFiles())
+        return found
+
+    monkeypatch.setattr(vectors, "stored", watched)
+    assert vectors.near_duplicates(df).where("n_links = 0 AND kept").count() == 5000
+    assert sum(os.path.getsize(p.removeprefix("file://")) for p in paths) < 2 * v.nbytes
+
+
 def test_vectors_that_link_with_nothing(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 2), (4, [1.0, 0.0], None), (5, None, 1), (6, [], 1),

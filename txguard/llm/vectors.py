@@ -4,27 +4,34 @@ Vectors of one label link from a cosine of SIMILARITY on. Equal vectors of a lab
 it occurs. Unit vectors go to coarse lists (nearest centre); what is left of them is coded in PARTS subspaces of
 CODES codewords. No pair is lost by that, whatever the vectors. Vectors of cosine SIMILARITY are
 R = sqrt(2 - 2 x SIMILARITY) apart, 0.374. Those of two lists lie on either side of the plane halfway between the centres, so one of them is
-at most R / 2 from it, and a vector probes each list to whose plane it is that near. In probed lists, table look-ups give
+at most R / 2 from it, and a vector probes each list to whose plane it is that near. In probed lists, codewords looked up by code give
 approximate cosines: q m = q m' + m e + (q - m) e with the code m' of m and its error e, and the last is at most R |e|. What
 can reach SIMILARITY by that is ranked by its exact cosine in double precision.
 
 Centres and codewords are fitted on about SAMPLE classes (a hash decides); there is a list for about LIST classes of a
-label. All classes are indexed, lists of any size are compared in blocks of about BLOCK. Vectors of a length that the sample
-lacks, or of too few classes for codes, are all compared exactly. Block pairs return, per vector, the number of its links, and
-links that span their components, not all pairs.
+label. All classes are indexed. A hash deals the classes of a label and length to groups of at most GROUP bytes of vectors, and each
+pair of groups meets in one task, which goes through the lists in blocks of about BLOCK; so lists and labels of any size are
+spread. A class is sent once for each group of its label, as it came: components in their own type, with list and code.
+The copies are sent in rounds of about one copy of each class, and shuffle files go at the end of a round, so the disk holds the
+index and about as much again, however many copies there are. Vectors of a length that the sample lacks, or of too few
+classes for codes, are all compared exactly. Pairs of groups return, per vector, the number of its links, and links that span
+their components, not all pairs.
 
 Null labels; vectors that are null, empty, zero or hold null or non-finite components link with nothing. Vectors of different
 lengths do not link. Rows that repeat an id are vectors of their own; a null id never names a component. Ties between centres go to the
-first one. An empty table gives no rows. Only vec_id, label and embedding are read, so other columns may have any name.
+first one. An empty table gives no rows. Only vec_id, label and embedding are read, so other columns may have any name; the table is
+read for the size, for the sample, for the classes and for the result, and has to hold the same rows each time.
 """
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from txguard.llm.components import components
 from txguard.plans.workspace import stored
@@ -32,6 +39,8 @@ from txguard.plans.workspace import stored
 SIMILARITY = 0.93
 SAMPLE, LIST, LISTS, BLOCK = 16_384, 256, 4096, 1024
 PARTS, CODES, ROUNDS = 8, 256, 8
+GROUP, LEAST_GROUP, QUERIES = 32 << 20, 2 << 20, 65_536
+NO_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -62,24 +71,42 @@ def _parts(book, size: int) -> list[np.ndarray]:
     return np.array_split(np.arange(size), len(book[1]))
 
 
-def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """vec_id, label, vector -> vec_id, label, key and unit vector (null: links with nothing)."""
+def _matrix(vectors: pa.ListArray, rows: np.ndarray, size: int) -> np.ndarray:
+    """Vectors of `size` components of those rows."""
+    return vectors.values.to_numpy()[vectors.offsets.to_numpy()[rows][:, None] + np.arange(size)]
+
+
+def _units(x: np.ndarray) -> np.ndarray:
+    x = x.astype(float) + 0.0
+    x /= np.abs(x).max(axis=1)[:, None]
+    return x / np.sqrt((x * x).sum(axis=1))[:, None]
+
+
+def _keys(labels: pa.Array, vectors: pa.ListArray) -> pa.Array:
+    """Names of label and vector (null: links with nothing)."""
+    ends = vectors.offsets.to_numpy()
+    flat = vectors.values.to_numpy(zero_copy_only=False).astype(float) + 0.0
+    odd, some = (np.concatenate([[0], np.cumsum(x)])[ends] for x in (~np.isfinite(flat), flat != 0))
+    good = (odd[1:] == odd[:-1]) & (some[1:] > some[:-1])
+    good &= labels.is_valid().to_numpy(zero_copy_only=False) & vectors.is_valid().to_numpy(zero_copy_only=False)
+    keys = [
+        hashlib.md5(repr(label).encode() + b"\0" + flat[a:b].tobytes()).digest() if yes else None
+        for label, yes, a, b in zip(labels.to_pylist(), good.tolist(), ends[:-1].tolist(), ends[1:].tolist())
+    ]
+    return pa.array(keys, pa.binary())
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """vec_id, label, vector -> and key."""
     for batch in batches:
-        keys, units = [], []
-        for label, vector in zip(batch.column(1), batch.column(2).to_pylist()):
-            unit = None
-            if label.is_valid and vector and None not in vector:
-                x = np.array(vector, dtype=float) + 0.0
-                scale = np.abs(x).max()
-                if np.isfinite(scale) and scale > 0:
-                    unit = x / scale
-                    unit /= np.sqrt((unit * unit).sum())
-            units.append(unit)
-            name = None if unit is None else hashlib.md5(repr(label.as_py()).encode() + b"\0" + x.tobytes()).hexdigest()
-            keys.append(name)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(keys, pa.string()), pa.array(units, pa.list_(pa.float64()))],
-            ["vec_id", "label", "key", "unit"])
+        keys = _keys(batch.column(1), batch.column(2))
+        yield pa.RecordBatch.from_arrays([*batch.columns, keys], ["vec_id", "label", "vector", "key"])
+
+
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """vec_id, label, vector -> vec_id and key."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), _keys(batch.column(1), batch.column(2))], ["vec_id", "key"])
 
 
 def apart(least: float) -> float:
@@ -87,76 +114,155 @@ def apart(least: float) -> float:
     return float(np.sqrt(max(0.0, 2 - 2 * least))) + 1e-6
 
 
-def probed(x: np.ndarray, centres: np.ndarray, least: float) -> tuple[int, np.ndarray]:
-    """The list of a unit vector, and all that it probes."""
-    away = _squares(x[None, :], centres)[0]
-    near = int(away.argmin())
-    between = np.sqrt(_squares(centres[near][None, :], centres)[0])
-    return near, np.flatnonzero(away <= away[near] + apart(least) * between + 1e-9)
-
-
 def _index(books, least: float):
-    """Adds list, probes, codes and what the codes may fall short of a cosine of `least` to classes."""
+    """Adds list, codes and what the codes may fall short of a cosine of `least` to classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {"list": [], "probes": [], "codes": [], "short": []}
-            for unit in batch.column(batch.schema.get_field_index("unit")):
-                x = unit.values.to_numpy()[None, :]
-                book = books.value.get(x.shape[1])
-                if book is None:
-                    row = (0, [0], None, None)
-                else:
-                    near, probes = probed(x[0], book[0], least)
-                    rest, codes = x - book[0][near], []
-                    error = along = 0.0
-                    for words, p in zip(book[1], _parts(book, x.shape[1])):
-                        d = _squares(rest[:, p], words)[0]
-                        codes.append(int(d.argmin()))
-                        left = rest[0, p] - words[codes[-1]]
-                        error += left @ left
-                        along += x[0, p] @ left
-                    row = (near, probes.tolist(), bytes(codes), float(along + apart(least) * np.sqrt(error)) + 1e-5)
-                for values, value in zip(out.values(), row):
-                    values.append(value)
-            kinds = [pa.int32(), pa.list_(pa.int32()), pa.binary(), pa.float64()]
+            vectors = batch.column(batch.schema.get_field_index("vector"))
+            sizes = batch.column(batch.schema.get_field_index("size")).to_numpy()
+            lists, codes, short = np.zeros(len(sizes), np.int32), [b""] * len(sizes), np.zeros(len(sizes))
+            for size in np.unique(sizes).tolist():
+                book, all_rows = books.value.get(size), np.flatnonzero(sizes == size)
+                for a in range(0, len(all_rows) if book else 0, BLOCK):
+                    rows = all_rows[a : a + BLOCK]
+                    x = _units(_matrix(vectors, rows, size))
+                    near = _squares(x, book[0]).argmin(axis=1)
+                    rest = x - book[0][near]
+                    error, along, code = np.zeros(len(rows)), np.zeros(len(rows)), []
+                    for words, p in zip(book[1], _parts(book, size)):
+                        code.append(_squares(rest[:, p], words).argmin(axis=1))
+                        left = rest[:, p] - words[code[-1]]
+                        error += (left * left).sum(axis=1)
+                        along += (x[:, p] * left).sum(axis=1)
+                    lists[rows] = near
+                    short[rows] = along + apart(least) * np.sqrt(error) + 1e-5
+                    for r, c in zip(rows.tolist(), np.array(code, dtype=np.uint8).T):
+                        codes[r] = c.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *[pa.array(v, k) for v, k in zip(out.values(), kinds)]], [*batch.schema.names, *out])
+                [*batch.columns, pa.array(lists, pa.int32()), pa.array(codes, pa.binary()), pa.array(short, pa.float64())],
+                [*batch.schema.names, "list", "codes", "short"])
 
     return run
 
 
-def _block(items: pa.StructScalar, size: int) -> dict:
-    values = items.values
-    return {
-        "key": values.field("key").to_pylist(),
-        "n": values.field("n").to_numpy(),
-        "unit": values.field("unit").flatten().to_numpy().reshape(-1, size),
-        "probes": values.field("probes").to_pylist(),
-        "codes": values.field("codes").to_pylist(),
-        "short": values.field("short").to_numpy(zero_copy_only=False),
-    }
-
-
-def _linked(query: dict, member: dict, book, coarse: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (query, member) that the codes find and the exact cosine confirms."""
-    if book is None:
-        i, j = (a.ravel() for a in np.indices((len(query["key"]), len(member["key"]))))
-    else:
-        size = query["unit"].shape[1]
-        codes = np.frombuffer(b"".join(member["codes"]), dtype=np.uint8).reshape(-1, len(book[1]))
-        near = np.repeat((query["unit"] @ book[0][coarse])[:, None], len(codes), axis=1).astype(np.float32)
-        for k, (words, p) in enumerate(zip(book[1], _parts(book, size))):
-            near += (query["unit"][:, p] @ words.T).astype(np.float32)[:, codes[:, k]]
-        i, j = np.nonzero(near >= (least - member["short"])[None, :])
-    keep = []
-    for a in range(0, len(i), 1 << 16):
-        x, y = i[a : a + (1 << 16)], j[a : a + (1 << 16)]
-        keep.append((query["unit"][x] * member["unit"][y]).sum(axis=1) >= least)
-    keep = np.concatenate(keep) if keep else np.zeros(0, dtype=bool)
+class _Group:
+    """Classes of one group in the order of their lists, which begin at `starts`; rows from `at` on in the task."""
+
+    def __init__(self, columns: dict, rows: np.ndarray, at: int):
+        self.at, self.size = at, len(rows)
+        self.node, self.n, self.list, self.codes, self.short, self.raw = (
+            columns[c][rows] for c in ("node", "n", "list", "codes", "short", "vector")
+        )
+        self.lists, self.starts = np.unique(self.list, return_index=True)
+        self.ends = np.append(self.starts[1:], len(rows))
+
+
+def _loaded(batches: Iterator[pa.RecordBatch]) -> tuple[list[_Group], int]:
+    """The one or two groups of a task, and the length of their vectors."""
+    parts: dict = {c: [] for c in ("node", "n", "list", "codes", "short", "vector", "first")}
+    size = 0
+    for batch in batches:
+        column = {c: batch.column(batch.schema.get_field_index(c)) for c in [*parts, "size"]}
+        if not batch.num_rows:
+            continue
+        size = column["size"][0].as_py()
+        for c in ("node", "n", "list", "short", "first"):
+            parts[c].append(np.array(column[c].to_numpy(zero_copy_only=False)))
+        parts["vector"].append(_matrix(column["vector"], np.arange(batch.num_rows), size))
+        parts["codes"].append(np.frombuffer(b"".join(column["codes"].to_pylist()), np.uint8).reshape(batch.num_rows, -1))
+    columns = {}
+    for c in list(parts):  # one after the other: the vectors are most of it
+        columns[c] = np.concatenate(parts.pop(c))
+    order, first = np.lexsort((columns["node"], columns["list"])), columns["first"]
+    found = [order[first[order] == side] for side in (True, False)]
+    return [_Group(columns, rows, at) for rows, at in zip(found, (0, len(found[0]))) if len(rows)], size
+
+
+def _probes(raw: np.ndarray, own: np.ndarray, other: np.ndarray, centres: np.ndarray, least: float) -> np.ndarray:
+    """Whether vectors of the lists `own` probe the lists `other`; row by row, so the same whoever asks."""
+    x, a, b = _units(raw), centres[own], centres[other]
+    away, near, between = (((p - q) ** 2).sum(axis=1) for p, q in ((x, b), (x, a), (a, b)))
+    return away <= near + apart(least) * np.sqrt(between) + 1e-9
+
+
+def _asked(raw: np.ndarray, own: np.ndarray, lists: np.ndarray, centres: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors in single precision, and bits, list by list, for all that may probe it: never fewer than `_probes` says."""
+    spare = 4e-7 * raw.shape[1] + 4e-6  # what single precision may lose
+    halves, narrow = (centres * centres).sum(axis=1) / 2, centres[lists].astype(np.float32)
+    units, bits = np.empty(raw.shape, np.float32), np.empty((len(lists), -(-len(raw) // 8)), np.uint8)
+    for a in range(0, len(raw), 1024):
+        x = units[a : a + 1024] = _units(raw[a : a + 1024])
+        mine, which = np.unique(own[a : a + 1024], return_inverse=True)
+        room = apart(least) / 2 * np.sqrt(_squares(centres[mine], centres[lists])) - halves[lists] + halves[mine][:, None] + spare
+        x = x.astype(np.float32)
+        yes = x @ narrow.T + room.astype(np.float32)[which] >= (x * centres[own[a : a + 1024]].astype(np.float32)).sum(axis=1)[:, None]
+        bits[:, a // 8 : (a + len(x) + 7) // 8] = np.packbits(yes.T, axis=1)
+    return units, bits
+
+
+def _exact(q: _Group, m: _Group, near: np.ndarray, rows: np.ndarray, cols: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs marked in `near` that the cosine in double precision confirms, as places in rows and cols."""
+    i, j = np.divmod(np.flatnonzero(near), len(cols))
+    if len(i) * 128 > near.size:
+        some = np.unique(i)
+        yes = (_units(q.raw[rows[some]]) @ _units(m.raw[cols]).T >= least) & near[some]
+        a, j = np.divmod(np.flatnonzero(yes), len(cols))
+        return some[a], j
+    keep = np.zeros(len(i), dtype=bool)
+    for a in range(0, len(i), BLOCK):
+        x, y = (_units(g.raw[of[k[a : a + BLOCK]]]) for g, of, k in ((q, rows, i), (m, cols, j)))
+        keep[a : a + BLOCK] = (x * y).sum(axis=1) >= least
     return i[keep], j[keep]
 
 
+def _linked(q: _Group, m: _Group, book, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """rows of q, rows of m, and the linked pairs as places in them. A pair comes once, from q to m or from m to q.
+
+    A pair that probes each other comes from the smaller node; others from the one that probes."""
+    if book is None:  # all pairs, in one direction
+        if q.at > m.at:
+            return
+        for a in range(0, q.size, 4 * BLOCK):
+            rows = np.arange(a, min(q.size, a + 4 * BLOCK))
+            for b in range(0, m.size, BLOCK):
+                cols = np.arange(b, min(m.size, b + BLOCK))
+                pairs = np.ones((len(rows), len(cols)), dtype=bool) if q is not m else q.node[rows][:, None] < m.node[cols]
+                yield rows, cols, *_exact(q, m, pairs, rows, cols, least)
+        return
+    centres = book[0]
+    words = [w.astype(np.float32) for w in book[1]]
+    for start in range(0, q.size, QUERIES):
+        own = q.list[start : start + QUERIES]
+        units, bits = _asked(q.raw[start : start + QUERIES], own, m.lists, centres, least)
+        for k, coarse in enumerate(m.lists.tolist()):
+            asks = np.flatnonzero(np.unpackbits(bits[k], count=len(own)))
+            for b in range(m.starts[k], m.ends[k] if len(asks) else 0, BLOCK):
+                cols = np.arange(b, min(m.ends[k], b + BLOCK))
+                coded = centres[coarse].astype(np.float32) + np.concatenate([w[c] for w, c in zip(words, m.codes[cols].T)], axis=1)
+                enough = (least - m.short[cols] - 2e-7 * units.shape[1]).astype(np.float32)
+                for a in range(0, len(asks), 4 * BLOCK):
+                    rows = asks[a : a + 4 * BLOCK]
+                    near = units[rows] @ coded.T >= enough
+                    if not near.any():
+                        continue
+                    i, j = _exact(q, m, near, start + rows, cols, least)
+                    some, which = np.unique(i, return_inverse=True)
+                    from_here = _probes(q.raw[start + rows[some]], own[rows[some]], np.full(len(some), coarse), centres, least)
+                    yes = from_here[which] & (q.node[start + rows[i]] != m.node[cols[j]])
+                    i, j = i[yes], j[yes]
+                    # the larger node has the pair only where the smaller one does not probe
+                    larger, lists = q.node[start + rows[i]] > m.node[cols[j]], own[rows[i]]
+                    keep = ~larger
+                    for other in np.unique(lists[larger]).tolist():
+                        if other != coarse:
+                            at = np.flatnonzero(larger & (lists == other))
+                            asked, which = np.unique(j[at], return_inverse=True)
+                            back = _probes(m.raw[cols[asked]], np.full(len(asked), coarse), np.full(len(asked), other), centres, least)
+                            keep[at] = ~back[which]
+                    yield start + rows, cols, i[keep], j[keep]
+
+
 def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest node that each of n nodes reaches by links a - b."""
     label = np.arange(n)
@@ -171,90 +277,133 @@ def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
+def _joining(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of places that span the components of the pairs i (below n), n + j; i ascends."""
+    if len(i) <= n:
+        return i, n + j
+    size = n + int(j.max()) + 1
+    first = np.full(size, -1)
+    first[n + j[::-1]] = i[::-1]
+    heads = np.append(True, i[1:] != i[:-1])
+    first[i[heads]] = n + j[heads]
+    at = np.flatnonzero(first >= 0)
+    root = spanning(size, at, first[at])
+    more = root[i] != root[n + j]  # what the first links leave apart
+    return np.concatenate([at, i[more]]), np.concatenate([first[at], n + j[more]])
+
+
 def _compare(books, least: float):
-    """Pairs of blocks -> rows (a, null, links of a) and (a, b, null): links that span the components."""
+    """Pairs of groups -> rows (a, null, links of a) and (a, b, null): links that span the components."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size, own, coarse, query, member = (batch.column(c) for c in ("size", "list", "probe", "query", "member"))
-            for r in range(batch.num_rows):
-                book = books.value.get(size[r].as_py())
-                q, m = _block(query[r], size[r].as_py()), _block(member[r], size[r].as_py())
-                asks = np.array([coarse[r].as_py() in p for p in q["probes"]])
-                for k in ("unit", "n"):
-                    q[k] = q[k][asks]
-                q["key"] = [x for x, yes in zip(q["key"], asks) if yes]
-                i, j = _linked(q, m, book, coarse[r].as_py(), least)
-                # a pair that probes each other comes twice and counts the first way; others come once
-                sees = [own[r].as_py() in p for p in m["probes"]]
-                once = np.array(
-                    [q["key"][x] < m["key"][y] or not sees[y] for x, y in zip(i.tolist(), j.tolist())], dtype=bool
-                )
-                i, j = i[once], j[once]
+        groups, size = _loaded(batches)
+        both = groups[-1].at > 0
+        if groups[0].size + both < 2:
+            return
+        book = books.value.get(size)
+        node = np.concatenate([g.node for g in groups])
+        count = np.zeros(len(node), dtype=np.int64)
+        links: list = [np.zeros((2, 0), dtype=np.int64)]
+        waiting = 0
+        q, m = groups[0], groups[-1]
+        for q, m in ((q, m), (m, q)) if both else ((q, m),):
+            for rows, cols, i, j in _linked(q, m, book, least):
                 if not len(i):
                     continue
-                nq = len(q["key"])
-                links = np.bincount(i, weights=m["n"][j], minlength=nq)
-                back = np.bincount(j, weights=q["n"][i], minlength=len(m["key"]))
-                keys = q["key"] + m["key"]
-                count = np.concatenate([links, back]).astype(np.int64)
-                root = spanning(len(keys), i, nq + j)
-                counted, hung = np.flatnonzero(count), np.flatnonzero(root != np.arange(len(keys)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([keys[x] for x in counted] + [keys[x] for x in hung], pa.string()),
-                     pa.array([None] * len(counted) + [keys[root[x]] for x in hung], pa.string()),
-                     pa.array(count[counted].tolist() + [None] * len(hung), pa.int64())], ["a", "b", "n"])
+                count[q.at + rows] += np.bincount(i, weights=m.n[cols[j]], minlength=len(rows)).astype(np.int64)
+                count[m.at + cols] += np.bincount(j, weights=q.n[rows[i]], minlength=len(cols)).astype(np.int64)
+                named = np.concatenate([q.at + rows, m.at + cols])
+                links.append(np.stack([named[x] for x in _joining(len(rows), i, j)]))
+                waiting += links[-1].shape[1]
+                if waiting > 1 << 21:
+                    root = spanning(len(node), *np.concatenate(links, axis=1))
+                    hung = np.flatnonzero(root != np.arange(len(node)))
+                    links, waiting = [np.stack([hung, root[hung]])], 0
+        root = spanning(len(node), *np.concatenate(links, axis=1))
+        counted, hung = np.flatnonzero(count), np.flatnonzero(root != np.arange(len(node)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([node[counted], node[hung]])),
+             pa.concat_arrays([pa.nulls(len(counted), pa.int64()), pa.array(node[root[hung]])]),
+             pa.concat_arrays([pa.array(count[counted]), pa.nulls(len(hung), pa.int64())])], ["a", "b", "n"])
 
     return run
 
 
+def _written(df: DataFrame, purpose: str) -> DataFrame:
+    """As `stored`; the write's shuffle files go with its end, not when the driver next collects garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(NO_SHUFFLES, None)
+    conf.set(NO_SHUFFLES, "true")
+    try:
+        return stored(df, purpose)
+    finally:
+        conf.unset(NO_SHUFFLES) if before is None else conf.set(NO_SHUFFLES, before)
+
+
+def _links(indexed: DataFrame, books, least: float, width: Column) -> DataFrame:
+    """What `_compare` returns for all pairs of groups, round by round."""
+    spark = indexed.sparkSession
+    family = ["label", "size"]
+    cores = spark.sparkContext.defaultParallelism
+    families = indexed.groupBy(family).agg((F.count("*") * F.first(width)).alias("bytes"))
+    total = families.agg(F.sum("bytes")).first()[0] or 0
+    most = max(LEAST_GROUP, min(GROUP, total // cores))
+    families = families.withColumn("groups", F.ceil(F.col("bytes") / most).cast("int"))
+    several = stored(families.where("groups > 1").drop("bytes"), "vector-groups")  # at most total / most rows
+    sent, tasks = families.agg(F.sum(F.col("bytes") * F.col("groups")), F.sum(F.expr("groups * (groups + 1L) / 2"))).first()
+    rounds = max(1, -(-(sent or 0) // max(1, total)))
+    dealt = indexed.join(F.broadcast(several), family, "left").withColumn("groups", F.coalesce("groups", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"))
+    parts = int(max((sent or 0) / rounds / (LEAST_GROUP * 4), min((tasks or 0) / rounds, 4 * cores))) + 1
+    found = []
+    for turn in range(rounds):
+        others = F.filter(F.sequence(F.lit(0), F.col("groups") - 1), lambda k: (F.col("own") + k) % rounds == turn)
+        copies = dealt.withColumn("other", F.explode(others)).select(
+            *family, F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+            (F.col("own") <= F.col("other")).alias("first"), "node", "n", "list", "codes", "short", "vector")
+        pair = [*family, "low", "high"]
+        copies = copies.repartition(parts, *pair).groupBy(pair)
+        found.append(_written(copies.applyInArrow(_compare(books, least), "a long, b long, n long"), "vector-links"))
+    return reduce(DataFrame.union, found)
+
+
 def near_duplicates(vectors: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """vec_id, n_links, component_id, kept of each row of `vectors` (vec_id, embedding, label)."""
     spark = vectors.sparkSession
     id_type, label_type = (vectors.schema[c].dataType.simpleString() for c in ("vec_id", "label"))
-    rows = vectors.select("vec_id", "label", "embedding").mapInArrow(
-        _checked, f"vec_id {id_type}, label {label_type}, key string, unit array<double>"
-    )
-    rows = stored(rows, "vector-rows")
-    classes = rows.where("key IS NOT NULL").groupBy("key").agg(
-        F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("unit").alias("unit")
-    )
-    classes = stored(classes.withColumn("size", F.size("unit")), "vector-classes")
-    total, labels = classes.agg(F.count("*"), F.approx_count_distinct("label")).first()
+    single = isinstance(vectors.schema["embedding"].dataType.elementType, FloatType)
+    element = (FloatType() if single else DoubleType()).simpleString()
+    given = vectors.select("vec_id", "label", F.col("embedding").cast(f"array<{element}>").alias("vector"))
+    rows = given.mapInArrow(_keyed, f"vec_id {id_type}, label {label_type}, vector array<{element}>, key binary")
+    rows = rows.where("key IS NOT NULL")
+    total, labels = rows.agg(F.approx_count_distinct("key", 0.02), F.approx_count_distinct("label")).first()
     share = min(1.0, SAMPLE / max(1, total))
-    picked = classes.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1).select("key", "unit")
-    picked = picked.toPandas().sort_values("key")  # about SAMPLE rows
+    picked = rows.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+    picked = picked.groupBy("key").agg(F.first("vector").alias("vector")).toPandas()  # about SAMPLE rows
     lists = int(max(1, min(LISTS, total / max(1, labels) / LIST)))
     by_size: dict = {}
-    for unit in picked["unit"]:
-        by_size.setdefault(len(unit), []).append(unit)
+    for key, vector in sorted(zip(map(bytes, picked["key"]), picked["vector"]), key=lambda row: row[0]):
+        by_size.setdefault(len(vector), []).append(vector)
     books = spark.sparkContext.broadcast(
-        {size: fit(np.array(units), lists) for size, units in by_size.items() if len(units) >= CODES}
+        {size: fit(_units(np.array(raw)), lists) for size, raw in by_size.items() if len(raw) >= CODES}
     )
 
-    kinds = ", ".join(f"{c} {kind}" for c, kind in classes.dtypes)
-    indexed = classes.mapInArrow(_index(books, least), f"{kinds}, list int, probes array<int>, codes binary, short double")
-    indexed = stored(indexed, "vector-index")
-    group = ["label", "size", "list"]
-    n_blocks = indexed.groupBy(group).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    blocks = indexed.join(n_blocks, group).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
-    blocks = blocks.groupBy(*group, "block").agg(
-        F.collect_list(F.struct("key", "n", "unit", "probes", "codes", "short")).alias("items"),
-        F.array_distinct(F.flatten(F.collect_list("probes"))).alias("probes"),
+    classes = rows.groupBy("key").agg(
+        F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("vector").alias("vector")
     )
-    blocks = stored(blocks, "vector-blocks")
-    asking = blocks.select(*group, F.col("items").alias("query"), F.explode("probes").alias("probe"))
-    asked = blocks.select("label", "size", F.col("list").alias("probe"), F.col("items").alias("member"))
-    pairs = asking.join(asked, ["label", "size", "probe"]).select("size", "list", "probe", "query", "member")
-    found = stored(pairs.mapInArrow(_compare(books, least), "a string, b string, n long"), "vector-links")
+    classes = classes.withColumn("size", F.size("vector")).withColumn("node", F.monotonically_increasing_id())
+    kinds = ", ".join(f"{c} {kind}" for c, kind in classes.dtypes)
+    indexed = classes.mapInArrow(_index(books, least), f"{kinds}, list int, codes binary, short double")
+    indexed = _written(indexed, "vector-index")
+    found = _links(indexed, books, least, F.col("size") * F.lit(4 if single else 8))
 
     count = found.where("n IS NOT NULL").groupBy("a").agg(F.sum("n").alias("links"))
     joined = stored(components(found.where("n IS NULL").select("a", "b")), "vector-components")
-    named = joined.toDF("key", "component").join(classes.select("key", "rep"), "key")
+    named = joined.toDF("node", "component").join(indexed.select("node", "rep"), "node")
     named = named.groupBy("component").agg(F.min("rep").alias("component_id")).join(
-        joined.toDF("key", "component"), "component").select("key", "component_id")
-    classes = classes.select("key", "rep", "n").join(count.toDF("key", "links"), "key", "left").join(named, "key", "left")
-    out = rows.select("vec_id", "key").join(classes, "key", "left").select(
+        joined.toDF("node", "component"), "component").select("node", "component_id")
+    classes = indexed.select("node", "key", "rep", "n").join(count.toDF("node", "links"), "node", "left").join(named, "node", "left")
+    out = given.mapInArrow(_named, f"vec_id {id_type}, key binary").join(classes, "key", "left").select(
         "vec_id",
         F.coalesce(F.col("n") - 1 + F.coalesce("links", F.lit(0)), F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "rep", "vec_id").alias("component_id"),
