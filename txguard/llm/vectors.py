@@ -6,7 +6,8 @@ CODES codewords. No pair is lost by that, whatever the vectors. Vectors of cosin
 R = sqrt(2 - 2 x SIMILARITY) apart, 0.374. Those of two lists lie on either side of the plane halfway between the centres, so one of them is
 at most R / 2 from it, and a vector probes each list to whose plane it is that near. In probed lists, codewords looked up by code give
 approximate cosines: q m = q m' + m e + (q - m) e with the code m' of m and its error e, and the last is at most R |e|. What
-can reach SIMILARITY by that is ranked by its exact cosine in double precision.
+can reach SIMILARITY by that is ranked by its exact cosine in double precision. Before the codes, the coordinates q1, m1 on the
+first principal axes (HEAD, or a third of all) leave out what they can: q m is at most q1 m1 + |q2| |m2| with the rests q2, m2.
 
 Centres and codewords are fitted on about SAMPLE classes (a hash decides); there is a list for about LIST classes of a
 label. All classes are indexed. A hash deals the classes of a label and length to groups of at most GROUP bytes of vectors, and each
@@ -26,6 +27,7 @@ read for the size, for the sample, for the classes and for the result, and has t
 import hashlib
 from collections.abc import Iterator
 from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,8 @@ from txguard.plans.workspace import stored
 
 SIMILARITY = 0.93
 SAMPLE, LIST, LISTS, BLOCK = 16_384, 256, 4096, 1024
-PARTS, CODES, ROUNDS = 8, 256, 8
-GROUP, LEAST_GROUP, QUERIES = 32 << 20, 2 << 20, 65_536
+PARTS, CODES, ROUNDS, HEAD = 8, 256, 8, 16
+GROUP, LEAST_GROUP, QUERIES, PRODUCTS = 64 << 20, 2 << 20, 65_536, 1 << 18
 NO_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -59,12 +61,14 @@ def centres_of(x: np.ndarray, k: int, seed: int) -> np.ndarray:
     return centres
 
 
-def fit(sample: np.ndarray, lists: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Coarse centres and, per subspace, codewords for what remains."""
+def fit(sample: np.ndarray, lists: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Coarse centres; per subspace, codewords for what remains; and the first principal axes."""
     coarse = centres_of(sample, min(lists, len(sample)), 1)
     rest = sample - coarse[_squares(sample, coarse).argmin(axis=1)]
     parts = np.array_split(np.arange(sample.shape[1]), min(PARTS, sample.shape[1]))
-    return coarse, [centres_of(rest[:, p], CODES, 2 + i) for i, p in enumerate(parts)]
+    head = max(HEAD, sample.shape[1] // 3)
+    axes = np.linalg.eigh(sample.T @ sample)[1][:, ::-1][:, : head if sample.shape[1] > 2 * head else 0]
+    return coarse, [centres_of(rest[:, p], CODES, 2 + i) for i, p in enumerate(parts)], axes
 
 
 def _parts(book, size: int) -> list[np.ndarray]:
@@ -186,81 +190,138 @@ def _probes(raw: np.ndarray, own: np.ndarray, other: np.ndarray, centres: np.nda
     return away <= near + apart(least) * np.sqrt(between) + 1e-9
 
 
-def _asked(raw: np.ndarray, own: np.ndarray, lists: np.ndarray, centres: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors in single precision, and bits, list by list, for all that may probe it: never fewer than `_probes` says."""
+def _asked(raw: np.ndarray, own: np.ndarray, lists: np.ndarray, centres: np.ndarray, least: float) -> np.ndarray:
+    """Bits, list by list, for all vectors that may probe it: never fewer than `_probes` says."""
     spare = 4e-7 * raw.shape[1] + 4e-6  # what single precision may lose
-    halves, narrow = (centres * centres).sum(axis=1) / 2, centres[lists].astype(np.float32)
-    units, bits = np.empty(raw.shape, np.float32), np.empty((len(lists), -(-len(raw) // 8)), np.uint8)
+    halves, narrow = (centres * centres).sum(axis=1) / 2, np.ascontiguousarray(centres[lists].T.astype(np.float32))
+    bits = np.empty((-(-len(raw) // 8), len(lists)), np.uint8)
     for a in range(0, len(raw), 1024):
-        x = units[a : a + 1024] = _units(raw[a : a + 1024])
-        mine, which = np.unique(own[a : a + 1024], return_inverse=True)
-        room = apart(least) / 2 * np.sqrt(_squares(centres[mine], centres[lists])) - halves[lists] + halves[mine][:, None] + spare
-        x = x.astype(np.float32)
-        yes = x @ narrow.T + room.astype(np.float32)[which] >= (x * centres[own[a : a + 1024]].astype(np.float32)).sum(axis=1)[:, None]
-        bits[:, a // 8 : (a + len(x) + 7) // 8] = np.packbits(yes.T, axis=1)
-    return units, bits
-
-
-def _exact(q: _Group, m: _Group, near: np.ndarray, rows: np.ndarray, cols: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Those of the pairs marked in `near` that the cosine in double precision confirms, as places in rows and cols."""
-    i, j = np.divmod(np.flatnonzero(near), len(cols))
-    if len(i) * 128 > near.size:
-        some = np.unique(i)
-        yes = (_units(q.raw[rows[some]]) @ _units(m.raw[cols]).T >= least) & near[some]
-        a, j = np.divmod(np.flatnonzero(yes), len(cols))
-        return some[a], j
-    keep = np.zeros(len(i), dtype=bool)
+        x, mine = _units(raw[a : a + 1024]).astype(np.float32), own[a : a + 1024]
+        heads, which = _runs(mine)  # in the order of lists
+        room = apart(least) / 2 * np.sqrt(_squares(centres[heads], centres[lists])) - halves[lists] + halves[heads][:, None] + spare
+        room, near = room.astype(np.float32), (x * centres[mine].astype(np.float32)).sum(axis=1)
+        over = x @ narrow
+        for k, (r, e) in enumerate(pairwise([*np.flatnonzero(np.append(True, which[1:] != which[:-1])).tolist(), len(x)])):
+            over[r:e] += room[k]
+        yes = np.zeros((-(-len(x) // 8) * 8, len(lists)), np.uint8)
+        np.greater_equal(over, near[:, None], out=yes[: len(x)].view(bool))
+        yes = yes.reshape(-1, 8, len(lists))
+        bits[a // 8 : (a + len(x) + 7) // 8] = reduce(np.bitwise_or, (yes[:, k] << 7 - k for k in range(8)))  # as packbits, in less time
+    return np.ascontiguousarray(bits.T)
+
+
+def _heads(raw: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """Coordinates on the axes and the length of the rest: their product is no less than the cosine."""
+    out = np.empty((len(raw), axes.shape[1] + 1), np.float32)
+    for a in range(0, len(raw), 4 * BLOCK):
+        head = _units(raw[a : a + 4 * BLOCK]) @ axes
+        rest = np.sqrt(np.maximum(1 - (head * head).sum(axis=1), 0))
+        out[a : a + 4 * BLOCK] = np.column_stack([head, rest])
+    return out
+
+
+def _runs(i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of ascending i, and which of them each is."""
+    new = np.append(True, i[1:] != i[:-1])
+    return i[new], np.cumsum(new) - 1
+
+
+def _distinct(names: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of names (below n), and which of them each is."""
+    if n > 4 * len(names):
+        return np.unique(names, return_inverse=True)
+    seen = np.zeros(n, dtype=bool)
+    seen[names] = True
+    return np.flatnonzero(seen), (np.cumsum(seen) - 1)[names]
+
+
+def _products(left, right, i: np.ndarray, j: np.ndarray, shape: tuple[int, int] | None) -> np.ndarray:
+    """Of the pairs (i, j); left and right give the vectors of places. shape: of a block, where i ascends."""
+    if shape and len(i) * 64 > shape[0] * shape[1]:
+        some, which = _runs(i)
+        return (left(some) @ right(np.arange(shape[1])).T)[which, j]
+    out = np.empty(len(i))
     for a in range(0, len(i), BLOCK):
-        x, y = (_units(g.raw[of[k[a : a + BLOCK]]]) for g, of, k in ((q, rows, i), (m, cols, j)))
-        keep[a : a + BLOCK] = (x * y).sum(axis=1) >= least
-    return i[keep], j[keep]
+        out[a : a + BLOCK] = (left(i[a : a + BLOCK]) * right(j[a : a + BLOCK])).sum(axis=1)
+    return out
 
 
-def _linked(q: _Group, m: _Group, book, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """rows of q, rows of m, and the linked pairs as places in them. A pair comes once, from q to m or from m to q.
+def _exact(q: _Group, m: _Group, rows: np.ndarray, cols: np.ndarray, i: np.ndarray, j: np.ndarray, shape, least: float):
+    """Those of the pairs of places in rows and cols that the cosine in double precision confirms."""
+    if not len(i):
+        return i, j
+    yes = _products(lambda k: _units(q.raw[rows[k]]), lambda k: _units(m.raw[cols[k]]), i, j, shape) >= least
+    return i[yes], j[yes]
+
+
+def _ask(g: _Group, rows: np.ndarray, i: np.ndarray, lists: np.ndarray, centres: np.ndarray, least: float) -> np.ndarray:
+    """Whether the rows at places i of g probe the lists, computed once for each row and list."""
+    names, which = _distinct(lists, len(centres))
+    asked, at = _distinct(i * len(names) + which, len(rows) * len(names))
+    if not len(asked):
+        return np.zeros(0, dtype=bool)
+    of = rows[asked // len(names)]
+    return _probes(g.raw[of], g.list[of], names[asked % len(names)], centres, least)[at]
+
+
+def _confirmed(q: _Group, m: _Group, rows: np.ndarray, cols: np.ndarray, i: np.ndarray, j: np.ndarray, shape, book, least: float):
+    """Those of the pairs that the codes find, the exact cosine confirms, and that come from here.
 
     A pair that probes each other comes from the smaller node; others from the one that probes."""
+    centres, words = book[0], book[1]
+    near = _products(
+        lambda k: _units(q.raw[rows[k]]),
+        lambda k: centres[m.list[cols[k]]] + np.concatenate([w[c] for w, c in zip(words, m.codes[cols[k]].T)], axis=1),
+        i, j, shape,
+    ) >= least - m.short[cols[j]]
+    i, j = _exact(q, m, rows, cols, i[near], j[near], shape, least)
+    yes = (q.node[rows[i]] != m.node[cols[j]]) & _ask(q, rows, i, m.list[cols[j]], centres, least)
+    i, j = i[yes], j[yes]
+    back = np.flatnonzero(q.node[rows[i]] > m.node[cols[j]])
+    keep = np.ones(len(i), dtype=bool)
+    keep[back] = ~_ask(m, cols, j[back], q.list[rows[i[back]]], centres, least)
+    return i[keep], j[keep]
+
+
+def _linked(q: _Group, m: _Group, book, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """rows of q, rows of m, and the linked pairs as places in them. A pair comes once, from q to m or from m to q."""
     if book is None:  # all pairs, in one direction
-        if q.at > m.at:
-            return
-        for a in range(0, q.size, 4 * BLOCK):
-            rows = np.arange(a, min(q.size, a + 4 * BLOCK))
-            for b in range(0, m.size, BLOCK):
-                cols = np.arange(b, min(m.size, b + BLOCK))
-                pairs = np.ones((len(rows), len(cols)), dtype=bool) if q is not m else q.node[rows][:, None] < m.node[cols]
-                yield rows, cols, *_exact(q, m, pairs, rows, cols, least)
+        for b in range(0, m.size if q.at <= m.at else 0, BLOCK):
+            cols = np.arange(b, min(m.size, b + BLOCK))
+            step = PRODUCTS // len(cols)
+            for a in range(0, q.size, step):
+                rows = np.arange(a, min(q.size, a + step))
+                pairs = q.node[rows][:, None] < m.node[cols] if q is m else np.ones((len(rows), len(cols)), dtype=bool)
+                yield rows, cols, *_exact(q, m, rows, cols, *np.divmod(np.flatnonzero(pairs), len(cols)), pairs.shape, least)
         return
-    centres = book[0]
-    words = [w.astype(np.float32) for w in book[1]]
+    spare = 2e-7 * (q.raw.shape[1] + 8)
+    heads, others = (_heads(g.raw, book[2]) for g in (q, m))
+    every, few, waiting = (np.arange(q.size), np.arange(m.size)), [], 0  # few: pairs of blocks that have few, taken together
+    room, marks = np.empty(PRODUCTS, np.float32), np.empty(PRODUCTS, dtype=bool)
     for start in range(0, q.size, QUERIES):
         own = q.list[start : start + QUERIES]
-        units, bits = _asked(q.raw[start : start + QUERIES], own, m.lists, centres, least)
-        for k, coarse in enumerate(m.lists.tolist()):
-            asks = np.flatnonzero(np.unpackbits(bits[k], count=len(own)))
+        bits = _asked(q.raw[start : start + QUERIES], own, m.lists, book[0], least)
+        for k in range(len(m.lists)):
+            asks = np.flatnonzero(np.unpackbits(bits[k], count=len(own)).view(bool))
             for b in range(m.starts[k], m.ends[k] if len(asks) else 0, BLOCK):
                 cols = np.arange(b, min(m.ends[k], b + BLOCK))
-                coded = centres[coarse].astype(np.float32) + np.concatenate([w[c] for w, c in zip(words, m.codes[cols].T)], axis=1)
-                enough = (least - m.short[cols] - 2e-7 * units.shape[1]).astype(np.float32)
-                for a in range(0, len(asks), 4 * BLOCK):
-                    rows = asks[a : a + 4 * BLOCK]
-                    near = units[rows] @ coded.T >= enough
-                    if not near.any():
-                        continue
-                    i, j = _exact(q, m, near, start + rows, cols, least)
-                    some, which = np.unique(i, return_inverse=True)
-                    from_here = _probes(q.raw[start + rows[some]], own[rows[some]], np.full(len(some), coarse), centres, least)
-                    yes = from_here[which] & (q.node[start + rows[i]] != m.node[cols[j]])
-                    i, j = i[yes], j[yes]
-                    # the larger node has the pair only where the smaller one does not probe
-                    larger, lists = q.node[start + rows[i]] > m.node[cols[j]], own[rows[i]]
-                    keep = ~larger
-                    for other in np.unique(lists[larger]).tolist():
-                        if other != coarse:
-                            at = np.flatnonzero(larger & (lists == other))
-                            asked, which = np.unique(j[at], return_inverse=True)
-                            back = _probes(m.raw[cols[asked]], np.full(len(asked), coarse), np.full(len(asked), other), centres, least)
-                            keep[at] = ~back[which]
-                    yield start + rows, cols, i[keep], j[keep]
+                step, block = PRODUCTS // len(cols), np.ascontiguousarray(others[cols].T)
+                for a in range(0, len(asks), step):
+                    rows = start + asks[a : a + step]
+                    size = len(rows) * len(cols)
+                    np.matmul(heads.take(rows, axis=0), block, out=room[:size].reshape(-1, len(cols)))
+                    found = np.flatnonzero(np.greater_equal(room[:size], np.float32(least - spare), out=marks[:size]))
+                    i, j = np.divmod(found, len(cols))
+                    if len(i) * 64 > size:
+                        yield rows, cols, *_confirmed(q, m, rows, cols, i, j, (len(rows), len(cols)), book, least)
+                    elif len(i):
+                        few.append((rows[i], cols[j]))
+                        waiting += len(i)
+                if waiting > PRODUCTS:
+                    yield *every, *_confirmed(q, m, *every, *map(np.concatenate, zip(*few)), None, book, least)
+                    few, waiting = [], 0
+    if few:
+        yield *every, *_confirmed(q, m, *every, *map(np.concatenate, zip(*few)), None, book, least)
 
 
 def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
