@@ -77,7 +77,10 @@ def _parts(book, size: int) -> list[np.ndarray]:
 
 def _matrix(vectors: pa.ListArray, rows: np.ndarray, size: int) -> np.ndarray:
     """Vectors of `size` components of those rows."""
-    return vectors.values.to_numpy()[vectors.offsets.to_numpy()[rows][:, None] + np.arange(size)]
+    flat, ends = vectors.values.to_numpy(), vectors.offsets.to_numpy()
+    if (np.diff(ends) == size).all():
+        return flat[ends[0] : ends[-1]].reshape(-1, size)[rows]
+    return flat[ends[rows][:, None] + np.arange(size)]
 
 
 def _units(x: np.ndarray) -> np.ndarray:
@@ -194,7 +197,7 @@ def _asked(raw: np.ndarray, own: np.ndarray, lists: np.ndarray, centres: np.ndar
     """Bits, list by list, for all vectors that may probe it: never fewer than `_probes` says."""
     spare = 4e-7 * raw.shape[1] + 4e-6  # what single precision may lose
     halves, narrow = (centres * centres).sum(axis=1) / 2, np.ascontiguousarray(centres[lists].T.astype(np.float32))
-    bits = np.empty((-(-len(raw) // 8), len(lists)), np.uint8)
+    bits = np.empty((len(lists), -(-len(raw) // 8)), np.uint8)
     for a in range(0, len(raw), 1024):
         x, mine = _units(raw[a : a + 1024]).astype(np.float32), own[a : a + 1024]
         heads, which = _runs(mine)  # in the order of lists
@@ -206,8 +209,8 @@ def _asked(raw: np.ndarray, own: np.ndarray, lists: np.ndarray, centres: np.ndar
         yes = np.zeros((-(-len(x) // 8) * 8, len(lists)), np.uint8)
         np.greater_equal(over, near[:, None], out=yes[: len(x)].view(bool))
         yes = yes.reshape(-1, 8, len(lists))
-        bits[a // 8 : (a + len(x) + 7) // 8] = reduce(np.bitwise_or, (yes[:, k] << 7 - k for k in range(8)))  # as packbits, in less time
-    return np.ascontiguousarray(bits.T)
+        bits[:, a // 8 : (a + len(x) + 7) // 8] = reduce(np.bitwise_or, (yes[:, k] << 7 - k for k in range(8))).T  # as packbits, in less time
+    return bits
 
 
 def _heads(raw: np.ndarray, axes: np.ndarray) -> np.ndarray:
